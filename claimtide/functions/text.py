@@ -13,7 +13,7 @@ ASCII_PUNCTUATION = r"[!-/:-@\[-`{-~]"
 URL_PATTERN = r"https?://[!$-_a-z]+"
 NOT_WORD_LETTERS = r"[^ \nA-Za-z0-9À-ÖØ-öø-ÿЀ-ӿ/]+"
 NOT_LETTERS_OR_SPACE = r"[^\p{L} ]"
-WHITESPACE = r"(?U)\s+"
+WHITESPACE = r"[\s\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]+"
 HOST_PREFIX = r"https?://[w.]{0,4}"
 NAME_SEPARATORS = ["/", " - ", "  ", ". Ed. ", " de ", " en ", " Ed. "]
 

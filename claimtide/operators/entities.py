@@ -32,7 +32,7 @@ def merge_pieces(pieces: DataFrame, id_: str = "text_id") -> DataFrame:
     numbered = numbered.where(F.col("word_no") < F.col("_last"))
     # one word's pieces at a time
     words = numbered.groupBy(id_, "word_no").agg(
-        F.array_sort(F.collect_list(F.struct("pos", "word", "tag"))).alias("p"),
+        F.sort_array(F.collect_list(F.struct("pos", "word", "tag"))).alias("p"),
         F.mode(F.when(F.col("tag") != "O", F.substring("tag", 2, 1000)), deterministic=True).alias("kind"),
         F.avg("score").alias("score"),
         F.min("start").alias("start"),
@@ -82,7 +82,7 @@ def merge_spans(words: DataFrame, id_: str = "text_id") -> DataFrame:
     df = df.where((F.col("tag") != "O") & (F.col("entity_no") < F.col("_total")))
     merged = df.groupBy(id_, "entity_no").agg(
         F.array_join(
-            F.transform(F.array_sort(F.collect_list(F.struct("pos", "word"))), lambda x: x["word"]), ""
+            F.transform(F.sort_array(F.collect_list(F.struct("pos", "word"))), lambda x: x["word"]), ""
         ).alias("word"),
         F.mode(F.substring("tag", 3, 1000), deterministic=True).alias("entity"),
         F.avg("score").alias("score"),
@@ -107,7 +107,7 @@ def tagged_spans(texts: DataFrame, id_: str, text: str, gazetteer: DataFrame, ot
 def words_per_tag(spans: DataFrame, id_: str) -> DataFrame:
     """Map of tag to sorted distinct words per text."""
     # texts are under 500 characters, which bounds both collections
-    per_tag = spans.groupBy(id_, "tag").agg(F.array_sort(F.collect_set("word")).alias("words"))
+    per_tag = spans.groupBy(id_, "tag").agg(F.sort_array(F.collect_set("word")).alias("words"))
     return per_tag.groupBy(id_).agg(F.map_from_entries(F.collect_list(F.struct("tag", "words"))).alias("tags"))
 
 

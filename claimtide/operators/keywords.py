@@ -31,7 +31,7 @@ def select_keywords(features: DataFrame, maximum: int = 5, name: str = "keywords
             picked = F.array_compact(F.array(*[F.get(_words(tags, t), F.lit(i)) for t in ("NOUN", "ADJ", "VERB")]))
             grown = text.longer_than(text.letters_only(F.concat(F.col(name), picked)), 2)
             df = df.withColumn(name, F.when(F.size(name) < maximum, grown).otherwise(F.col(name)))
-    return df.withColumn(name, F.array_sort(F.array_distinct(text.longer_than(F.col(name), 1))))
+    return df.withColumn(name, F.sort_array(F.array_distinct(text.longer_than(F.col(name), 1))))
 
 
 def select_keywords_first_words(features: DataFrame, maximum: int = 5, name: str = "keywords") -> DataFrame:
@@ -45,7 +45,7 @@ def select_keywords_first_words(features: DataFrame, maximum: int = 5, name: str
     for tag in ("NOUN", "ADJ", "VERB"):
         more = text.letters_only(F.concat(_words("pos_review", tag), _words("pos_claim", tag)))
         df = df.withColumn(name, F.when(F.size(name) < 3, F.concat(F.col(name), more)).otherwise(F.col(name)))
-    return df.withColumn(name, F.slice(F.array_sort(F.array_distinct(F.col(name))), 1, maximum))
+    return df.withColumn(name, F.slice(F.sort_array(F.array_distinct(F.col(name))), 1, maximum))
 
 
 def keyword_pairs(features: DataFrame, keywords: str = "keywords") -> DataFrame:

@@ -83,7 +83,7 @@ def vote_language(votes: DataFrame, id_: str, confidence: float = CONFIDENCE) ->
     # a text has at most as many entries as there are detectors
     ranked = counts.groupBy(id_).agg(
         F.max(F.when(F.col("lang").isNotNull(), F.col("n"))).alias("top"),
-        F.array_sort(F.collect_list(F.struct("position", "lang", "n"))).alias("entries"),
+        F.sort_array(F.collect_list(F.struct("position", "lang", "n"))).alias("entries"),
     )
     winners = F.filter("entries", lambda e: e["lang"].isNotNull() & (e["n"] == F.col("top")))
     joined = F.array_join(F.transform(winners, lambda e: e["lang"]), "_")

@@ -1,6 +1,6 @@
 """Ranks and exact percentiles without a global sort in one task.
 
-Rows are first folded to (keys, value, n). Values are cut into ranges at
+Rows are first folded to (keys, value, rows). Values are cut into ranges at
 approximate quantiles; running totals are taken inside each range and the
 totals of earlier ranges added. No task sees more than one range of one key,
 and equal values are a single row.
@@ -17,15 +17,8 @@ def _ranges(df: DataFrame) -> int:
     return max(8, min(512, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))))
 
 
-def _same(keys: list[str], left: DataFrame, right: DataFrame):
-    condition = F.lit(True)
-    for k in keys:
-        condition = condition & left[k].eqNullSafe(right[k])
-    return condition
-
-
 def running_totals(counts: DataFrame, keys: list[str], value: str, n: str = "n") -> DataFrame:
-    """Adds `before` (rows with a smaller value in the same keys) and `total`.
+    """Adds `_before` (rows with a smaller value in the same keys) and `_total`.
 
     `counts` has one row per (keys, value); other columns ride along.
     """
@@ -45,33 +38,33 @@ def running_totals(counts: DataFrame, keys: list[str], value: str, n: str = "n")
         *[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)],
         F.col("_range").alias("_r"),
         F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_earlier"),
-        F.sum("_n").over(by_key).alias("total"),
+        F.sum("_n").over(by_key).alias("_total"),
     )
     condition = F.col("_range") == F.col("_r")
     for i, k in enumerate(keys):
         condition = condition & F.col(k).eqNullSafe(F.col(f"_k{i}"))
     joined = inside.join(offsets, condition)
-    return joined.withColumn("before", F.col("_inside") + F.col("_earlier")).drop(
+    return joined.withColumn("_before", F.col("_inside") + F.col("_earlier")).drop(
         "_inside", "_earlier", "_range", "_r", *[f"_k{i}" for i in range(len(keys))]
     )
 
 
 def value_ranks(df: DataFrame, keys: list[str], value: str) -> DataFrame:
-    """(keys, value, n, before, total) of the non-null values."""
-    counts = df.where(F.col(value).isNotNull()).groupBy(*keys, value).agg(F.count("*").alias("n"))
-    return running_totals(counts, keys, value)
+    """(keys, value, _rows, _before, _total) of the non-null values."""
+    counts = df.where(F.col(value).isNotNull()).groupBy(*keys, value).agg(F.count("*").alias("_rows"))
+    return running_totals(counts, keys, value, "_rows")
 
 
 def percentile_columns(value: str, probs: dict[str, float]) -> list[Column]:
     """Linear-interpolation percentiles as aggregates over ranked values."""
     out = []
     for name, p in probs.items():
-        at = F.lit(p) * (F.col("total") - 1)
+        at = F.lit(p) * (F.col("_total") - 1)
         low, high = F.floor(at), F.ceil(at)
         v = F.col(value).cast("double")
-        end = F.col("before") + F.col("n")
-        at_low = F.max(F.when((F.col("before") <= low) & (low < end), v))
-        at_high = F.max(F.when((F.col("before") <= high) & (high < end), v))
+        end = F.col("_before") + F.col("_rows")
+        at_low = F.max(F.when((F.col("_before") <= low) & (low < end), v))
+        at_high = F.max(F.when((F.col("_before") <= high) & (high < end), v))
         part = F.max(at - low)
         out.append((at_low + (at_high - at_low) * part).alias(name))
     return out

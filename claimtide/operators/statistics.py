@@ -9,13 +9,14 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql import Window as W
 
 from ..session import cut_lineage
 from . import ranking
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(T.DoubleType())
 def _two_sided(z: Iterator[pd.Series]) -> Iterator[pd.Series]:
     for part in z:
         yield part.map(lambda v: math.erfc(abs(v) / math.sqrt(2)))
@@ -49,7 +50,7 @@ def wilcoxon_signed_rank(pairs: DataFrame, a: str = "before", b: str = "after")
         .agg(F.count("*").alias("n"), F.count_if(d > 0).alias("positive"))
     )
     ranked = ranking.running_totals(folded, [], "size")
-    rank = F.col("before") + (F.col("n") + 1) / 2
+    rank = F.col("_before") + (F.col("n") + 1) / 2
     n = F.col("n").cast("double")
     sums = ranked.agg(
         F.coalesce(F.sum("n"), F.lit(0)).alias("n"),

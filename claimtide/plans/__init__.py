@@ -2,7 +2,7 @@
 
 from importlib import import_module
 
-PARTS = ["rows", "functions"]
+PARTS = ["rows", "functions", "joins", "aggregates"]
 
 
 def load_all() -> None:

@@ -40,7 +40,7 @@ def labelled_hits(
 def simple_keywords(claims: DataFrame, maximum: int = 6) -> DataFrame:
     """First `maximum` sorted distinct words over two letters of the claim text."""
     words = text.longer_than(F.transform(text.corpus_tokens("claim"), text.clean_word), 2)
-    return claims.withColumn("keywords", F.slice(F.array_sort(F.array_distinct(words)), 1, maximum))
+    return claims.withColumn("keywords", F.slice(F.sort_array(F.array_distinct(words)), 1, maximum))
 
 
 def claims_per_language(claims: DataFrame, messages: DataFrame) -> DataFrame:

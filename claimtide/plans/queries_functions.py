@@ -11,9 +11,9 @@ from .catalog import CHECKED_SQL, OFFSET_SQL, Tables, query
 from .queries_rows import TOKENS_SQL
 
 PAGE_TEXT_SQL = r"""
-    replace(replace(replace(regexp_replace(regexp_replace(html,
+    replace(replace(replace(replace(regexp_replace(regexp_replace(html,
       '(?is)<script\b.*?</script>|<style\b.*?</style>|<!--.*?-->|<![^>]*>', '', 'g'),
-      '(?s)<[^>]+>', '', 'g'), '&copy;', '©'), '&middot;', '·'), '&amp;', '&')
+      '(?s)<[^>]+>', '', 'g'), '&quot;', '"'), '&copy;', '©'), '&middot;', '·'), '&amp;', '&')
 """
 
 
@@ -78,7 +78,7 @@ def clean_word(spark, folder):
 def letters_only(spark, folder):
     words = text.letters_only(F.split("text", r"\s+"))
     df = Tables(spark, folder).benchmark
-    return df.select("item_id", F.array_join(F.array_sort(words), " ").alias("words"))
+    return df.select("item_id", F.array_join(F.sort_array(words), " ").alias("words"))
 
 
 @query(
@@ -181,7 +181,7 @@ LONG_WORDS_SQL = rf"list_sort(list_distinct(list_filter({TOKENS_SQL.format('text
 
 
 def long_words(t: Tables):
-    words = F.array_sort(F.array_distinct(text.longer_than(text.corpus_tokens("text"), 7)))
+    words = F.sort_array(F.array_distinct(text.longer_than(text.corpus_tokens("text"), 7)))
     return t.documents.select("doc_id", words.alias("k"))
 
 

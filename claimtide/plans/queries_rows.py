@@ -75,7 +75,7 @@ def pluck(spark, folder):
     name = F.when(F.col("l_returnflag") != "N", F.concat("l_returnflag", F.col("l_linenumber").cast("string")))
     entry = F.struct("l_linenumber", "l_partkey", "l_suppkey", name.alias("name"))
     rows = t.orders.join(t.lineitem, F.col("l_orderkey") == F.col("o_orderkey"))
-    rows = rows.groupBy("o_orderkey").agg(F.array_sort(F.collect_list(entry)).alias("lines"))
+    rows = rows.groupBy("o_orderkey").agg(F.sort_array(F.collect_list(entry)).alias("lines"))
     names = filters.pluck("lines", "name")
     joined = F.when(F.size(names) > 0, F.array_join(names, ","))
     return rows.select("o_orderkey", joined.alias("names"), F.size(names).cast("bigint").alias("n"))

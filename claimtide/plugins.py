@@ -7,6 +7,7 @@ from collections.abc import Callable, Iterator
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.functions import udtf
 
 
@@ -55,7 +56,7 @@ def per_claim(series: DataFrame, key: str, step: Callable[[pd.DataFrame], pd.Dat
     return series.groupBy(key).applyInPandas(step, schema)
 
 
-@udtf(returnType="day_start: timestamp, day_end: timestamp")
+@udtf(returnType=T.StructType().add("day_start", T.TimestampType()).add("day_end", T.TimestampType()))
 class DayWindows:
     """Table function: the one-day windows around a claim's date."""
 
