@@ -48,7 +48,7 @@ def per_day(df: DataFrame, *keys: str, date: str = "date") -> DataFrame:
 
 def share(counts: DataFrame, n: str = "count") -> Column:
     """Fraction of the grand total, which is a scalar subquery."""
-    return F.col(n) / counts.agg(F.sum(n)).scalar()
+    return F.try_divide(F.col(n), counts.agg(F.sum(n)).scalar())
 
 
 def value_counts(df: DataFrame, column: str) -> DataFrame:

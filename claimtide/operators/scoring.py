@@ -170,10 +170,11 @@ def tune_threshold(
     def quality(i: int) -> Column:
         tp, fp, tn, fn = (F.col(f"{c}{i}") for c in ("tp", "fp", "tn", "fn"))
         if metric == "accuracy":
-            return (tp + tn) / (tp + fp + tn + fn)
+            return (tp + tn) / F.nullif(tp + fp + tn + fn, F.lit(0))
         has_one, has_zero = tp + fp + fn > 0, tn + fn + fp > 0
         classes = has_one.cast("int") + has_zero.cast("int")
-        return (F.when(has_one, rate(tp, fp)).otherwise(0.0) + F.when(has_zero, rate(tn, fn)).otherwise(0.0)) / classes
+        rates = F.when(has_one, rate(tp, fp)).otherwise(0.0) + F.when(has_zero, rate(tn, fn)).otherwise(0.0)
+        return rates / F.nullif(classes, F.lit(0))
 
     options = F.array(
         *[

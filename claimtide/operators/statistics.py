@@ -72,7 +72,8 @@ def normality_test(df: DataFrame, value: str) -> DataFrame:
     m = df.agg(
         F.count(v).cast("double").alias("n"), F.skewness(v).alias("skew"), F.kurtosis(v).alias("excess")
     )
-    n = F.col("n")
+    # too few rows have no test: null instead of a division by zero
+    n = F.when(F.col("n") >= 8, F.col("n"))
     # skewness part
     y = F.col("skew") * F.sqrt((n + 1) * (n + 3) / (6 * (n - 2)))
     beta2 = 3 * (n * n + 27 * n - 70) * (n + 1) * (n + 3) / ((n - 2) * (n + 5) * (n + 7) * (n + 9))
@@ -146,7 +147,7 @@ def autocorrelation(series: DataFrame, order: str, value: str, lags: int = 20) -
         *[F.sum(F.col("c") * F.col(f"l{k}")).alias(f"s{k}") for k in range(1, lags + 1)],
     )
     pairs = F.array(
-        *[F.struct(F.lit(k).alias("lag"), (F.col(f"s{k}") / F.col("v")).alias("acf")) for k in range(1, lags + 1)]
+        *[F.struct(F.lit(k).alias("lag"), F.try_divide(f"s{k}", "v").alias("acf")) for k in range(1, lags + 1)]
     )
     return sums.select(F.inline(pairs))
 

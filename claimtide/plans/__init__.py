@@ -2,7 +2,7 @@
 
 from importlib import import_module
 
-PARTS = ["rows", "functions", "joins", "aggregates"]
+PARTS = ["rows", "functions", "joins", "aggregates", "windows", "scoring"]
 
 
 def load_all() -> None:

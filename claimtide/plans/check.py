@@ -86,8 +86,7 @@ def run(spark, folder: str, only: list[str] | None = None) -> list[dict]:
         except Exception as error:  # one broken query must not hide the others
             result = {"name": name, "problems": [f"{type(error).__name__}: {str(error)[:600]}"]}
         out.append(result)
-        if result["problems"] or result.get("noise"):
-            print(result, flush=True)
+        print(result if result["problems"] or result.get("noise") else f"ok {name} {result.get('spark_sec')} {result.get('sql_sec')}", flush=True)
     return out
 
 

@@ -65,7 +65,7 @@ def parse_annotation(tasks: DataFrame) -> DataFrame:
     """Back from template to columns; inverse of `annotation_tasks`."""
     body = F.substring("text", 15, 1 << 30)
     claim = F.split(body, r"\n \*\*\*FACT-CHECK\*\*\*: ")
-    rest = claim[1]
+    rest = F.get(claim, F.lit(1))
     is_message = rest.contains(" \n\n ***TWEET***: \n ")
     as_message = F.split(rest, r" \n\n \*\*\*TWEET\*\*\*: \n ")
     as_news = F.split(rest, r" \n\n \*\*\*TITLE\*\*\*: \n ")
