@@ -25,13 +25,22 @@ def select_keywords(features: DataFrame, maximum: int = 5, name: str = "keywords
     verb of the claim, then three rounds those of the review; every round ends
     by cleaning the words. Sorted, so the order of tags does not matter.
     """
-    df = features.withColumn(name, F.array_distinct(F.concat(_all_words("ner_claim"), _all_words("ner_review"))))
-    for tags in ("pos_claim", "pos_review"):
-        for i in range(3):
-            picked = F.array_compact(F.array(*[F.get(_words(tags, t), F.lit(i)) for t in ("NOUN", "ADJ", "VERB")]))
-            grown = text.longer_than(text.letters_only(F.concat(F.col(name), picked)), 2)
-            df = df.withColumn(name, F.when(F.size(name) < maximum, grown).otherwise(F.col(name)))
-    return df.withColumn(name, F.sort_array(F.array_distinct(text.longer_than(F.col(name), 1))))
+    start = F.array_distinct(F.concat(_all_words("ner_claim"), _all_words("ner_review")))
+    rounds = F.array(
+        *[
+            F.array_compact(F.array(*[F.get(_words(tags, t), F.lit(i)) for t in ("NOUN", "ADJ", "VERB")]))
+            for tags in ("pos_claim", "pos_review")
+            for i in range(3)
+        ]
+    )
+
+    def top_up(words: Column, more: Column) -> Column:
+        cleaned = text.longer_than(text.letters_only(F.concat(words, more)), 2)
+        return F.when(F.size(words) < maximum, cleaned).otherwise(words)
+
+    # a fold, so that the expression does not double with every round
+    chosen = F.aggregate(rounds, start, top_up)
+    return features.withColumn(name, F.sort_array(F.array_distinct(text.longer_than(chosen, 1))))
 
 
 def select_keywords_first_words(features: DataFrame, maximum: int = 5, name: str = "keywords") -> DataFrame:
@@ -41,11 +50,15 @@ def select_keywords_first_words(features: DataFrame, maximum: int = 5, name: str
         values = F.coalesce(F.map_values(tags), F.array().cast("array<array<string>>"))
         return F.array_compact(F.transform(values, lambda v: F.get(v, F.lit(0))))
 
-    df = features.withColumn(name, F.concat(first_words("ner_review"), first_words("ner_claim")))
-    for tag in ("NOUN", "ADJ", "VERB"):
-        more = text.letters_only(F.concat(_words("pos_review", tag), _words("pos_claim", tag)))
-        df = df.withColumn(name, F.when(F.size(name) < 3, F.concat(F.col(name), more)).otherwise(F.col(name)))
-    return df.withColumn(name, F.slice(F.sort_array(F.array_distinct(F.col(name))), 1, maximum))
+    start = F.concat(first_words("ner_review"), first_words("ner_claim"))
+    more = F.array(
+        *[
+            text.letters_only(F.concat(_words("pos_review", tag), _words("pos_claim", tag)))
+            for tag in ("NOUN", "ADJ", "VERB")
+        ]
+    )
+    chosen = F.aggregate(more, start, lambda k, m: F.when(F.size(k) < 3, F.concat(k, m)).otherwise(k))
+    return features.withColumn(name, F.slice(F.sort_array(F.array_distinct(chosen)), 1, maximum))
 
 
 def keyword_pairs(features: DataFrame, keywords: str = "keywords") -> DataFrame:

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
 from ..functions import times
+from ..session import stored
 from .skew import hot_keys, salted_join
 
 QUERY_WORDS = ["and", "or"]
@@ -128,12 +129,12 @@ def match_units(units: DataFrame, words: DataFrame, days: tuple[int, int] | None
     `units`: (fact_id, unit, keywords, need[, claim_date]); `words`: the token
     table. Result: (fact_id, unit, message_id, matched).
     """
-    units = units.withColumn("keywords", F.array_distinct("keywords")).where(
-        (F.col("need") > 0) & (F.size("keywords") >= F.col("need"))
-    )
+    units = stored(units.withColumn("keywords", F.array_distinct("keywords")), "units")
+    units = units.where((F.col("need") > 0) & (F.size("keywords") >= F.col("need")))
     asked = units.select("fact_id", "unit", "need", F.size("keywords").alias("n"), F.explode("keywords").alias("word"))
     vocabulary = asked.select("word").distinct()
-    known = words.join(vocabulary, "word", "left_semi")
+    # messages are read and cut into words once; only asked words are kept
+    known = stored(words.join(vocabulary, "word", "left_semi"), "words")
     frequency = known.groupBy("word").agg(F.count("*").alias("n"))
     # a unit's window holds its own few keywords
     rarest = W.partitionBy("fact_id", "unit").orderBy(F.coalesce("f", F.lit(0)), "word")

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql import Window as W
 
-from ..session import cut_lineage
+from ..session import stored
 from . import ranking
 
 
@@ -163,7 +163,7 @@ def negative_binomial_fit(
     y, xs = F.col(response).cast("double"), [F.col(t).cast("double") for t in terms]
     rows = df.select(y.alias("y"), *[x.alias(f"x{i + 1}") for i, x in enumerate(xs)]).dropna()
     names = [f"x{i}" for i in range(len(terms) + 1)]
-    rows = cut_lineage(rows.groupBy("y", *names[1:]).agg(F.count("*").alias("n"))).withColumn("x0", F.lit(1.0))
+    rows = stored(rows.groupBy("y", *names[1:]).agg(F.count("*").alias("n"))).withColumn("x0", F.lit(1.0))
     mean = rows.agg(F.sum(F.col("y") * F.col("n")) / F.sum("n")).first()[0]
     beta = None
     for _ in range(steps):

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..session import cut_lineage
+from ..session import stored
 
 
 def replies_of(messages: DataFrame) -> DataFrame:
@@ -36,21 +36,21 @@ def thread_table(comments: DataFrame, id_: str = "id", parent: str = "parent_id"
     known = nodes.select(F.col("id").alias("up"))
     done = nodes.where(F.col("up").isNull()).select("id", F.col("id").alias("root"), F.lit(0).alias("depth"))
     open_ = nodes.join(known, "up", "left_semi").withColumn("steps", F.lit(1))
-    done, open_ = cut_lineage(done), cut_lineage(open_)
+    done, open_ = stored(done), stored(open_)
     left = open_.count()
     while left:
         at_root = done.select(F.col("id").alias("up"), "root", "depth")
         onward = open_.select(F.col("id").alias("up"), F.col("up").alias("next"), F.col("steps").alias("more"))
         step = open_.join(at_root, "up", "left").join(onward, "up", "left")
-        step = cut_lineage(step)
+        step = stored(step)
         reached = step.where(F.col("root").isNotNull()).select(
             "id", "root", (F.col("depth") + F.col("steps")).alias("depth")
         )
-        done = cut_lineage(done.unionByName(reached))
+        done = stored(done.unionByName(reached))
         open_ = step.where(F.col("root").isNull() & F.col("next").isNotNull()).select(
             "id", F.col("next").alias("up"), (F.col("steps") + F.col("more")).alias("steps")
         )
-        open_ = cut_lineage(open_)
+        open_ = stored(open_)
         remaining = open_.count()
         if remaining == left and reached.isEmpty():
             break

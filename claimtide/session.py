@@ -48,11 +48,12 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint, so lost executors do not replay an iteration."""
-    spark = df.sparkSession
-    context = spark.sparkContext
-    folder = shared_dir(spark)
-    if context.getCheckpointDir() is None:
-        context.setCheckpointDir(folder)
-    return df.checkpoint(eager=True)
+def stored(df: DataFrame, label: str = "table") -> DataFrame:
+    """Write a result once to the shared folder and go on from the files.
+
+    Lost executors do not replay what led to it, later steps read only the
+    columns they need, and Spark knows its size when it picks a join.
+    """
+    path = scratch_path(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
