@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 import unicodedata
 from html.entities import name2codepoint
 
@@ -35,14 +36,13 @@ def _accent_tables() -> tuple[str, str]:
 
 
 _ACCENTED, _PLAIN = _accent_tables()
+_NAMED_REFERENCES = json.dumps({name: chr(code) for name, code in name2codepoint.items()})
 
 
 def decode_entities(c) -> Column:
     """Named and numeric character references to characters."""
     c = _column(c)
-    named = F.create_map(
-        *[F.lit(x) for name, code in name2codepoint.items() for x in (name, chr(code))]
-    )
+    named = F.from_json(F.lit(_NAMED_REFERENCES), "map<string,string>")
     reference = r"&(#[0-9]+|#[xX][0-9a-fA-F]+|[A-Za-z][A-Za-z0-9]*);"
 
     def from_code(digits: Column, base: int) -> Column:

@@ -2,7 +2,7 @@
 
 from importlib import import_module
 
-PARTS = ["rows", "functions", "joins", "aggregates", "windows", "scoring"]
+PARTS = ["rows", "functions", "joins", "aggregates", "windows", "scoring", "sources", "streams"]
 
 
 def load_all() -> None:

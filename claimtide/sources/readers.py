@@ -37,7 +37,11 @@ def read_news(spark: SparkSession, path, multiline: bool = False) -> DataFrame:
     """One row per article of each search response, with the total hits kept."""
     raw = spark.read.schema(schemas.NEWS_RESPONSE).option("multiLine", multiline).json(path)
     article = raw.select("fact_id", F.col("total").alias("query_output"), F.explode("news").alias("n"))
-    return article.select("n.*", "fact_id", times.parse_day_first("n.Date").alias("date"), "query_output")
+    # the day-first text gives way to the parsed date, as names ignore case
+    dated = article.withColumn("date", times.parse_day_first("n.Date"))
+    return dated.select(F.col("n").dropFields("Date").alias("n"), "fact_id", "date", "query_output").select(
+        "n.*", "fact_id", "date", "query_output"
+    )
 
 
 def read_press_xml(spark: SparkSession, path) -> DataFrame:
@@ -174,11 +178,11 @@ def extract_posts(pages: DataFrame, html: str = "html") -> DataFrame:
     blocks = pages.select("page_id", block.alias("b"))
 
     def inside(marker: str) -> F.Column:
-        body = F.regexp_extract("b", rf'(?s)<[^>]*class="[^"]*\b{marker}\b[^"]*"[^>]*>(.*?)</(?:a|span|div)>', 1)
+        body = F.regexp_extract("b", rf'(?s)class="[^"]*\b{marker}\b[^"]*"[^>]*>(.*?)</(?:a|span|div)>', 1)
         return F.btrim(text.strip_html(body), F.lit(" \n\t"))
 
-    def attribute(name: str, tag: str = "") -> F.Column:
-        value = F.regexp_extract("b", rf'<[^>]*{tag}[^>]*\b{name}="([^"]*)"', 1)
+    def attribute(name: str) -> F.Column:
+        value = F.regexp_extract("b", rf'\s{name}="([^"]*)"', 1)
         return F.when(value != "", F.btrim(value))
 
     stamp = attribute("data-ts")
