@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import text, times
+from ..session import spread
 from . import ranking
 from .skew import hot_keys, salted_join
 
@@ -158,15 +159,16 @@ def cooccurrence(sentences: DataFrame, sentence: str = "sentence", window: int =
     Neighbours are zipped inside the row; only pair counts are shuffled, and
     they are summed per task first.
     """
-    tokens = sentences.select(text.corpus_tokens(sentence).alias("t"))
+    tokens = spread(sentences).select(text.corpus_tokens(sentence).alias("t"))
     shifted = [
         F.slice("t", k + 1, F.greatest(F.size("t") - k, F.lit(0))).alias(f"n{k}") for k in range(1, window + 1)
     ]
     zipped = tokens.select("t", *shifted).select(
-        F.explode(F.arrays_zip("t", *[f"n{k}" for k in range(1, window + 1)])).alias("z")
+        # outer, since the plain form adds a filter that would cut the words once more
+        F.explode_outer(F.arrays_zip("t", *[f"n{k}" for k in range(1, window + 1)])).alias("z")
     )
     nexts = F.array_compact(F.array(*[F.col(f"z.n{k}") for k in range(1, window + 1)]))
-    pairs = zipped.select(F.col("z.t").alias("a"), F.explode(nexts).alias("b"))
+    pairs = zipped.select(F.col("z.t").alias("a"), F.explode_outer(nexts).alias("b")).where(F.col("b").isNotNull())
     counts = pairs.groupBy(F.least("a", "b").alias("w1"), F.greatest("a", "b").alias("w2")).agg(
         F.count("*").alias("counts")
     )

@@ -50,14 +50,17 @@ def messages_near_claim(
     so no all-against-all comparison is planned. Busy days are cut in pieces.
     `messages`: (message_id, date, ...); `claims`: (fact_id, claim_date, ...).
     """
-    m = messages.withColumn("_day", F.to_date("date"))
+    # instants as numbers on each side, so the join compares plain longs
+    moment = F.unix_micros(F.col("date").cast("timestamp"))
+    m = messages.withColumns({"_day": F.to_date("date"), "_at": moment})
     counts = m.groupBy("_day").agg(F.count("*").alias("n"))
-    first = times.add_days(F.col("claim_date").cast("timestamp"), -days)
-    last = times.add_days(F.col("claim_date").cast("timestamp"), days)
-    c = claims.withColumn("_day", F.explode(F.sequence(F.to_date(first), F.to_date(last))))
+    checked = F.col("claim_date").cast("timestamp")
+    first, last = times.add_days(checked, -days), times.add_days(checked, days)
+    c = claims.withColumns({"_from": F.unix_micros(first), "_to": F.unix_micros(last)})
+    c = c.withColumn("_day", F.explode(F.sequence(F.to_date(first), F.to_date(last))))
     joined = salted_join(m, c, "_day", [message_id], hot_keys(counts, "_day"))
-    moment = F.col("date").cast("timestamp")
-    return joined.where((moment > first) & (moment < last)).drop("_day")
+    near = (F.col("_at") > F.col("_from")) & (F.col("_at") < F.col("_to"))
+    return joined.where(near).drop("_day", "_at", "_from", "_to")
 
 
 def match_media(registry: DataFrame, publications: DataFrame) -> DataFrame:

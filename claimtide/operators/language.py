@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..session import spread
+
 CONFIDENCE = 0.75
 UNDEFINED = "undefined"
 
@@ -49,9 +51,10 @@ def default_votes(texts: DataFrame, id_: str, text: str, tokens: Column, languag
     """
     lowered = F.lower(text)
     marks = {lang: MARKING_LETTERS[lang] for lang in languages if lang in MARKING_LETTERS}
-    t = texts.select(id_, lowered.alias("_l"), tokens.alias("_t"))
+    asked = sorted({w for lang in languages for w in FUNCTION_WORDS[lang]})
+    # one pass keeps the function words of any language; the rest counts on those
+    t = spread(texts).select(id_, lowered.alias("_l"), F.filter(tokens, lambda w: w.isin(asked)).alias("_t"))
     t = t.withColumn("_d", F.array_distinct("_t"))
-    # counts become columns first, so each is taken once per text
     counted = t.select(
         id_,
         *[_hits(F.col("_t"), FUNCTION_WORDS[lang]).alias(f"_w_{lang}") for lang in languages],

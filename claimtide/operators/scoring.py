@@ -8,6 +8,7 @@ from pyspark.sql import Window as W
 
 from ..functions import labels as lb
 from ..functions import vectors as vx
+from ..session import spread
 from . import aggregates, joins
 
 
@@ -20,7 +21,8 @@ def hashed_vectors(
     A word's slot comes from `hashed` over a column named `word`.
     """
     slot = F.pmod(F.xxhash64("word") if hashed is None else hashed, F.lit(size)).cast("int")
-    words = texts.select(id_, F.explode(tokens).alias("word"))
+    # outer, since the plain form adds a filter that would cut the words once more
+    words = spread(texts).select(id_, F.explode_outer(tokens).alias("word")).where(F.col("word").isNotNull())
     counts = words.groupBy(id_, slot.alias("slot")).agg(F.count("*").alias("tf"))
     total = texts.agg(F.count("*")).scalar()
     frequency = counts.groupBy("slot").agg(F.count("*").alias("df"))  # at most `size` rows

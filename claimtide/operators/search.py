@@ -13,8 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from ..functions import times
-from ..session import stored
+from ..session import spread, stored
 from .skew import hot_keys, salted_join
 
 QUERY_WORDS = ["and", "or"]
@@ -118,14 +117,22 @@ def restrictive_text(pairs: Column) -> Column:
 
 
 def token_table(messages: DataFrame, tokens: Column, message_id: str = "message_id") -> DataFrame:
-    """(message_id, date, word), each word once per message; no shuffle."""
-    date = F.col("date") if "date" in messages.columns else F.lit(None).cast("timestamp").alias("date")
-    return messages.select(message_id, date, F.explode(F.array_distinct(tokens)).alias("word"))
+    """(message_id, date, word), each word once per message."""
+    if "date" not in messages.columns:
+        messages = messages.withColumn("date", F.lit(None).cast("timestamp"))
+    date = "date"
+    # messages of a few files go over all cores; otherwise rows stay where they are
+    cut = spread(messages).select(message_id, date, F.array_distinct(tokens).alias("words"))
+    # outer, since the plain form adds a filter that would cut the words once more
+    return cut.select(message_id, date, F.explode_outer("words").alias("word")).where(F.col("word").isNotNull())
 
 
 def match_units(units: DataFrame, words: DataFrame, days: tuple[int, int] | None = None) -> DataFrame:
     """Messages holding at least `need` distinct keywords of a unit.
 
+    With `days` = (before, after) only messages of the claim's day and so many
+    whole days around it count.
+
     `units`: (fact_id, unit, keywords, need[, claim_date]); `words`: the token
     table. Result: (fact_id, unit, message_id, matched).
     """
@@ -147,22 +154,25 @@ def match_units(units: DataFrame, words: DataFrame, days: tuple[int, int] | None
     )
     carried = ["fact_id", "unit", "need", "keywords"] + (["claim_date"] if days else [])
     probes = probes.join(units.select(*carried), ["fact_id", "unit"])
-    hits = salted_join(known, probes, "word", ["message_id"], hot_keys(frequency, "word"))
     if days:
+        # word and day together: a busy word only meets claims whose window it is in
         before, after = days
-        midnight = F.date_trunc("day", "claim_date")
-        hits = hits.where(
-            (F.col("date") >= times.add_days(midnight, -before)) & (F.col("date") < times.add_days(midnight, after + 1))
-        )
-    candidates = hits.select("message_id", "fact_id", "unit", "need", "keywords").dropDuplicates(
-        ["message_id", "fact_id", "unit"]
-    )
-    checks = candidates.select("message_id", "fact_id", "unit", "need", F.explode("keywords").alias("word"))
-    found = checks.join(known.select("message_id", "word"), ["message_id", "word"])
-    counted = found.groupBy("message_id", "fact_id", "unit").agg(
-        F.count("*").alias("matched"), F.first("need").alias("need")
-    )
-    return counted.where(F.col("matched") >= F.col("need")).select("fact_id", "unit", "message_id", "matched")
+        claim_day = F.to_date("claim_date")
+        reach = F.sequence(F.date_add(claim_day, -before), F.date_add(claim_day, after))
+        probes = probes.withColumn("_day", F.explode(reach))
+        dated = known.withColumn("_day", F.to_date("date"))
+        busy = dated.groupBy("word", "_day").agg(F.count("*").alias("n"))
+        hits = salted_join(dated, probes, ["word", "_day"], ["message_id"], hot_keys(busy, ["word", "_day"]))
+    else:
+        hits = salted_join(known, probes, "word", ["message_id"], hot_keys(frequency, "word"))
+    # the asked words of each message, at most its own distinct words; hits meet
+    # them by message, and repeated finds of a pair fall out in the same place
+    have = known.groupBy("message_id").agg(F.collect_list("word").alias("_have"))
+    checked = hits.select("message_id", "fact_id", "unit", "need", "keywords").join(have, "message_id")
+    matched = F.size(F.array_intersect("keywords", "_have"))
+    checked = checked.select("fact_id", "unit", "message_id", "need", matched.cast("bigint").alias("matched"))
+    kept = checked.where(F.col("matched") >= F.col("need")).drop("need")
+    return kept.dropDuplicates(["message_id", "fact_id", "unit"])
 
 
 def keyword_search(

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 HOT_SHARE = 1 / 256
 
 
-def hot_keys(counts: DataFrame, key: str, n: str = "n", share: float = HOT_SHARE) -> DataFrame:
+def hot_keys(counts: DataFrame, key: str | list[str], n: str = "n", share: float = HOT_SHARE) -> DataFrame:
     """Keys above a share of all rows, with the number of pieces to cut them in.
 
     At most 1/share keys can pass, whatever the data, so the result is small
@@ -16,11 +16,12 @@ def hot_keys(counts: DataFrame, key: str, n: str = "n", share: float = HOT_SHARE
     """
     total = counts.agg(F.sum(n)).scalar()
     pieces = F.ceil(F.col(n) / (total * F.lit(share))).cast("int")
-    return counts.where(F.col(n) > total * F.lit(share)).select(key, pieces.alias("_pieces"))
+    keys = [key] if isinstance(key, str) else key
+    return counts.where(F.col(n) > total * F.lit(share)).select(*keys, pieces.alias("_pieces"))
 
 
 def salted_join(
-    left: DataFrame, right: DataFrame, key: str, spread: list[str], hot: DataFrame, how: str = "inner"
+    left: DataFrame, right: DataFrame, key: str | list[str], spread: list[str], hot: DataFrame, how: str = "inner"
 ) -> DataFrame:
     """Equi-join whose hot left keys are cut in pieces by a hash of `spread`.
 
@@ -28,11 +29,12 @@ def salted_join(
     meets each right row exactly once. The salt is a pure function of the row,
     so a retried task produces the same partitions.
     """
+    keys = [key] if isinstance(key, str) else key
     hot = F.broadcast(hot)
-    salted_left = left.join(hot, key, "left").withColumn(
+    salted_left = left.join(hot, keys, "left").withColumn(
         "_salt", F.coalesce(F.pmod(F.xxhash64(*spread), F.col("_pieces")), F.lit(0).cast("bigint"))
     )
     copies = F.sequence(F.lit(0).cast("bigint"), (F.coalesce("_pieces", F.lit(1)) - 1).cast("bigint"))
-    salted_right = right.join(hot, key, "left").withColumn("_salt", F.explode(copies))
-    joined = salted_left.drop("_pieces").join(salted_right.drop("_pieces"), [key, "_salt"], how)
+    salted_right = right.join(hot, keys, "left").withColumn("_salt", F.explode(copies))
+    joined = salted_left.drop("_pieces").join(salted_right.drop("_pieces"), [*keys, "_salt"], how)
     return joined.drop("_salt")

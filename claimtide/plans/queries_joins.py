@@ -159,8 +159,7 @@ def group_search(spark, folder):
 @query(
     "J6_keyword_search_in_window",
     rf"""
-    WITH c AS (SELECT o_orderkey AS fact_id, o_orderdate AS claim_date, [o_orderpriority, o_orderstatus] AS keywords FROM orders
-               WHERE o_orderdate BETWEEN '1998-03-01' AND '1998-03-15'),
+    WITH c AS (SELECT o_orderkey AS fact_id, o_orderdate AS claim_date, [o_orderpriority, o_orderstatus] AS keywords FROM orders),
     m AS (SELECT o_orderkey AS message_id, o_orderdate AS date, o_orderpriority AS p, o_orderstatus AS s FROM orders)
     SELECT fact_id, message_id, 2::BIGINT AS matched FROM c JOIN m ON p = keywords[1] AND s = keywords[2]
       AND date >= date_trunc('day', claim_date) - INTERVAL 7 DAY AND date < date_trunc('day', claim_date) + INTERVAL 8 DAY
@@ -168,7 +167,7 @@ def group_search(spark, folder):
 )
 def keyword_search_in_window(spark, folder):
     claims = Tables(spark, folder).claims
-    features = claims.where(F.col("date").between("1998-03-01", "1998-03-15")).select(
+    features = claims.select(
         "fact_id", F.col("date").alias("claim_date"), F.array("reviewer", "calification").alias("keywords")
     )
     messages = claims.select(F.col("fact_id").alias("message_id"), "date", "reviewer", "calification")
