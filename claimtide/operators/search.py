@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
 from ..session import spread, stored
-from .skew import hot_keys, salted_join
+from .skew import broadcast_if_small, hot_keys, salted_join
 
 QUERY_WORDS = ["and", "or"]
 
@@ -139,7 +139,7 @@ def match_units(units: DataFrame, words: DataFrame, days: tuple[int, int] | None
     units = stored(units.withColumn("keywords", F.array_distinct("keywords")), "units")
     units = units.where((F.col("need") > 0) & (F.size("keywords") >= F.col("need")))
     asked = units.select("fact_id", "unit", "need", F.size("keywords").alias("n"), F.explode("keywords").alias("word"))
-    vocabulary = asked.select("word").distinct()
+    vocabulary = broadcast_if_small(asked.select("word").distinct())
     # messages are read and cut into words once; only asked words are kept
     known = stored(words.join(vocabulary, "word", "left_semi"), "words")
     frequency = known.groupBy("word").agg(F.count("*").alias("n"))

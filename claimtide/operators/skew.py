@@ -6,6 +6,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 HOT_SHARE = 1 / 256
+BROADCAST_ROWS = 1_000_000
+
+
+def broadcast_if_small(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
+    """Broadcast after counting; a larger side is left to a shuffled join."""
+    return F.broadcast(df) if df.count() <= rows else df
 
 
 def hot_keys(counts: DataFrame, key: str | list[str], n: str = "n", share: float = HOT_SHARE) -> DataFrame:

@@ -231,9 +231,10 @@ def match_media(spark, folder):
 
 
 def title_news(t: Tables):
-    """Documents as news of the claim with their number modulo the claims."""
+    """Documents as news of the claims in turn."""
+    claims = t.benchmark.agg(F.count("*")).scalar()
     return t.documents.select(
-        F.col("doc_id").alias("news_id"), (F.col("doc_id") % 40).alias("fact_id"), F.col("text").alias("Title")
+        F.col("doc_id").alias("news_id"), (F.col("doc_id") % claims).alias("fact_id"), F.col("text").alias("Title")
     )
 
 
@@ -241,7 +242,7 @@ TITLE_SQL = rf"""
     refiltered AS (
       SELECT doc_id AS news_id, coalesce(len(list_intersect(
         regexp_extract_all(text, '[\p{{L}}\p{{N}}]+(?:[-''.][\p{{L}}\p{{N}}]+)*'), keywords)) > 0, false) AS keywords_in_title
-      FROM documents LEFT JOIN kw ON fact_id = doc_id % 40)
+      FROM documents LEFT JOIN kw ON fact_id = doc_id % (SELECT count(*) FROM benchmark))
 """
 
 

@@ -64,21 +64,20 @@ def unify(spark, folder):
 @query(
     "P2_pluck",
     """
-    SELECT o_orderkey, string_agg(coalesce(l_returnflag || l_linenumber, ''), ',' ORDER BY l_linenumber, l_partkey, l_suppkey)
-             FILTER (WHERE l_returnflag <> 'N') AS names, count(*) FILTER (WHERE l_returnflag <> 'N') AS n
-    FROM orders JOIN lineitem ON l_orderkey = o_orderkey GROUP BY 1
+    SELECT l_orderkey, l_linenumber, l_partkey, concat_ws(',', CASE WHEN l_returnflag <> 'N' THEN l_returnflag END,
+      CASE WHEN l_linestatus <> 'O' THEN l_linestatus END, l_linenumber::VARCHAR) AS names FROM lineitem
     """,
 )
 def pluck(spark, folder):
-    """Line items as a bounded list per order; 'N' lines lack the key."""
-    t = Tables(spark, folder)
-    name = F.when(F.col("l_returnflag") != "N", F.concat("l_returnflag", F.col("l_linenumber").cast("string")))
-    entry = F.struct("l_linenumber", "l_partkey", "l_suppkey", name.alias("name"))
-    rows = t.orders.join(t.lineitem, F.col("l_orderkey") == F.col("o_orderkey"))
-    rows = rows.groupBy("o_orderkey").agg(F.sort_array(F.collect_list(entry)).alias("lines"))
-    names = filters.pluck("lines", "name")
-    joined = F.when(F.size(names) > 0, F.array_join(names, ","))
-    return rows.select("o_orderkey", joined.alias("names"), F.size(names).cast("bigint").alias("n"))
+    """Three elements per row; 'N' and 'O' elements lack the key."""
+    flags = [
+        F.when(F.col("l_returnflag") != "N", F.col("l_returnflag")),
+        F.when(F.col("l_linestatus") != "O", F.col("l_linestatus")),
+        F.col("l_linenumber").cast("string"),
+    ]
+    elements = F.array(*[F.struct(f.alias("name")) for f in flags])
+    df = Tables(spark, folder).lineitem.withColumn("formats", elements)
+    return df.select("l_orderkey", "l_linenumber", "l_partkey", F.array_join(filters.pluck("formats", "name"), ",").alias("names"))
 
 
 @query(

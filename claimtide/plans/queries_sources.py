@@ -102,21 +102,25 @@ def read_messages(spark, folder):
 @query(
     "S4_read_news",
     """
-    SELECT l_orderkey || '-' || l_linenumber || '-' || l_partkey AS "IdDocument", l_returnflag AS "Newspaper",
-      strftime(l_shipdate, '%Y-%m-%d') AS date, l_orderkey::VARCHAR AS fact_id, count(*) OVER (PARTITION BY l_orderkey) AS query_output
-    FROM lineitem
+    WITH a AS (SELECT l_orderkey || '-' || l_linenumber || '-' || l_partkey AS id, * FROM lineitem)
+    SELECT id AS "IdDocument", l_returnflag AS "Newspaper", strftime(l_shipdate, '%Y-%m-%d') AS date, l_orderkey::VARCHAR AS fact_id,
+      l_suppkey AS query_output FROM a
+    UNION ALL SELECT id || '-b', l_linestatus, strftime(l_shipdate + INTERVAL 1 DAY, '%Y-%m-%d'), l_orderkey::VARCHAR, l_suppkey FROM a
     """,
 )
 def read_news(spark, folder):
-    """One response per order; an order has a handful of lines."""
+    """One response of two articles per line item."""
     path = scratch_path(spark, "news")
-    article = F.struct(
-        F.concat_ws("-", "l_orderkey", "l_linenumber", "l_partkey").alias("IdDocument"),
-        F.col("l_returnflag").alias("Newspaper"),
-        F.date_format("l_shipdate", "dd/MM/yyyy").alias("Date"),
-    )
-    Tables(spark, folder).lineitem.groupBy(F.col("l_orderkey").cast("string").alias("fact_id")).agg(
-        F.count("*").alias("total"), F.collect_list(article).alias("news")
+    key = F.concat_ws("-", "l_orderkey", "l_linenumber", "l_partkey")
+
+    def article(id_, newspaper: str, shift: int):
+        date = F.date_format(F.date_add("l_shipdate", shift), "dd/MM/yyyy")
+        return F.struct(id_.alias("IdDocument"), F.col(newspaper).alias("Newspaper"), date.alias("Date"))
+
+    Tables(spark, folder).lineitem.select(
+        F.col("l_orderkey").cast("string").alias("fact_id"),
+        F.col("l_suppkey").alias("total"),
+        F.array(article(key, "l_returnflag", 0), article(F.concat(key, F.lit("-b")), "l_linestatus", 1)).alias("news"),
     ).write.json(path)
     read = readers.read_news(spark, path)
     return read.select("IdDocument", "Newspaper", times.day_text("date").alias("date"), "fact_id", "query_output")
@@ -215,7 +219,7 @@ def read_chat_messages(spark, folder):
 
 
 def list_pages(t: Tables):
-    """Stored list pages, one per claim and day, with a post per event."""
+    """Stored list pages, one per event."""
     e = t.events.withColumn("stamp", F.unix_timestamp(F.date_trunc("second", "ts")).cast("string"))
     post = F.concat(
         F.lit('<div class="news-summary"><div class="news-body" data-link-id="'), "event_id",
@@ -228,15 +232,14 @@ def list_pages(t: Tables):
         F.lit('</span></div><a class="comments" data-comments-number="'), F.col("event_id") % 5,
         F.lit('">comments</a></div></div>'),
     )
-    pages = e.groupBy("user_id", F.to_date("ts").alias("day")).agg(F.array_join(F.collect_list(post), "\n").alias("posts"))
-    html = F.concat(F.lit("<html><body><nav>menu</nav>"), "posts", F.lit("</body></html>"))
-    return pages.select(F.concat_ws("/", "user_id", "day").alias("page_id"), html.alias("html"))
+    html = F.concat(F.lit("<html><body><nav>menu</nav>"), post, F.lit("</body></html>"))
+    return e.select(F.concat_ws("/", "user_id", "event_id").alias("page_id"), html.alias("html"))
 
 
 @query(
     "S9_extract_posts",
     """
-    SELECT user_id || '/' || strftime(ts, '%Y-%m-%d') AS page_id, event_id::VARCHAR AS post_id, user_id AS votes, floor(value)::BIGINT AS clicks,
+    SELECT user_id || '/' || event_id AS page_id, event_id::VARCHAR AS post_id, user_id AS votes, floor(value)::BIGINT AS clicks,
       event_type || ' & co' AS category, strftime(date_trunc('second', ts) + INTERVAL 1 HOUR, '%Y-%m-%d %H:%M:%S') AS created_local,
       event_type = 'error' AS controversy, event_id % 9 AS positive_votes, event_id % 5 AS number_comments FROM events
     """,
@@ -346,7 +349,7 @@ def write_json(spark, folder):
     "S14_write_range_dump",
     f"""
     WITH {FEATURE_WORDS_SQL}, {TITLE_SQL}, c AS (SELECT doc_id AS fact_id FROM documents WHERE n_chars BETWEEN 1000 AND 2000),
-    n AS (SELECT news_id, news_id % 40 AS fact_id, keywords_in_title FROM refiltered)
+    n AS (SELECT news_id, news_id % (SELECT count(*) FROM benchmark) AS fact_id, keywords_in_title FROM refiltered)
     SELECT 'claims' AS name, fact_id AS id FROM c
     UNION ALL SELECT DISTINCT 'messages', turn FROM conversations JOIN c ON fact_id = conv_id
     UNION ALL SELECT 'news', news_id FROM n WHERE keywords_in_title AND fact_id IN (FROM c)

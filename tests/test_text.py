@@ -134,3 +134,23 @@ def test_day_windows(spark):
     assert str(windows[-1]["end"]) == "2024-01-18 00:00:00"
     windows = df.select(times.day_windows("d", from_midnight=False)).first()[0]
     assert len(windows) == 14 and str(windows[0]["start"]) == "2024-01-03 15:00:00"
+
+
+def test_posts_of_one_page(spark):
+    from claimtide.sources import readers
+
+    def post(i, warn):
+        return (
+            f'<div class="news-summary"><div class="news-body" data-link-id="{i}"><div class="votes"><a href="#">1{i}</a></div>'
+            f'<div class="clics"><span> 2{i} clics</span></div>{warn}<span class="ts visible" data-ts="1704067200"></span>'
+            f'<a class="subname" href="/x">cultura &amp; ocio</a></div></div>'
+        )
+
+    html = "<nav>x</nav>" + post(1, "") + post(2, '<div class="warn">!</div>')
+    df = spark.createDataFrame([(7, html), (8, "<p>none</p>")], "page_id int, html string")
+    got = readers.extract_posts(df).orderBy("post_id").collect()
+    assert [(r["post_id"], r["votes"], r["clicks"], r["category"], r["controversy"]) for r in got] == [
+        ("1", 11, 21, "cultura & ocio", False),
+        ("2", 12, 22, "cultura & ocio", True),
+    ]
+    assert str(got[0]["created_local"]) == "2024-01-01 01:00:00" and got[0]["number_comments"] is None
