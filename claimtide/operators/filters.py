@@ -197,7 +197,7 @@ def subset_flags(
     in_eval = (F.col("calification") == verdict) & F.col("reviewer").isin(reviewers)
     claims = claims.withColumn("experience_subset", F.coalesce(in_eval, F.lit(False)))
     eval_ids = claims.where("experience_subset").select("fact_id")
-    eval_messages = links.join(eval_ids, "fact_id", "left_semi").select("message_id")
+    eval_messages = links.join(eval_ids.distinct(), "fact_id", "left_semi").select("message_id")
     links = _flagged(links, eval_messages, "message_id", "experience_subset")
     news = _flagged(news, eval_ids, "fact_id", "experience_subset")
 

@@ -11,7 +11,7 @@ from .skew import hot_keys, salted_join
 
 def unprocessed(claims: DataFrame, features: DataFrame) -> DataFrame:
     """Claims without a features row."""
-    return claims.join(features, "fact_id", "left_anti")
+    return claims.join(features.select("fact_id").distinct(), "fact_id", "left_anti")
 
 
 def message_links(messages: DataFrame, message_id: str = "tweet_id", claims: str = "fact_id") -> DataFrame:
@@ -38,7 +38,7 @@ def attach_claim_attributes(messages: DataFrame, claims: DataFrame, attributes:
 
 
 def restrict_to_claims(df: DataFrame, ids: DataFrame) -> DataFrame:
-    return df.join(ids, "fact_id", "left_semi")
+    return df.join(ids.select("fact_id").distinct(), "fact_id", "left_semi")
 
 
 def messages_near_claim(
@@ -90,7 +90,7 @@ def refilter_by_title(news: DataFrame, features: DataFrame, title: str = "Title"
 
 
 def without_ids(df: DataFrame, ids: DataFrame, on: str) -> DataFrame:
-    return df.join(ids, on, "left_anti")
+    return df.join(ids.select(on).distinct(), on, "left_anti")
 
 
 def two_source_counts(a: DataFrame, b: DataFrame, key: str, name_a: str, name_b: str) -> DataFrame:

@@ -12,6 +12,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
+from ..session import stored
+
 
 def _ranges(df: DataFrame) -> int:
     return max(8, min(512, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))))
@@ -20,8 +22,10 @@ def _ranges(df: DataFrame) -> int:
 def running_totals(counts: DataFrame, keys: list[str], value: str, n: str = "n") -> DataFrame:
     """Adds `_before` (rows with a smaller value in the same keys) and `_total`.
 
-    `counts` has one row per (keys, value); other columns ride along.
+    `counts` has one row per (keys, value); other columns ride along. It is
+    read three times, so it is stored first and the raw rows are read once.
     """
+    counts = stored(counts, "counts")
     parts = _ranges(counts)
     cuts = [i / parts for i in range(1, parts)]
     bounds = counts.agg(F.percentile_approx(value, cuts, 20 * parts)).scalar()

@@ -8,8 +8,9 @@ from pyspark.sql import Window as W
 
 from ..functions import labels as lb
 from ..functions import vectors as vx
-from ..session import spread
+from ..session import spread, stored
 from . import aggregates, joins
+from .skew import broadcast_if_small
 
 
 def hashed_vectors(
@@ -153,8 +154,7 @@ def tune_threshold(
     bit = (F.col("upper") - F.col("lower")) / trials
     steps = [F.when(F.col("upper") >= F.col("lower"), F.col("lower") + bit * i) for i in range(1, trials)]
     candidates = means.select(*keys, F.array("lower", "upper", *steps).alias("t"))
-    # one row per compared model; a model is a named configuration, not data
-    joined = scores.join(F.broadcast(candidates), keys)
+    joined = scores.join(broadcast_if_small(stored(candidates, "candidates")), keys)
     sums = []
     for i in range(trials + 1):
         above = F.col("score") > F.col("t")[i]

@@ -24,8 +24,8 @@ def write_range_dump(
 ) -> dict[str, str]:
     """Four extracts that agree: claims of a date range and what hangs on them."""
     chosen = claims.where(F.col("date").between(start, end))
-    ids = chosen.select("fact_id")
-    kept = message_links.join(ids, "fact_id", "left_semi").select("message_id")
+    ids = chosen.select("fact_id").distinct()
+    kept = message_links.join(ids, "fact_id", "left_semi").select("message_id").distinct()
     extracts = {
         "claims": chosen,
         "messages": messages.join(kept, "message_id", "left_semi"),
