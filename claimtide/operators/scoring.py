@@ -134,7 +134,9 @@ def mean_scores(scores: DataFrame, label: str = "label", keys: tuple = ()) -> Da
 
 
 def score_correlation(scores: DataFrame, ordinal: str = "ordinal", keys: tuple = ()) -> DataFrame:
-    return scores.groupBy(*keys).agg(F.corr("score", ordinal).alias("correlation"))
+    """Pearson correlation; null when either side is constant."""
+    spread_of = F.stddev_pop("score") * F.stddev_pop(ordinal)
+    return scores.groupBy(*keys).agg(F.try_divide(F.covar_pop("score", ordinal), spread_of).alias("correlation"))
 
 
 def tune_threshold(
@@ -143,7 +145,7 @@ def tune_threshold(
     """Best threshold between the class means, per model.
 
     Candidates: lower mean, upper mean, then the steps between them; the first
-    best one wins. All candidates are counted in one pass over the scores
+    best one wins. A model that lacks a class has no threshold. All candidates are counted in one pass over the scores
     (score, target in 0/1), then compared on one row per model.
     """
     keys = list(keys)
@@ -153,7 +155,8 @@ def tune_threshold(
     )
     bit = (F.col("upper") - F.col("lower")) / trials
     steps = [F.when(F.col("upper") >= F.col("lower"), F.col("lower") + bit * i) for i in range(1, trials)]
-    candidates = means.select(*keys, F.array("lower", "upper", *steps).alias("t"))
+    both = F.col("upper").isNotNull() & F.col("lower").isNotNull()
+    candidates = means.select(*keys, F.when(both, F.array("lower", "upper", *steps)).alias("t"))
     joined = scores.join(broadcast_if_small(stored(candidates, "candidates")), keys)
     sums = []
     for i in range(trials + 1):
@@ -189,8 +192,8 @@ def tune_threshold(
     good = F.col("b.q") > 0
     return picked.select(
         *keys,
-        F.when(good, F.col("b.threshold")).otherwise(0.0).alias("threshold"),
-        F.when(good, F.col("b.q")).otherwise(0.0).alias("quality"),
+        F.when(good, F.col("b.threshold")).when(~good, 0.0).alias("threshold"),
+        F.when(good, F.col("b.q")).when(~good, 0.0).alias("quality"),
     )
 
 

@@ -230,7 +230,9 @@ TUNED_SQL = """
       FROM c JOIN scores s ON s.model = c.model AND s.source = c.source GROUP BY 1, 2, 3, 4),
     p AS (SELECT *, (CASE WHEN tp + fp > 0 THEN tp / (tp + fp) ELSE 0 END + CASE WHEN tn + fn > 0 THEN tn / (tn + fn) ELSE 0 END)
             / ((tp + fp + fn > 0)::INT + (tn + fn + fp > 0)::INT) AS quality FROM q),
-    tuned AS (SELECT model, source, arg_max(t, (quality, -i)) AS threshold, max(quality) AS quality FROM p GROUP BY 1, 2)
+    tuned AS (SELECT model, source, CASE WHEN any_value(hi) IS NOT NULL AND any_value(lo) IS NOT NULL THEN arg_max(t, (quality, -i)) END AS threshold,
+      CASE WHEN any_value(hi) IS NOT NULL AND any_value(lo) IS NOT NULL THEN max(quality) END AS quality
+      FROM p JOIN m USING (model, source) GROUP BY 1, 2)
 """
 
 
@@ -240,7 +242,7 @@ def mean_scores(spark, folder):
     return rounded(scoring.mean_scores(scores, "label", ("model",)), "mean_score")
 
 
-@query("A27_score_correlation", f"WITH {SCORES_SQL} SELECT model, round(corr(score, ordinal), 6) AS correlation FROM scores GROUP BY 1")
+@query("A27_score_correlation", f"WITH {SCORES_SQL} SELECT model, round(CASE WHEN stddev_pop(ordinal) > 0 THEN corr(score, ordinal) END, 6) AS correlation FROM scores GROUP BY 1")
 def score_correlation(spark, folder):
     return rounded(scoring.score_correlation(model_scores(Tables(spark, folder)), keys=("model",)), "correlation")
 
@@ -256,7 +258,7 @@ def tune_threshold(spark, folder):
 @query(
     "M6_compare_models",
     f"""
-    WITH {SCORES_SQL}, {TUNED_SQL}, r AS (SELECT model, source, corr(score, ordinal) AS correlation FROM scores GROUP BY 1, 2)
+    WITH {SCORES_SQL}, {TUNED_SQL}, r AS (SELECT model, source, CASE WHEN stddev_pop(ordinal) > 0 THEN corr(score, ordinal) END AS correlation FROM scores GROUP BY 1, 2)
     SELECT model, source, round(threshold, 6) AS threshold, round(quality, 6) AS quality, round(correlation, 6) AS correlation
     FROM tuned JOIN r USING (model, source)
     """,

@@ -431,3 +431,12 @@ def test_vectors_of_equal_text_are_equal(spark):
     df = spark.createDataFrame([(1, "sol y agua"), (2, "sol y agua"), (3, "otra cosa")], "id int, t string")
     vectors = {r["id"]: r["vector"] for r in scoring.hashed_vectors(df, "id", F.split("t", " "), 16).collect()}
     assert vectors[1] == vectors[2] != vectors[3] and len(vectors[1]) == 16
+
+
+def test_model_without_both_classes_has_no_threshold(spark):
+    data = [("one", 0.1, 1, 1.0), ("one", 0.4, 1, 1.0), ("two", 0.1, 0, 0.0), ("two", 0.9, 1, 1.0)]
+    df = spark.createDataFrame(data, "model string, score double, target int, ordinal double")
+    tuned = {r["model"]: r for r in scoring.tune_threshold(df).collect()}
+    assert tuned["one"]["threshold"] is None and tuned["two"]["quality"] == 1.0
+    tied = {r["model"]: r["correlation"] for r in scoring.score_correlation(df, keys=("model",)).collect()}
+    assert tied["one"] is None and tied["two"] == pytest.approx(1.0)
