@@ -5,10 +5,17 @@ from __future__ import annotations
 import textwrap
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from ..session import scratch_path
+from .byte_pairs import decode, encode
 from .common import table
+from .line_dedup import line_dedup
 from .quality_rules import quality_rules
+from .source_mix import source_mix
+from .warc import warc_round_trip
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -76,3 +83,69 @@ def query(name: str, sql: str | None = None):
 )
 def op1_quality_rules(spark, folder):
     return quality_rules(table(spark, folder, "documents")).drop("row", "clean_text")
+
+
+def byte_pair_digests(docs: DataFrame) -> DataFrame:
+    """Encode, decode, and digest both; `docs` needs doc_id and text."""
+    path = public_tokenizers.path("byte_bpe_50k.tiktoken")
+    encoded = encode(docs, path, public_tokenizers.PATTERN, carry=["doc_id"])
+    back = decode(encoded, path)
+    return back.select(
+        "row.row.doc_id",
+        "row.n_tokens",
+        F.sha2("row.token_ids", 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
+@query("op2_byte_pairs")
+def op2_byte_pairs(spark, folder):
+    return byte_pair_digests(table(spark, folder, "documents"))
+
+
+@query(
+    "op6_line_dedup",
+    r"""
+    WITH lines AS (
+      SELECT doc_id, i, line, translate(regexp_replace(line, '^[\x20\x09-\x0D]+|[\x20\x09-\x0D]+$', '', 'g'),
+        'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key
+      FROM (
+        SELECT doc_id, unnest(l) AS line, generate_subscripts(l, 1) AS i
+        FROM (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS l FROM documents)
+      )
+    ),
+    repeated AS (
+      SELECT key, max(doc_id) AS holder FROM lines WHERE length(key) >= 20
+      GROUP BY key HAVING count(DISTINCT doc_id) >= 3
+    )
+    SELECT doc_id, count(*) AS n_lines, count(r.key) AS n_dropped,
+      sha256(coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (r.key IS NULL), '')) AS kept_sha256
+    FROM lines x LEFT JOIN repeated r ON x.key = r.key AND x.doc_id <> r.holder
+    GROUP BY doc_id
+    """,
+)
+def op6_line_dedup(spark, folder):
+    kept = line_dedup(table(spark, folder, "documents"), carry=["doc_id"])
+    return kept.select("row.doc_id", "n_lines", "n_dropped", F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
+@query(
+    "op8_warc",
+    """
+    WITH p AS (SELECT page_id, encode(coalesce(html, '')) AS payload FROM pages),
+    d AS (SELECT page_id, octet_length(payload) AS payload_bytes, sha256(payload) AS payload_digest FROM p),
+    f AS (SELECT payload_digest, min(page_id) AS first FROM d WHERE payload_bytes >= 100 GROUP BY 1)
+    SELECT page_id, payload_bytes, payload_digest,
+      CASE WHEN coalesce(first, page_id) = page_id THEN 'response' ELSE 'revisit' END AS record_type,
+      CASE WHEN first <> page_id THEN first END AS refers_to
+    FROM d LEFT JOIN f USING (payload_digest)
+    """,
+)
+def op8_warc(spark, folder):
+    return warc_round_trip(table(spark, folder, "pages"), scratch_path(spark, "archives")).drop("url")
+
+
+@query("op9_source_mix")
+def op9_source_mix(spark, folder):
+    mixed = source_mix(table(spark, folder, "documents"), carry=["doc_id"])
+    return mixed.select("row.doc_id", "size", "source_size", "target", "taken")
