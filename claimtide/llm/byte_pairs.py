@@ -27,11 +27,11 @@ from pyspark.sql import types as T
 from .common import packed
 
 #: Most entries of each cache of a worker; a full cache starts anew, which costs time and changes nothing.
-CACHE = 1 << 18
+CACHE = 1 << 17
 CACHED_PIECES = 1 << 19
 CACHED_PIECE = 64
 CHUNK = 1 << 20
-BATCH_BYTES = 16 << 20
+BATCH_BYTES = 8 << 20
 NEVER = 1 << 62
 
 
@@ -333,6 +333,15 @@ def encode(docs: DataFrame, ranks_path: str, pattern: str, text: str = "text", c
     name: each row by itself, its columns kept. Empty table: no rows. Texts of
     any length are cut where pieces end, never shortened.
     """
+    return _coded(docs, ranks_path, pattern, text, carry, False)
+
+
+def round_trip(docs: DataFrame, ranks_path: str, pattern: str, text: str = "text", carry: list[str] | None = None) -> DataFrame:
+    """As `encode`, and the ids decoded again in the same task: `decoded` bytes, and `whole` as in `decode`."""
+    return _coded(docs, ranks_path, pattern, text, carry, True)
+
+
+def _coded(docs: DataFrame, ranks_path: str, pattern: str, text: str, carry: list[str] | None, back: bool) -> DataFrame:
     known = read_ranks(ranks_path)
     key = (fingerprint(known), pattern)
     ranks = docs.sparkSession.sparkContext.broadcast(known)
@@ -341,14 +350,17 @@ def encode(docs: DataFrame, ranks_path: str, pattern: str, text: str = "text", c
 
     def builder():
         encoder = kept(Encoder, key, ranks.value, pattern)
+        decoder = kept(Decoder, key, ranks.value) if back else None
 
         def made(value: str | None):
             ids = encoder.encode(value or "")
-            return len(ids) // 4, ids
+            return (len(ids) // 4, ids, *decoder.decode(ids)) if back else (len(ids) // 4, ids)
 
         return made
 
     fields = [T.StructField("n_tokens", T.LongType()), T.StructField("token_ids", T.BinaryType())]
+    if back:
+        fields += [T.StructField("decoded", T.BinaryType()), T.StructField("whole", T.BooleanType())]
     return _mapped(source, "text", fields, builder)
 
 

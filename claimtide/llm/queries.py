@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
-from .byte_pairs import decode, encode
+from .byte_pairs import round_trip
 from .common import table
 from .line_dedup import line_dedup
 from .quality_rules import quality_rules
@@ -88,12 +88,11 @@ def op1_quality_rules(spark, folder):
 def byte_pair_digests(docs: DataFrame) -> DataFrame:
     """Encode, decode, and digest both; `docs` needs doc_id and text."""
     path = public_tokenizers.path("byte_bpe_50k.tiktoken")
-    encoded = encode(docs, path, public_tokenizers.PATTERN, carry=["doc_id"])
-    back = decode(encoded, path)
-    return back.select(
-        "row.row.doc_id",
-        "row.n_tokens",
-        F.sha2("row.token_ids", 256).alias("ids_sha256"),
+    coded = round_trip(docs, path, public_tokenizers.PATTERN, carry=["doc_id"])
+    return coded.select(
+        "row.doc_id",
+        "n_tokens",
+        F.sha2("token_ids", 256).alias("ids_sha256"),
         F.sha2("decoded", 256).alias("decoded_sha256"),
     )
 
