@@ -177,6 +177,7 @@ def line_dedup(
         twice[start : start + SLICE_BITS // 8] = part["twice"]
     found = stored(suspects(base.select("doc_id", "text"), bytes(twice), bits, least).distinct(), "line-suspects")
     repeated = found.groupBy("key").agg(F.count("*").alias("n"), F.max("doc_id").alias("holder")).where(F.col("n") >= documents)
+    repeated = stored(repeated, "repeated-lines")  # else the join would run where the counts are, in which Spark can't split a key
     dropped = (
         found.join(repeated, "key")
         .where(F.col("doc_id").isNull() | (F.col("doc_id") < F.col("holder")))
