@@ -28,7 +28,7 @@ from .common import packed
 
 #: Most entries of each cache of a worker; a full cache starts anew, which costs time and changes nothing.
 CACHE = 1 << 17
-CACHED_PIECES = 1 << 19
+CACHED_PIECES = 1 << 20
 CACHED_PIECE = 64
 CHUNK = 1 << 20
 BATCH_BYTES = 8 << 20

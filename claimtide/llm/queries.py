@@ -13,8 +13,10 @@ from ..session import scratch_path
 from .byte_pairs import round_trip
 from .common import table
 from .line_dedup import line_dedup
+from .near_dedup import near_dedup
 from .quality_rules import quality_rules
 from .source_mix import source_mix
+from .substring_dedup import substring_dedup
 from .warc import warc_round_trip
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -148,3 +150,59 @@ def op8_warc(spark, folder):
 def op9_source_mix(spark, folder):
     mixed = source_mix(table(spark, folder, "documents"), carry=["doc_id"])
     return mixed.select("row.doc_id", "size", "source_size", "target", "taken")
+
+
+@query(
+    "op7_near_dedup",
+    r"""
+    WITH RECURSIVE w AS (
+      SELECT doc_id, list_filter(string_split_regex(translate(coalesce(text, ''),
+        'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w
+      FROM documents
+    ),
+    s AS (
+      SELECT DISTINCT doc_id, array_to_string(w[i:i + 4], ' ') AS s
+      FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 4, least(len(w), 1)) + 1)) AS i FROM w)
+    ),
+    n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+    links AS (
+      SELECT a, b FROM (
+        SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS k FROM s x JOIN s y ON x.s = y.s AND x.doc_id <> y.doc_id GROUP BY ALL
+      ) JOIN n na ON na.doc_id = a JOIN n nb ON nb.doc_id = b
+      WHERE 100 * k >= 85 * (na.n + nb.n - k)
+    ),
+    reach(doc_id, other) AS (
+      SELECT doc_id, doc_id FROM w
+      UNION
+      SELECT r.doc_id, l.b FROM reach r JOIN links l ON l.a = r.other
+    )
+    SELECT r.doc_id, coalesce(max(n.n), 0) AS n_shingles, min(other) AS component_id, r.doc_id = min(other) AS kept
+    FROM reach r LEFT JOIN n USING (doc_id) GROUP BY r.doc_id
+    """,
+)
+def op7_near_dedup(spark, folder):
+    return near_dedup(table(spark, folder, "documents"))
+
+
+@query(
+    "op4_substring_dedup",
+    r"""
+    WITH d AS (
+      SELECT doc_id, list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w FROM documents
+    ),
+    windows AS (
+      SELECT doc_id, i, md5(array_to_string(w[i:i + 49], ' ')) AS s
+      FROM (SELECT doc_id, w, unnest(range(1, len(w) - 48)) AS i FROM d)
+    ),
+    again AS (SELECT doc_id, i FROM (SELECT doc_id, i, min(doc_id) OVER (PARTITION BY s) AS first FROM windows) WHERE first < doc_id),
+    gone AS (SELECT DISTINCT doc_id, unnest(range(i, i + 50)) AS p FROM again),
+    words AS (SELECT doc_id, unnest(w) AS word, generate_subscripts(w, 1) AS p FROM d),
+    kept AS (
+      SELECT doc_id, string_agg(word, ' ' ORDER BY p) AS text, count(*) AS n FROM words ANTI JOIN gone USING (doc_id, p) GROUP BY doc_id
+    )
+    SELECT doc_id, len(w) AS n_words, len(w) - coalesce(n, 0) AS n_removed, sha256(coalesce(text, '')) AS kept_sha256
+    FROM d LEFT JOIN kept USING (doc_id)
+    """,
+)
+def op4_substring_dedup(spark, folder):
+    return substring_dedup(table(spark, folder, "documents")).drop("spans")
