@@ -14,6 +14,9 @@ from .byte_pairs import round_trip
 from .common import table
 from .line_dedup import line_dedup
 from .near_dedup import near_dedup
+from .license_rules import license_scan
+from .posting_lists import nearest
+from .quality_classifier import quality_scores
 from .quality_rules import quality_rules
 from .source_mix import source_mix
 from .substring_dedup import substring_dedup
@@ -206,3 +209,18 @@ def op7_near_dedup(spark, folder):
 )
 def op4_substring_dedup(spark, folder):
     return substring_dedup(table(spark, folder, "documents")).drop("spans")
+
+
+@query("op3_posting_lists")
+def op3_posting_lists(spark, folder):
+    return nearest(table(spark, folder, "embeddings"))
+
+
+@query("op5_license_rules")
+def op5_license_rules(spark, folder):
+    return license_scan(table(spark, folder, "documents"))
+
+
+@query("op10_quality_classifier")
+def op10_quality_classifier(spark, folder):
+    return quality_scores(table(spark, folder, "documents"), table(spark, folder, "labels"))
