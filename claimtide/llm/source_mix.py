@@ -62,7 +62,7 @@ def sainte_lague(votes: np.ndarray, seats: int, most: np.ndarray) -> np.ndarray:
             low = middle
         else:
             high = middle
-    out = given(high)
+    out = given(high * (1 + 1e-9))  # without the seats that tie at the border, which the queue deals in order
     queue = [(-votes[i] / (2 * out[i] + 1), i) for i in range(len(votes)) if votes[i] > 0 and out[i] < most[i]]
     heapq.heapify(queue)
     for _ in range(seats - int(out.sum())):
