@@ -26,9 +26,10 @@ from pyspark.sql import types as T
 
 from .common import packed
 
-#: Most entries of each cache of a worker; a full cache starts anew, which costs time and changes nothing.
+#: Most states of a transducer; a full one starts anew, which costs time and changes nothing.
 CACHE = 1 << 17
-CACHED_PIECES = 1 << 20
+#: Most entries of each of the two generations of known pieces.
+CACHED_PIECES = 1 << 18
 CACHED_PIECE = 64
 CHUNK = 1 << 20
 BATCH_BYTES = 8 << 20
@@ -193,18 +194,27 @@ def packed_ids(ids: list[int]) -> bytes:
 
 
 class Pieces(dict):
-    """Ids of pieces, as little-endian unsigned 32-bit integers."""
+    """Ids of pieces, as little-endian unsigned 32-bit integers.
+
+    When the cache is full it becomes the older one, and what was in the older
+    one before and not asked for since is forgotten.
+    """
 
     def __init__(self, transducer: Transducer):
         super().__init__()
         self.transducer = transducer
+        self.older: dict[str, bytes] = {}
 
     def __missing__(self, piece: str) -> bytes:
-        ids = packed_ids(self.transducer.encode(piece.encode()))
-        if len(piece) <= CACHED_PIECE:
-            if len(self) >= CACHED_PIECES:
-                self.clear()
-            self[piece] = ids
+        ids = self.older.get(piece)
+        if ids is None:
+            ids = packed_ids(self.transducer.encode(piece.encode()))
+            if len(piece) > CACHED_PIECE:
+                return ids
+        if len(self) >= CACHED_PIECES:
+            self.older = dict(self)
+            self.clear()
+        self[piece] = ids
         return ids
 
 
