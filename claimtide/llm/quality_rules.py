@@ -142,13 +142,15 @@ def quality_rules(
     removed = hit.groupBy("doc_id", "host", "copy").agg(
         F.collect_set(F.struct("at", F.size(words(F.col("line"))).alias("n"))).alias("gone")
     )
-    measured = statistics(base, keep=["row", "doc_id", "text", "host", "copy"])
+    removed = stored(removed, "removed-lines")  # its size then tells whether the texts have to move
+    measured = statistics(base, keep=["row", "doc_id", "host", "copy"])
     marked = joined(measured, removed, ["doc_id", "host", "copy"], "left")
     lost = F.aggregate("gone", F.lit(0).cast("long"), lambda total, x: total + x["n"])
-    clean = F.when(F.col("gone").isNull(), F.col("text")).otherwise(
+    own = F.col("row")[text]
+    clean = F.when(F.col("gone").isNull(), own).otherwise(
         let(
             F.transform("gone", lambda x: x["at"]),
-            lambda at: F.array_join(F.filter(F.split("text", "\n"), lambda _, i: ~F.array_contains(at, i)), "\n"),
+            lambda at: F.array_join(F.filter(F.split(own, "\n"), lambda _, i: ~F.array_contains(at, i)), "\n"),
         )
     )
     failed = (F.col("n_words") < min_words) | (100 * F.col("n_repeat_words") > max_repeat * F.col("n_words"))
