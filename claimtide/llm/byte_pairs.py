@@ -11,8 +11,10 @@ lookahead than the longest token has.
 from __future__ import annotations
 
 import base64
+import gc
 import hashlib
 import sys
+import threading
 from array import array
 from collections.abc import Iterator
 from itertools import chain
@@ -36,14 +38,33 @@ BATCH_BYTES = 8 << 20
 NEVER = 1 << 62
 
 
+#: Seconds without a next task after which a worker lets its coders go.
+IDLE = 2.0
 #: A worker keeps the coder it used last, with its caches, for its next tasks.
 KEPT: dict[str, tuple] = {}
+LEAVING: list[threading.Timer] = []
 
 
 def kept(kind, key: tuple, *args):
-    if KEPT.get(kind.__name__, (None,))[0] != key:
-        KEPT[kind.__name__] = (key, kind(*args))
-    return KEPT[kind.__name__][1]
+    while LEAVING:
+        LEAVING.pop().cancel()
+    found = KEPT.get(kind.__name__, (None,))
+    if found[0] != key:
+        found = KEPT[kind.__name__] = (key, kind(*args))
+    return found[1]
+
+
+def forget() -> None:
+    KEPT.clear()
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+
+
+def rest() -> None:
+    """Lets the coders go unless a task asks for them soon; a task that runs holds its own."""
+    LEAVING.append(threading.Timer(IDLE, forget))
+    LEAVING[-1].daemon = True
+    LEAVING[-1].start()
 
 
 def fingerprint(ranks: dict[bytes, int]) -> str:
@@ -330,6 +351,7 @@ def _mapped(df: DataFrame, column: str, fields: list[T.StructField], builder) ->
         made = builder()
         for batch in batches:
             yield from _portions(iter([batch]), pa.schema([batch.schema.field(0), *added]), made, column)
+        rest()
 
     return df.mapInArrow(run, schema)
 
