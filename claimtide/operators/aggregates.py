@@ -6,9 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import text, times
-from ..session import spread
 from . import ranking
-from .skew import hot_keys, salted_join
 
 METRICS = ["retweet_count", "reply_count", "like_count", "quote_count", "impression_count"]
 
@@ -70,20 +68,19 @@ def crosstab_counts(df: DataFrame, f1: str, f2: str) -> DataFrame:
 
 
 def crosstab(
-    df: DataFrame, f1: str, f2: str, reorder_first: bool = True, reorder_second: bool = True, max_columns: int = 1000
+    df: DataFrame, f1: str, f2: str, values: list, reorder_first: bool = True, reorder_second: bool = True
 ) -> tuple[DataFrame, DataFrame]:
-    """Wide counts and their row-normalised twin.
+    """Wide counts of the named values of f2 and their row-normalised twin.
 
-    Rows go up by total, columns down by total. Column names come from the
-    counted values, whose number is checked before they reach the driver.
+    Rows go up by total, columns down by total; one row of column totals goes
+    to the driver. `crosstab_counts` has all values of any number.
     """
     long = opened(df, f1, f2).where(F.col(f1).isNotNull() & F.col(f2).isNotNull())
     long = long.groupBy(f1, f2).agg(F.count("*").alias("count"))
-    margin = long.groupBy(f2).agg(F.sum("count").alias("t"))
-    order = [F.desc("t"), F.col(f2)] if reorder_second else [F.col(f2)]
-    names = [r[0] for r in margin.orderBy(*order).select(f2).take(max_columns + 1)]
-    if len(names) > max_columns:
-        raise ValueError(f"{f2} has more than {max_columns} values; use crosstab_counts")
+    names = sorted(values)
+    if reorder_second:
+        totals = long.agg(*[F.sum(F.when(F.col(f2) == v, F.col("count"))).alias(str(i)) for i, v in enumerate(names)]).first()
+        names = [v for _, v in sorted(zip(totals, names), key=lambda x: -(x[0] or 0))]
     wide = long.groupBy(f1).pivot(f2, names).agg(F.sum("count")).fillna(0)
     columns = [str(n) for n in names]
     total = sum((F.col(f"`{c}`") for c in columns), F.lit(0))
@@ -103,11 +100,11 @@ def per_claim_feature(messages: DataFrame, feature: str, key: str = "fact_id") -
     )
 
 
-def lump_rare(df: DataFrame, column: str, k: int, spread: list[str], other: str = "Others") -> DataFrame:
-    """Values with at most k rows become one value."""
+def lump_rare(df: DataFrame, column: str, k: int, other: str = "Others") -> DataFrame:
+    """Values with at most k rows become one value; these are unique, so the planner splits hot ones."""
     counts = df.groupBy(column).agg(F.count("*").alias("_size"))
     rare = counts.where(F.col("_size") <= k).select(column, F.lit(True).alias("_rare"))
-    joined = salted_join(df, rare, column, spread, hot_keys(counts, column, "_size"), "left")
+    joined = df.join(rare, column, "left")
     return joined.withColumn(column, F.when(F.col("_rare"), F.lit(other)).otherwise(F.col(column))).drop("_rare")
 
 
@@ -159,7 +156,7 @@ def cooccurrence(sentences: DataFrame, sentence: str = "sentence", window: int =
     Neighbours are zipped inside the row; only pair counts are shuffled, and
     they are summed per task first.
     """
-    tokens = spread(sentences).select(text.corpus_tokens(sentence).alias("t"))
+    tokens = sentences.select(text.corpus_tokens(sentence).alias("t"))
     shifted = [
         F.slice("t", k + 1, F.greatest(F.size("t") - k, F.lit(0))).alias(f"n{k}") for k in range(1, window + 1)
     ]

@@ -22,14 +22,12 @@ WORD_TYPES = {
 def merge_pieces(pieces: DataFrame, id_: str = "text_id") -> DataFrame:
     """Words out of subword pieces (id, pos, word_start, word, tag, score, start, end).
 
-    A piece with word_start opens a new word; the last word of a text is only
-    complete when another one opens after it.
+    A piece with word_start opens a new word; the end of the text closes the
+    last one.
     """
     numbered = pieces.withColumn(
         "word_no", F.sum(F.col("word_start").cast("int")).over(W.partitionBy(id_).orderBy("pos"))
     )
-    numbered = numbered.withColumn("_last", F.max("word_no").over(W.partitionBy(id_)))
-    numbered = numbered.where(F.col("word_no") < F.col("_last"))
     # one word's pieces at a time
     words = numbered.groupBy(id_, "word_no").agg(
         F.sort_array(F.collect_list(F.struct("pos", "word", "tag"))).alias("p"),

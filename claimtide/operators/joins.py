@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import text, times
+from ..session import stored
 from .skew import hot_keys, salted_join
 
 
@@ -53,7 +54,7 @@ def messages_near_claim(
     # instants as numbers on each side, so the join compares plain longs
     moment = F.unix_micros(F.col("date").cast("timestamp"))
     m = messages.withColumns({"_day": F.to_date("date"), "_at": moment})
-    counts = m.groupBy("_day").agg(F.count("*").alias("n"))
+    counts = stored(m.groupBy("_day").agg(F.count("*").alias("n")), "days")
     checked = F.col("claim_date").cast("timestamp")
     first, last = times.add_days(checked, -days), times.add_days(checked, days)
     c = claims.withColumns({"_from": F.unix_micros(first), "_to": F.unix_micros(last)})
@@ -116,10 +117,9 @@ def paired(counts: DataFrame) -> DataFrame:
     return counts.where((F.col("before") > 0) & (F.col("after") > 0))
 
 
-def with_group_size(df: DataFrame, key: str, spread: list[str], name: str = "counts") -> DataFrame:
-    """Row count of the key on each row; hot keys are cut in pieces."""
-    counts = df.groupBy(key).agg(F.count("*").alias(name))
-    return salted_join(df, counts, key, spread, hot_keys(counts, key, name), "left")
+def with_group_size(df: DataFrame, key: str, name: str = "counts") -> DataFrame:
+    """Row count of the key on each row; keys are unique on the right, so the planner splits hot ones."""
+    return df.join(df.groupBy(key).agg(F.count("*").alias(name)), key, "left")
 
 
 def apply_corrections(base: DataFrame, updates: DataFrame, key: str, flag: str) -> DataFrame:

@@ -5,8 +5,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..session import spread
-
 CONFIDENCE = 0.75
 UNDEFINED = "undefined"
 
@@ -44,16 +42,16 @@ def _hits(tokens: Column, words: list[str]) -> Column:
 
 
 def default_votes(texts: DataFrame, id_: str, text: str, tokens: Column, languages: list[str]) -> DataFrame:
-    """Votes of three small detectors, computed inside each row.
+    """(id, votes): the votes of three small detectors as an array in each row.
 
-    They stand in for trained detectors, whose votes can be given as a table
-    of the same shape: (id, position, detector, lang, confidence).
+    They stand in for trained detectors, whose votes can be given as such an
+    array, or as a table of (id, position, detector, lang, confidence).
     """
     lowered = F.lower(text)
     marks = {lang: MARKING_LETTERS[lang] for lang in languages if lang in MARKING_LETTERS}
     asked = sorted({w for lang in languages for w in FUNCTION_WORDS[lang]})
     # one pass keeps the function words of any language; the rest counts on those
-    t = spread(texts).select(id_, lowered.alias("_l"), F.filter(tokens, lambda w: w.isin(asked)).alias("_t"))
+    t = texts.select(id_, lowered.alias("_l"), F.filter(tokens, lambda w: w.isin(asked)).alias("_t"))
     t = t.withColumn("_d", F.array_distinct("_t"))
     counted = t.select(
         id_,
@@ -66,11 +64,30 @@ def default_votes(texts: DataFrame, id_: str, text: str, tokens: Column, languag
     by_letter = _best({lang: F.col(f"_m_{lang}") for lang in marks})
     votes = F.array(
         *[
-            F.struct(F.lit(i).alias("position"), F.lit(n).alias("detector"), v.alias("vote"))
+            F.struct(F.lit(i).alias("position"), F.lit(n).alias("detector"), v["lang"].alias("lang"), v["confidence"].alias("confidence"))
             for i, (n, v) in enumerate([("words", by_word), ("kinds", by_kind), ("letters", by_letter)])
         ]
     )
-    return counted.select(id_, F.inline(votes)).select(id_, "position", "detector", "vote.lang", "vote.confidence")
+    return counted.select(id_, votes.alias("votes"))
+
+
+def row_language(votes: str | Column, confidence: float = CONFIDENCE) -> Column:
+    """The language that `vote_language` finds, from the votes of one row, in detector order."""
+    votes = F.col(votes) if isinstance(votes, str) else votes
+    sure = F.filter(votes, lambda v: (v["confidence"] >= confidence) & v["lang"].isNotNull())
+
+    def winners(langs: Column) -> Column:
+        counted = F.transform(
+            F.array_distinct(langs), lambda x: F.struct(x.alias("lang"), F.size(F.filter(langs, lambda y: y == x)).alias("n"))
+        )
+        return F.transform(F.array(counted), top)[0]
+
+    def top(counted: Column) -> Column:
+        most = F.array_max(F.transform(counted, lambda e: e["n"]))
+        return F.transform(F.filter(counted, lambda e: e["n"] == most), lambda e: e["lang"])
+
+    joined = F.array_join(F.transform(F.array(F.transform(sure, lambda v: v["lang"])), winners)[0], "_")
+    return F.when(joined == "", UNDEFINED).otherwise(joined)
 
 
 def vote_language(votes: DataFrame, id_: str, confidence: float = CONFIDENCE) -> DataFrame:

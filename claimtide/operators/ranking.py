@@ -1,7 +1,7 @@
 """Ranks and exact percentiles without a global sort in one task.
 
-Rows are first folded to (keys, value, rows). Values are cut into ranges at
-approximate quantiles; running totals are taken inside each range and the
+Rows are first folded to (keys, value, rows). Values are partitioned by range,
+in as many ranges as their number asks for; running totals are taken inside each range and the
 totals of earlier ranges added. No task sees more than one range of one key,
 and equal values are a single row.
 """
@@ -15,26 +15,23 @@ from pyspark.sql import Window as W
 from ..session import stored
 
 
-def _ranges(df: DataFrame) -> int:
-    return max(8, min(512, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))))
+#: Rows of (keys, value) that one range should hold.
+RANGE_ROWS = 1_000_000
 
 
 def running_totals(counts: DataFrame, keys: list[str], value: str, n: str = "n") -> DataFrame:
     """Adds `_before` (rows with a smaller value in the same keys) and `_total`.
 
     `counts` has one row per (keys, value); other columns ride along. It is
-    read three times, so it is stored first and the raw rows are read once.
+    stored first, so the raw rows are read once, and again with the number of
+    each row's range, so that both readers see the same ranges.
     """
     counts = stored(counts, "counts")
-    parts = _ranges(counts)
-    cuts = [i / parts for i in range(1, parts)]
-    bounds = counts.agg(F.percentile_approx(value, cuts, 20 * parts)).scalar()
-    ranged = counts.withColumn("_bounds", bounds).withColumn(
-        "_range", F.size(F.filter("_bounds", lambda b: b < F.col(value)))
-    ).drop("_bounds")
+    parts = max(1, -(-counts.count() // RANGE_ROWS))
+    ranged = stored(counts.repartitionByRange(parts, value).withColumn("_range", F.spark_partition_id()), "ranges")
     inner = W.partitionBy(*keys, "_range").orderBy(value).rowsBetween(W.unboundedPreceding, -1)
     inside = ranged.withColumn("_inside", F.coalesce(F.sum(n).over(inner), F.lit(0)))
-    # one row per key and range, so a key's window holds at most `parts` rows
+    # one row per key and range, a millionth of the rows at most
     per_range = ranged.groupBy(*keys, "_range").agg(F.sum(n).alias("_n"))
     by_key = W.partitionBy(*keys) if keys else W.partitionBy(F.lit(0))
     earlier = by_key.orderBy("_range").rowsBetween(W.unboundedPreceding, -1)

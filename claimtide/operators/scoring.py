@@ -8,9 +8,8 @@ from pyspark.sql import Window as W
 
 from ..functions import labels as lb
 from ..functions import vectors as vx
-from ..session import spread, stored
+from ..session import stored
 from . import aggregates, joins
-from .skew import broadcast_if_small
 
 
 def hashed_vectors(
@@ -23,7 +22,7 @@ def hashed_vectors(
     """
     slot = F.pmod(F.xxhash64("word") if hashed is None else hashed, F.lit(size)).cast("int")
     # outer, since the plain form adds a filter that would cut the words once more
-    words = spread(texts).select(id_, F.explode_outer(tokens).alias("word")).where(F.col("word").isNotNull())
+    words = texts.select(id_, F.explode_outer(tokens).alias("word")).where(F.col("word").isNotNull())
     counts = words.groupBy(id_, slot.alias("slot")).agg(F.count("*").alias("tf"))
     total = texts.agg(F.count("*")).scalar()
     frequency = counts.groupBy("slot").agg(F.count("*").alias("df"))  # at most `size` rows
@@ -157,7 +156,7 @@ def tune_threshold(
     steps = [F.when(F.col("upper") >= F.col("lower"), F.col("lower") + bit * i) for i in range(1, trials)]
     both = F.col("upper").isNotNull() & F.col("lower").isNotNull()
     candidates = means.select(*keys, F.when(both, F.array("lower", "upper", *steps)).alias("t"))
-    joined = scores.join(broadcast_if_small(stored(candidates, "candidates")), keys)
+    joined = scores.join(stored(candidates, "candidates"), keys)
     sums = []
     for i in range(trials + 1):
         above = F.col("score") > F.col("t")[i]

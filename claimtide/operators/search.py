@@ -13,8 +13,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from ..session import spread, stored
-from .skew import broadcast_if_small, hot_keys, salted_join
+from ..session import stored
+from .skew import hot_keys, salted_join
 
 QUERY_WORDS = ["and", "or"]
 
@@ -120,11 +120,9 @@ def token_table(messages: DataFrame, tokens: Column, message_id: str = "message_
     """(message_id, date, word), each word once per message."""
     if "date" not in messages.columns:
         messages = messages.withColumn("date", F.lit(None).cast("timestamp"))
-    date = "date"
-    # messages of a few files go over all cores; otherwise rows stay where they are
-    cut = spread(messages).select(message_id, date, F.array_distinct(tokens).alias("words"))
+    cut = messages.select(message_id, "date", F.array_distinct(tokens).alias("words"))
     # outer, since the plain form adds a filter that would cut the words once more
-    return cut.select(message_id, date, F.explode_outer("words").alias("word")).where(F.col("word").isNotNull())
+    return cut.select(message_id, "date", F.explode_outer("words").alias("word")).where(F.col("word").isNotNull())
 
 
 def match_units(units: DataFrame, words: DataFrame, days: tuple[int, int] | None = None) -> DataFrame:
@@ -139,9 +137,8 @@ def match_units(units: DataFrame, words: DataFrame, days: tuple[int, int] | None
     units = stored(units.withColumn("keywords", F.array_distinct("keywords")), "units")
     units = units.where((F.col("need") > 0) & (F.size("keywords") >= F.col("need")))
     asked = units.select("fact_id", "unit", "need", F.size("keywords").alias("n"), F.explode("keywords").alias("word"))
-    vocabulary = broadcast_if_small(asked.select("word").distinct())
     # messages are read and cut into words once; only asked words are kept
-    known = stored(words.join(vocabulary, "word", "left_semi"), "words")
+    known = stored(words.join(asked.select("word").distinct(), "word", "left_semi"), "words")
     frequency = known.groupBy("word").agg(F.count("*").alias("n"))
     # a unit's window holds its own few keywords
     rarest = W.partitionBy("fact_id", "unit").orderBy(F.coalesce("f", F.lit(0)), "word")
@@ -167,8 +164,10 @@ def match_units(units: DataFrame, words: DataFrame, days: tuple[int, int] | None
         hits = salted_join(known, probes, "word", ["message_id"], hot_keys(frequency, "word"))
     # the asked words of each message, at most its own distinct words; hits meet
     # them by message, and repeated finds of a pair fall out in the same place
-    have = known.groupBy("message_id").agg(F.collect_list("word").alias("_have"))
-    checked = hits.select("message_id", "fact_id", "unit", "need", "keywords").join(have, "message_id")
+    hits = stored(hits.select("message_id", "fact_id", "unit", "need", "keywords"), "hits")
+    found = known.join(hits.select("message_id").distinct(), "message_id", "left_semi")
+    have = found.groupBy("message_id").agg(F.collect_list("word").alias("_have"))
+    checked = hits.join(have, "message_id")
     matched = F.size(F.array_intersect("keywords", "_have"))
     checked = checked.select("fact_id", "unit", "message_id", "need", matched.cast("bigint").alias("matched"))
     kept = checked.where(F.col("matched") >= F.col("need")).drop("need")
@@ -211,27 +210,56 @@ def phrase_search(hits: DataFrame, features: DataFrame, messages: DataFrame, tex
     """Keep hits whose text has `need` keywords as whole phrases.
 
     For multi-word keywords: search on their words first, then check here.
-    `text` is the normalised message with single blanks between words.
+    `text` is the normalised message with single blanks between words. A
+    column `need` of the features goes before the argument.
     """
+    asked = F.col("need") if "need" in features.columns else F.lit(need)
     padded = messages.select("message_id", F.concat(F.lit(" "), text, F.lit(" ")).alias("_text"))
-    joined = hits.select("fact_id", "message_id").join(features.select("fact_id", "keywords"), "fact_id")
+    joined = hits.select("fact_id", "message_id").join(features.select("fact_id", "keywords", asked.alias("need")), "fact_id")
     joined = joined.join(padded, "message_id")
     present = F.filter("keywords", lambda k: F.contains(F.col("_text"), F.concat(F.lit(" "), k, F.lit(" "))))
-    return joined.withColumn("matched", F.size(present)).where(F.col("matched") >= need).select(
+    return joined.withColumn("matched", F.size(present)).where(F.col("matched") >= F.col("need")).select(
         "fact_id", "message_id", "matched"
     )
 
 
-def claim_search(features: DataFrame, messages: DataFrame, tokens: Column, text: Column, need: int = 3) -> DataFrame:
+def claim_search(
+    features: DataFrame,
+    messages: DataFrame,
+    tokens: Column,
+    text: Column,
+    need: int = 3,
+    short: str = "none",
+    days: tuple[int, int] | None = None,
+) -> DataFrame:
     """Search with keywords of one or more words.
 
-    A phrase is probed through all its words: a message with `need` phrases
-    has every word of some `need` keywords, so each keyword becomes one unit.
+    A message with `need` of n phrases has one of the n - need + 1 rarest, and
+    so the rarest word of it; a phrase is as rare as its rarest word. Only
+    those words are probed, and the messages found are checked for whole
+    phrases. Claims with fewer phrases find nothing, or need all with
+    short='all'. `features`: (fact_id, keywords[, claim_date]), one row a claim.
     """
-    words = token_table(messages, tokens)
-    units = features.select("fact_id", F.posexplode(F.array_distinct("keywords")).alias("unit", "keyword"))
-    units = units.withColumn("keywords", F.array_distinct(F.split("keyword", " ")))
-    units = units.withColumn("need", F.size("keywords")).drop("keyword")
-    per_keyword = match_units(units, words)
-    enough = per_keyword.groupBy("fact_id", "message_id").agg(F.count("*").alias("k")).where(F.col("k") >= need)
-    return phrase_search(enough, features, messages, text, need)
+    dates = ["claim_date"] if days else []
+    n = F.size("keywords")
+    wanted = F.when(n >= need, F.lit(need)).otherwise(n if short == "all" else F.lit(0))
+    claims = features.withColumn("keywords", F.array_distinct("keywords"))
+    claims = claims.select("fact_id", *dates, "keywords", wanted.alias("need")).where(F.col("need") > 0)
+    claims = stored(claims, "claims")
+    phrases = claims.select("fact_id", "need", n.alias("n"), F.posexplode("keywords").alias("phrase", "k"))
+    parts = phrases.withColumn("word", F.explode(F.array_distinct(F.split("k", " ")))).drop("k")
+    words = token_table(messages, tokens).join(parts.select("word").distinct(), "word", "left_semi")
+    words = stored(words, "words")
+    counted = parts.join(words.groupBy("word").agg(F.count("*").alias("f")), "word", "left")
+    rarest = counted.groupBy("fact_id", "need", "n", "phrase").agg(
+        F.min(F.struct(F.coalesce("f", F.lit(0)).alias("f"), "word")).alias("r")
+    )
+    # a claim's window holds its own few phrases
+    order = F.row_number().over(W.partitionBy("fact_id").orderBy("r.f", "phrase"))
+    probed = rarest.withColumn("_at", order).where(F.col("_at") <= F.col("n") - F.col("need") + 1)
+    units = probed.groupBy("fact_id").agg(F.collect_set("r.word").alias("keywords"))
+    units = units.withColumns({"unit": F.lit(0), "need": F.lit(1)})
+    if days:
+        units = units.join(claims.select("fact_id", *dates), "fact_id")
+    hits = match_units(units, words, days)
+    return phrase_search(hits, claims, messages, text, need)

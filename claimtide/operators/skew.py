@@ -5,25 +5,22 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-HOT_SHARE = 1 / 256
-BROADCAST_ROWS = 1_000_000
+#: Rows of a key that one task may get.
+PIECE_ROWS = 250_000
+#: Most keys that may be cut, which bounds the table of them that is broadcast.
+MOST_KEYS = 100_000
 
 
-def broadcast_if_small(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
-    """Broadcast after counting; a larger side is left to a shuffled join."""
-    return F.broadcast(df) if df.count() <= rows else df
+def hot_keys(counts: DataFrame, key: str | list[str], n: str = "n", rows: int = PIECE_ROWS) -> DataFrame:
+    """Keys of more than `rows` rows, with the number of pieces to cut them in.
 
-
-def hot_keys(counts: DataFrame, key: str | list[str], n: str = "n", share: float = HOT_SHARE) -> DataFrame:
-    """Keys above a share of all rows, with the number of pieces to cut them in.
-
-    At most 1/share keys can pass, whatever the data, so the result is small
-    enough to broadcast by construction.
+    A piece has about `rows` rows however large the table is; only above
+    `rows` * MOST_KEYS rows in all do pieces grow, so at most MOST_KEYS keys
+    can pass.
     """
-    total = counts.agg(F.sum(n)).scalar()
-    pieces = F.ceil(F.col(n) / (total * F.lit(share))).cast("int")
+    most = F.greatest(F.lit(rows), counts.agg(F.sum(n)).scalar() / MOST_KEYS)
     keys = [key] if isinstance(key, str) else key
-    return counts.where(F.col(n) > total * F.lit(share)).select(*keys, pieces.alias("_pieces"))
+    return counts.where(F.col(n) > most).select(*keys, F.ceil(F.col(n) / most).cast("int").alias("_pieces"))
 
 
 def salted_join(

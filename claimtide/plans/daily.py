@@ -19,9 +19,12 @@ def features_of_new_claims(claims: DataFrame, features: DataFrame, gazetteer: Da
     return keywords.select_keywords(tagged)
 
 
-def hits_of_features(features: DataFrame, messages: DataFrame, tokens: Column, days: tuple[int, int]) -> DataFrame:
-    words = search.token_table(messages, tokens)
-    return search.keyword_search(features, words, short="all", days=days)
+def hits_of_features(
+    features: DataFrame, messages: DataFrame, tokens: Column, days: tuple[int, int] | None = None
+) -> DataFrame:
+    """Messages of claims by keywords of one or more words; claims of few keywords need all."""
+    lowered = features.withColumn("keywords", F.transform("keywords", lambda k: F.lower(k)))
+    return search.claim_search(lowered, messages, tokens, F.array_join(tokens, " "), short="all", days=days)
 
 
 def labelled_hits(
@@ -37,10 +40,10 @@ def labelled_hits(
     )
 
 
-def simple_keywords(claims: DataFrame, maximum: int = 6) -> DataFrame:
-    """First `maximum` sorted distinct words over two letters of the claim text."""
-    words = text.longer_than(F.transform(text.corpus_tokens("claim"), text.clean_word), 2)
-    return claims.withColumn("keywords", F.slice(F.sort_array(F.array_distinct(words)), 1, maximum))
+def simple_keywords(claims: DataFrame, letters: int = 5) -> DataFrame:
+    """Sorted distinct words over `letters` letters of the whole claim text."""
+    words = text.longer_than(F.transform(text.corpus_tokens("claim"), text.clean_word), letters)
+    return claims.withColumn("keywords", F.sort_array(F.array_distinct(words)))
 
 
 def claims_per_language(claims: DataFrame, messages: DataFrame) -> DataFrame:

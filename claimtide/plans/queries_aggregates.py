@@ -121,7 +121,7 @@ KIND_COUNTS = ", ".join(f"count(*) FILTER (WHERE event_type = '{k}') AS {k}" for
 
 @query("A9_crosstab", f"WITH {LISTED_SQL} SELECT fact_id, {KIND_COUNTS} FROM listed GROUP BY 1")
 def crosstab(spark, folder):
-    return aggregates.crosstab(listed(Tables(spark, folder)), "fact_id", "event_type")[0]
+    return aggregates.crosstab(listed(Tables(spark, folder)), "fact_id", "event_type", KINDS)[0]
 
 
 @query(
@@ -132,13 +132,13 @@ def crosstab(spark, folder):
     """,
 )
 def crosstab_normalised(spark, folder):
-    return rounded(aggregates.crosstab(listed(Tables(spark, folder)), "fact_id", "event_type")[1], *KINDS)
+    return rounded(aggregates.crosstab(listed(Tables(spark, folder)), "fact_id", "event_type", KINDS)[1], *KINDS)
 
 
 @query("A10_day_crosstab", f"SELECT {DAY} AS day, {KIND_COUNTS} FROM events GROUP BY 1")
 def day_crosstab(spark, folder):
     df = Tables(spark, folder).dated.withColumn("day", times.day_text("date"))
-    return aggregates.crosstab(df, "day", "feature", reorder_first=False)[0]
+    return aggregates.crosstab(df, "day", "feature", KINDS, reorder_first=False)[0]
 
 
 def describe_sql(value: str, source: str, by: str = "", digits: int = 4) -> str:
@@ -187,7 +187,7 @@ SIZES_SQL = "SELECT source, count(*) AS n FROM documents GROUP BY 1"
 )
 def lump_rare(spark, folder):
     df = Tables(spark, folder).part.select("p_partkey", "p_name")
-    return aggregates.lump_rare(df, "p_name", 30, ["p_partkey"])
+    return aggregates.lump_rare(df, "p_name", 30)
 
 
 @query(
@@ -408,7 +408,7 @@ def pieces(t: Tables):
     words = short.select("text_id", F.posexplode("t").alias("n", "w"))
     kinds = F.array(*[F.lit(k) for k in ("B-PER", "I-PER", "E-PER", "O", "S-LOC", "I-LOC", "B-ORG")])
     tag = F.get(kinds, F.length("w") % 7)
-    parts = F.array(F.substring("w", 1, 3), F.substring("w", 4, 100))
+    parts = F.array(F.substring("w", 1, 3), F.substr("w", F.lit(4)))
     cut = words.select("text_id", "n", tag.alias("tag"), F.posexplode(parts).alias("part", "word")).where(F.col("word") != "")
     start = F.col("n") * 10 + F.col("part") * 3
     return cut.select(
@@ -425,10 +425,10 @@ def pieces(t: Tables):
 
 PIECES_SQL = r"""
     short AS (SELECT doc_id AS text_id, TOKENS AS t FROM documents WHERE length(text) < 500),
-    w AS (SELECT text_id, unnest(t) AS w, unnest(range(len(t))) AS n, len(t) AS total FROM short),
+    w AS (SELECT text_id, unnest(t) AS w, unnest(range(len(t))) AS n FROM short),
     words AS (SELECT text_id, n, w, ['B-PER', 'I-PER', 'E-PER', 'O', 'S-LOC', 'I-LOC', 'B-ORG'][length(w) % 7 + 1] AS tag,
       CASE WHEN length(w) > 3 THEN length(w) / 2 ELSE length(w) END AS score, n * 10 AS start,
-      n * 10 + length(w) AS stop FROM w WHERE n < total - 1)
+      n * 10 + length(w) AS stop FROM w)
 """
 
 
@@ -578,7 +578,7 @@ def run_summary(spark, folder):
 def negative_binomial_fit(spark, folder):
     """Messages per claim on side, offset and kind."""
     df = with_offsets(Tables(spark, folder))
-    df = joins.with_group_size(df, "fact_id", ["message_id"])
+    df = joins.with_group_size(df, "fact_id")
     df = df.withColumns(
         {
             "impact": (F.col("hour_offset") >= 0).cast("int"),

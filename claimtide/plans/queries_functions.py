@@ -29,17 +29,18 @@ def strip_html(spark, folder):
 
 
 def linked(t: Tables):
-    """Documents with the address of the page of the same number in the middle."""
+    """Documents, with the address of the page of the same number in the middle where there is one."""
     pages = t.pages.select(F.col("page_id").alias("doc_id"), "url")
-    docs = t.documents.join(pages, "doc_id")
-    return docs.select("doc_id", F.concat("text", F.lit(" "), "url", F.lit(" end "), "url").alias("text"))
+    docs = t.documents.join(pages, "doc_id", "left")
+    added = F.coalesce(F.concat(F.lit(" "), "url", F.lit(" end "), "url"), F.lit(""))
+    return docs.select("doc_id", F.concat("text", added).alias("text"))
 
 
 @query(
     "F2_extract_urls",
     r"""
-    WITH linked AS (SELECT doc_id, text || ' ' || url || ' end ' || url AS text
-                    FROM documents JOIN pages ON page_id = doc_id)
+    WITH linked AS (SELECT doc_id, text || coalesce(' ' || url || ' end ' || url, '') AS text
+                    FROM documents LEFT JOIN pages ON page_id = doc_id)
     SELECT doc_id, md5(regexp_replace(text, 'https?://[!$-_a-z]+', '', 'g')) AS rest_md5,
            array_to_string(regexp_extract_all(text, 'https?://[!$-_a-z]+'), ' ') AS urls
     FROM linked
@@ -440,14 +441,14 @@ def keyword_pairs(spark, folder):
 
 
 def tagged(t: Tables):
-    """Short documents with tags by word form: a stand-in for a trained tagger.
+    """Documents with tags by word form: a stand-in for a trained tagger.
 
     The first line is the claim, the rest the review; runs of two capitalised
     words are entities, and endings decide noun, adjective and verb.
     """
-    docs = t.documents.where(F.length("text") < 500)
+    docs = t.documents
     claim = F.split("text", "\n")[0]
-    review = F.substring("text", 1, 500).substr(F.length(claim) + 1, F.lit(500))
+    review = F.substr("text", F.length(claim) + 1)
 
     def entities(c):
         runs = F.filter(text.capitalised_runs(c), lambda w: F.contains(w, F.lit(" ")))
@@ -482,7 +483,7 @@ def _tags_sql(side: str) -> str:
 TAGGED_SQL = f"""
     sides AS (SELECT doc_id AS fact_id, split_part(text, e'\\n', 1) AS claim,
                 substr(text, length(split_part(text, e'\\n', 1)) + 1) AS review
-              FROM documents WHERE length(text) < 500),
+              FROM documents),
     tagged AS (SELECT fact_id, {_tags_sql('claim')}, {_tags_sql('review')} FROM sides)
 """
 
@@ -496,7 +497,7 @@ def _round_sql(i: int, side: str, n: int) -> str:
     return f"k{i} AS (SELECT * REPLACE (CASE WHEN len(k) < 5 THEN {clean} ELSE k END AS k) FROM k{i - 1})"
 
 
-_ROUNDS = ",\n".join(_round_sql(i + 1, side, n) for i, (side, n) in enumerate(
+ROUNDS_SQL = ",\n".join(_round_sql(i + 1, side, n) for i, (side, n) in enumerate(
     [(s, n) for s in ("claim", "review") for n in (1, 2, 3)]))
 
 
@@ -504,7 +505,7 @@ _ROUNDS = ",\n".join(_round_sql(i + 1, side, n) for i, (side, n) in enumerate(
     "F20_select_keywords",
     f"""
     WITH {TAGGED_SQL},
-    k0 AS (SELECT *, list_distinct(list_concat(ner_claim, ner_review)) AS k FROM tagged), {_ROUNDS}
+    k0 AS (SELECT *, list_distinct(list_concat(ner_claim, ner_review)) AS k FROM tagged), {ROUNDS_SQL}
     SELECT fact_id, array_to_string(list_sort(list_filter(k, lambda x: length(x) > 1)), '|') AS keywords FROM k6
     """,
 )

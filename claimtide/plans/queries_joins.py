@@ -9,7 +9,7 @@ from ..operators import aggregates, joins, keywords, search
 from ..plans import daily
 from ..sources import sinks
 from .catalog import CHECKED_SQL, OFFSET_SQL, Tables, query
-from .queries_functions import PUBLICATIONS_SQL, VARIANTS_SQL, annotated, publications
+from .queries_functions import PUBLICATIONS_SQL, ROUNDS_SQL, TAGGED_SQL, VARIANTS_SQL, annotated, publications, tagged
 from .queries_rows import TOKENS_SQL
 
 
@@ -24,16 +24,14 @@ def unprocessed(spark, folder):
 
 
 def listed_messages(t: Tables):
-    """Documents whose claim list is the words of their first line that name a claim."""
-    line = F.split("text", "\n")[0]
+    """Documents whose claim list is their words, of which some name a claim."""
     return t.documents.select(
-        F.col("doc_id").alias("tweet_id"), "lang", F.array_distinct(text.corpus_tokens(line)).alias("fact_id")
+        F.col("doc_id").alias("tweet_id"), "lang", F.array_distinct(text.corpus_tokens("text")).alias("fact_id")
     )
 
 
 LISTED_SQL = rf"""
-    links AS (SELECT doc_id AS message_id, lang, unnest(list_distinct({TOKENS_SQL.format("split_part(text, e'\n', 1)")})) AS fact_id
-              FROM documents),
+    links AS (SELECT doc_id AS message_id, lang, unnest(list_distinct({TOKENS_SQL.format("text")})) AS fact_id FROM documents),
     claims AS (SELECT DISTINCT unnest({TOKENS_SQL.format('text')}) AS fact_id FROM benchmark)
 """
 
@@ -104,7 +102,7 @@ def document_messages(t: Tables):
 
 FEATURE_WORDS_SQL = f"""
     kw AS (SELECT item_id AS fact_id, text AS claim, list_sort(list_distinct(list_filter({TOKENS_SQL.format('text')},
-             lambda x: length(x) > 2)))[1:6] AS keywords FROM benchmark),
+             lambda x: length(x) > 5))) AS keywords FROM benchmark),
     words AS (SELECT doc_id AS message_id, unnest(list_distinct({TOKENS_SQL.format('text')})) AS word FROM documents)
 """
 
@@ -139,18 +137,19 @@ def keyword_search_pairs(spark, folder):
     "J6_group_search_restrictive",
     f"""
     WITH {FEATURE_WORDS_SQL}, g AS (
-      SELECT fact_id, keywords[1:2] AS g FROM kw UNION ALL SELECT fact_id, keywords[1:4] FROM kw
-      UNION ALL SELECT fact_id, keywords[3:6] FROM kw),
+      SELECT fact_id, CASE WHEN i = 0 THEN keywords[1:2] ELSE keywords[2 * i - 1:2 * i + 2] END AS g
+      FROM (SELECT fact_id, keywords, unnest(range((len(keywords) + 1) // 2)) AS i FROM kw)),
     w AS (SELECT fact_id, g, unnest(g) AS word FROM g)
     SELECT DISTINCT fact_id, message_id FROM (
       SELECT fact_id, g, message_id FROM w JOIN words USING (word) GROUP BY 1, 2, 3 HAVING count(*) = len(g))
     """,
 )
 def group_search(spark, folder):
-    """Pairs (1,2), (3,4), (5,6); each later one joined with the one before."""
+    """Pairs (1,2), (3,4) and so on; each later one joined with the one before."""
     t = Tables(spark, folder)
     words = search.token_table(document_messages(t), text.corpus_tokens("text"))
-    pairs = F.array(*[F.slice("keywords", i, 2) for i in (1, 3, 5)])
+    firsts = F.filter(F.transform("keywords", lambda _, i: i + 1), lambda i: i % 2 == 1)
+    pairs = F.transform(firsts, lambda i: F.slice("keywords", i, 2))
     features = benchmark_features(t).withColumn("pairs", pairs)
     groups = features.withColumn("groups", search.keyword_groups("keywords", F.col("pairs"), "restrictive"))
     return search.group_search(groups, words)
@@ -430,17 +429,16 @@ def cooccurrence(spark, folder):
     "J17_rare_pairs",
     rf"""
     WITH {COOC_SQL},
-    k AS (SELECT doc_id AS fact_id, unnest(list_distinct({TOKENS_SQL.format("split_part(text, e'\n', 1)")})) AS w FROM documents),
+    {TAGGED_SQL}, k0 AS (SELECT *, list_distinct(list_concat(ner_claim, ner_review)) AS k FROM tagged), {ROUNDS_SQL},
+    k AS (SELECT fact_id, unnest(list_filter(k, lambda x: length(x) > 1)) AS w FROM k6),
     p AS (SELECT x.fact_id, x.w AS a, y.w AS b FROM k x JOIN k y ON x.fact_id = y.fact_id AND x.w < y.w)
-    SELECT fact_id, a, b FROM p WHERE NOT EXISTS (SELECT 1 FROM cooc WHERE w1 = a AND w2 = b AND counts > 30)
+    SELECT fact_id, a, b FROM p WHERE NOT EXISTS (SELECT 1 FROM cooc
+      WHERE w1 = least(lower(a), lower(b)) AND w2 = greatest(lower(a), lower(b)) AND counts > 30)
     """,
 )
 def rare_pairs(spark, folder):
     t = Tables(spark, folder)
-    line = F.split("text", "\n")[0]
-    features = t.documents.select(
-        F.col("doc_id").alias("fact_id"), F.array_distinct(text.corpus_tokens(line)).alias("keywords")
-    )
+    features = keywords.select_keywords(tagged(t))
     return aggregates.rare_pairs(keywords.keyword_pairs(features), aggregates.cooccurrence(sentences(t)))
 
 
@@ -450,7 +448,7 @@ def rare_pairs(spark, folder):
 )
 def with_group_size(spark, folder):
     dated = Tables(spark, folder).dated.select("message_id", "fact_id")
-    return joins.with_group_size(dated, "fact_id", ["message_id"])
+    return joins.with_group_size(dated, "fact_id")
 
 
 @query(

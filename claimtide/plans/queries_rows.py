@@ -231,7 +231,7 @@ def date_range(spark, folder):
 def detected(t: Tables):
     """Documents with the voted language."""
     votes = language.default_votes(t.documents, "doc_id", F.col("text"), text.corpus_tokens("text"), LANGUAGES)
-    return language.vote_language(votes, "doc_id")
+    return votes.select("doc_id", language.row_language("votes").alias("pref_lang"))
 
 
 def _stop_sql(column: str, words: dict) -> str:

@@ -290,17 +290,17 @@ def compare_three_way(spark, folder):
 @query(
     "M8_entity_table",
     f"""
-    WITH {GAZETTEER_SQL.replace('FROM documents WHERE length(text) < 500', "FROM documents WHERE length(text) < 500 AND lang = 'en'")}
+    WITH {GAZETTEER_SQL}
     SELECT doc_id AS fact_id, coalesce(string_agg(word, '|' ORDER BY word) FILTER (WHERE tag = 'ENT'), '') AS entities,
       coalesce(string_agg(word, '|' ORDER BY word) FILTER (WHERE tag = 'CLAIM'), '') AS known
-    FROM documents LEFT JOIN tagged_spans USING (doc_id) WHERE lang = 'en' GROUP BY 1
+    FROM documents LEFT JOIN tagged_spans USING (doc_id) GROUP BY 1
     """,
 )
 def entity_table(spark, folder):
     t = Tables(spark, folder)
     runs = t.benchmark.select(F.explode(text.capitalised_runs("text")).alias("span"))
     gazetteer = runs.select(text.clean_word("span").alias("word")).distinct().withColumn("tag", F.lit("CLAIM"))
-    claims = t.documents.where(F.col("lang") == "en").select(
+    claims = t.documents.select(
         F.col("doc_id").alias("fact_id"), F.col("text").alias("claim"), F.lit(None).cast("string").alias("review")
     )
     table = entities.entity_table(claims, gazetteer)
@@ -431,7 +431,7 @@ def daily_run(spark, folder):
     tags = claims.select("fact_id", words.alias("pos_claim"), words.alias("pos_review"))
     features = daily.features_of_new_claims(claims, claims.limit(0), gazetteer, tags)
     messages = document_messages(t)
-    found = search.keyword_search(features, search.token_table(messages, text.corpus_tokens("text")), short="all")
+    found = daily.hits_of_features(features, messages, text.corpus_tokens("text"))
     claim_vectors = text_vectors(t.benchmark.select(F.col("item_id").alias("fact_id"), "text"), "fact_id")
     labelled = daily.labelled_hits(
         found.select("fact_id", "message_id"), claim_vectors, claim_vectors, text_vectors(messages, "message_id")

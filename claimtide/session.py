@@ -19,6 +19,8 @@ def local_session(cores: str = "8", partitions: int = 8, app: str = "claimtide")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.adaptive.enabled", "true")
+        # small tables in as many splits as there are cores
+        .config("spark.sql.files.openCostInBytes", "256k")
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")
@@ -48,23 +50,6 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
 
 
-FEW_FILES = 8
-
-
-def spread(df: DataFrame) -> DataFrame:
-    """Rows of a table of only a few files over all cores.
-
-    Word work costs far more than the scan, and a few files are often fewer
-    scan tasks than cores. Larger tables keep their own splits.
-    """
-    if df.isStreaming:
-        return df
-    files = df.inputFiles()
-    if 0 < len(files) <= FEW_FILES:
-        return df.repartition(df.sparkSession.sparkContext.defaultParallelism)
-    return df
-
-
 def stored(df: DataFrame, label: str = "table") -> DataFrame:
     """Write a result once to the shared folder and go on from the files.
 

@@ -20,6 +20,7 @@ from claimtide.operators import (
     scoring,
     search,
     sets,
+    skew,
     statistics,
     threads,
 )
@@ -219,6 +220,10 @@ def test_language_votes(spark):
     }
     got = dict(rows(language.vote_language(votes_table(spark, votes), "id"), "id", "pref_lang"))
     assert got == {1: "es_ca_pt", 2: "es", 3: "es_ca", 4: "undefined"}
+    arrays = votes_table(spark, votes).groupBy("id").agg(
+        F.sort_array(F.collect_list(F.struct("position", "lang", "confidence"))).alias("votes")
+    )
+    assert dict(rows(arrays.select("id", language.row_language("votes").alias("l")), "id", "l")) == got
 
 
 def test_keywords_are_order_free_and_topped_up(spark):
@@ -283,6 +288,7 @@ def test_merge_pieces_types(spark):
         ("Madrid", "S-LOC", 0.75),
         ("es", "O", 1.0),
         ("Xy", "I-PER", 1.0),
+        ("last", "S-PER", 1.0),
     ]
 
 
@@ -369,16 +375,47 @@ def test_rare_pairs_strict_keeps_all(spark):
 
 def test_crosstab_orders_by_margins(spark):
     df = spark.createDataFrame([("r1", "x"), ("r1", "y"), ("r1", "y"), ("r2", "y")], "a string, b string")
-    wide, norm = aggregates.crosstab(df, "a", "b")
+    wide, norm = aggregates.crosstab(df, "a", "b", ["x", "y"])
     assert wide.columns == ["a", "y", "x"]
     assert [tuple(r) for r in wide.collect()] == [("r2", 1, 0), ("r1", 2, 1)]
     assert [round(r["y"], 3) for r in norm.collect()] == [1.0, 0.667]
 
 
-def test_crosstab_checks_its_width(spark):
-    df = spark.range(20).select("id", F.col("id").cast("string").alias("b"))
-    with pytest.raises(ValueError):
-        aggregates.crosstab(df, "id", "b", max_columns=10)
+def test_crosstab_counts_have_any_number_of_values(spark):
+    df = spark.range(3000).select((F.col("id") % 2).alias("a"), F.col("id").cast("string").alias("b"))
+    assert aggregates.crosstab_counts(df, "a", "b").where("count = 1 AND row_total = 1500 AND column_total = 1").count() == 3000
+
+
+def test_keys_are_cut_in_pieces_of_so_many_rows(spark):
+    """A key of 0.3 % of the rows is cut as well, and no row or pair is lost."""
+    df = spark.range(20_000).select("id", F.when(F.col("id") < 60, -1).otherwise(F.col("id")).alias("k"))
+    counts = df.groupBy("k").agg(F.count("*").alias("n"))
+    hot = skew.hot_keys(counts, "k", rows=20)
+    assert rows(hot, "k", "_pieces") == [(-1, 3)]
+    right = spark.createDataFrame([(-1, "x"), (-1, "y"), (70, "z")], "k long, v string")
+    joined = skew.salted_join(df, right, "k", ["id"], hot)
+    assert rows(joined.groupBy("v").agg(F.countDistinct("id").alias("n"), F.count("*").alias("m")), "v", "n", "m") == [
+        ("x", 60, 60), ("y", 60, 60), ("z", 1, 1),
+    ]
+
+
+def test_ranks_over_several_ranges(spark, monkeypatch):
+    monkeypatch.setattr(ranking, "RANGE_ROWS", 50)
+    df = spark.range(1000).select((F.col("id") % 3).alias("k"), (F.col("id") % 401).alias("v"))
+    got = ranking.exact_percentiles(df, ["k"], "v", {"p": 0.37}).toPandas().set_index("k")["p"]
+    want = df.toPandas().groupby("k")["v"].quantile(0.37)
+    assert all(abs(got[k] - want[k]) < 1e-9 for k in want.index)
+
+
+def test_phrases_are_probed_by_their_rarest_word(spark):
+    features = spark.createDataFrame(
+        [(1, ["new york", "fire", "mayor"]), (2, ["new york", "mayor"]), (3, ["the", "mayor of the"])], "fact_id int, keywords array<string>"
+    )
+    texts = [(1, "the mayor of new york saw a fire"), (2, "york new mayor fire"), (3, "the mayor of the town")]
+    messages = spark.createDataFrame(texts, "message_id int, text string")
+    find = search.claim_search(features, messages, F.split("text", " "), F.col("text"), short="all")
+    assert rows(find, "fact_id", "message_id") == [(1, 1), (2, 1), (3, 3)]
+    assert rows(search.claim_search(features, messages, F.split("text", " "), F.col("text")), "fact_id", "message_id") == [(1, 1)]
 
 
 def test_message_of_two_claims_is_in_the_experiment(spark):
@@ -423,7 +460,7 @@ def test_annotation_text_and_back(spark):
 
 def test_lump_rare(spark):
     df = spark.createDataFrame([(1, "a"), (2, "a"), (3, "b"), (4, None)], "id int, c string")
-    got = {r["id"]: r["c"] for r in aggregates.lump_rare(df, "c", 1, ["id"]).collect()}
+    got = {r["id"]: r["c"] for r in aggregates.lump_rare(df, "c", 1).collect()}
     assert got[1] == got[2] == "a" and got[3] == "Others"
 
 
