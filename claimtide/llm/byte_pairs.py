@@ -29,12 +29,12 @@ from pyspark.sql import types as T
 from .common import packed
 
 #: Most states of a transducer; a full one starts anew, which costs time and changes nothing.
-CACHE = 1 << 17
+CACHE = 1 << 16
 #: Most entries of each of the two generations of known pieces.
 CACHED_PIECES = 1 << 18
 CACHED_PIECE = 64
 CHUNK = 1 << 20
-BATCH_BYTES = 8 << 20
+BATCH_BYTES = 2 << 20
 NEVER = 1 << 62
 
 
@@ -348,6 +348,7 @@ def _mapped(df: DataFrame, column: str, fields: list[T.StructField], builder) ->
     added = [pa.field(f.name, kinds[type(f.dataType)]) for f in fields]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        pa.default_memory_pool().release_unused()  # of the worker's earlier tasks
         made = builder()
         for batch in batches:
             yield from _portions(iter([batch]), pa.schema([batch.schema.field(0), *added]), made, column)
