@@ -43,19 +43,29 @@ def restrict_to_claims(df: DataFrame, ids: DataFrame) -> DataFrame:
 
 
 def messages_near_claim(
-    messages: DataFrame, claims: DataFrame, days: int = 15, message_id: str = "message_id"
+    messages: DataFrame,
+    claims: DataFrame,
+    days: int = 15,
+    message_id: str = "message_id",
+    links: DataFrame | None = None,
 ) -> DataFrame:
     """Message and claim pairs less than `days` apart, bounds excluded.
 
-    Claims are copied to the calendar days they reach and joined on the day,
+    With `links` (message, fact_id) only linked or found pairs are looked at,
+    so the result is no longer than they are. Without, every claim meets every
+    message of its window: claims are copied to the calendar days they reach and joined on the day,
     so no all-against-all comparison is planned. Busy days are cut in pieces.
     `messages`: (message_id, date, ...); `claims`: (fact_id, claim_date, ...).
     """
+    checked = F.col("claim_date").cast("timestamp")
+    if links is not None:
+        pairs = links.join(messages, message_id).join(claims, "fact_id")
+        at = F.col("date").cast("timestamp")
+        return pairs.where((at > times.add_days(checked, -days)) & (at < times.add_days(checked, days)))
     # instants as numbers on each side, so the join compares plain longs
     moment = F.unix_micros(F.col("date").cast("timestamp"))
     m = messages.withColumns({"_day": F.to_date("date"), "_at": moment})
     counts = stored(m.groupBy("_day").agg(F.count("*").alias("n")), "days")
-    checked = F.col("claim_date").cast("timestamp")
     first, last = times.add_days(checked, -days), times.add_days(checked, days)
     c = claims.withColumns({"_from": F.unix_micros(first), "_to": F.unix_micros(last)})
     c = c.withColumn("_day", F.explode(F.sequence(F.to_date(first), F.to_date(last))))

@@ -101,9 +101,10 @@ def related_messages(
     message_vectors: DataFrame,
     days: int = 15,
     k: int = 5,
+    links: DataFrame | None = None,
 ) -> DataFrame:
-    """Nearest and farthest messages inside the date window of each claim."""
-    pairs = joins.messages_near_claim(messages, claims, days).select("fact_id", "message_id")
+    """Nearest and farthest messages inside the date window of each claim, of its linked ones if `links` are given."""
+    pairs = joins.messages_near_claim(messages, claims, days, links=links).select("fact_id", "message_id")
     scored = score_pairs(pairs, claim_vectors, message_vectors)
     scored = scored.withColumn("distance", 1 - F.col("score")).where(F.col("distance").isNotNull())
     return nearest_and_farthest(scored, "fact_id", "distance", "message_id", k)

@@ -46,7 +46,8 @@ def thread_table(comments: DataFrame, id_: str = "id", parent: str = "parent_id"
         reached = step.where(F.col("root").isNotNull()).select(
             "id", "root", (F.col("depth") + F.col("steps")).alias("depth")
         )
-        done = stored(done.unionByName(reached))
+        reached = stored(reached)  # a part for each round, so finished rows are written once
+        done = done.unionByName(reached)
         open_ = step.where(F.col("root").isNull() & F.col("next").isNotNull()).select(
             "id", F.col("next").alias("up"), (F.col("steps") + F.col("more")).alias("steps")
         )

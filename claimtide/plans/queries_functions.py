@@ -208,19 +208,16 @@ def query_text(spark, folder):
 @query(
     "F10_restrictive_text",
     f"""
-    WITH k AS (SELECT doc_id, {LONG_WORDS_SQL}[1:4] AS k FROM documents)
-    SELECT doc_id, CASE len(k) WHEN 4 THEN '(' || k[1] || ' AND ' || k[2] || ') OR (' || k[3] || ' AND ' || k[4] || ') AND ('
-      || k[1] || ' AND ' || k[2] || ')' WHEN 3 THEN '(' || k[1] || ' AND ' || k[2] || ')'
-      WHEN 2 THEN '(' || k[1] || ' AND ' || k[2] || ')' ELSE '' END AS query FROM k
+    WITH k AS (SELECT doc_id, {LONG_WORDS_SQL} AS k FROM documents),
+    p AS (SELECT doc_id, list_transform(range(1, len(k) // 2 + 1),
+      lambda j: '(' || k[2 * j - 1] || ' AND ' || k[2 * j] || ')') AS p FROM k)
+    SELECT doc_id, coalesce(array_to_string(list_transform(range(1, len(p) + 1),
+      lambda j: CASE WHEN j = 1 THEN p[j] ELSE p[j] || ' AND ' || p[j - 1] END), ' OR '), '') AS query FROM p
     """,
 )
 def restrictive_text(spark, folder):
     df = long_words(Tables(spark, folder))
-    k = F.col("k")
-    pairs = F.when(F.size(k) >= 4, F.array(F.slice(k, 1, 2), F.slice(k, 3, 2))).when(
-        F.size(k) >= 2, F.array(F.slice(k, 1, 2))
-    )
-    pairs = F.coalesce(pairs, F.array().cast("array<array<string>>"))
+    pairs = F.filter(F.transform("k", lambda _, i: F.slice("k", 2 * i + 1, F.lit(2))), lambda p: F.size(p) == 2)
     return df.select("doc_id", search.restrictive_text(pairs).alias("query"))
 
 

@@ -82,13 +82,15 @@ def restrict(spark, folder):
     """
     WITH c AS (SELECT user_id, min(ts) AS claim_date FROM events WHERE event_type = 'error' GROUP BY 1)
     SELECT e.event_id AS message_id, c.user_id AS fact_id
-    FROM events e JOIN c ON e.ts > c.claim_date - INTERVAL 2 DAY AND e.ts < c.claim_date + INTERVAL 2 DAY
+    FROM events e JOIN c USING (user_id) WHERE e.ts > c.claim_date - INTERVAL 2 DAY AND e.ts < c.claim_date + INTERVAL 2 DAY
     """,
 )
 def near_claim(spark, folder):
     dated = Tables(spark, folder).dated
     claims = dated.where(F.col("feature") == "error").groupBy("fact_id").agg(F.min("date").alias("claim_date"))
-    return joins.messages_near_claim(dated.select("message_id", "date"), claims, 2).select("message_id", "fact_id")
+    links = dated.select("message_id", "fact_id")
+    near = joins.messages_near_claim(dated.select("message_id", "date"), claims, 2, links=links)
+    return near.select("message_id", "fact_id")
 
 
 def benchmark_features(t: Tables):
@@ -158,20 +160,24 @@ def group_search(spark, folder):
 @query(
     "J6_keyword_search_in_window",
     rf"""
-    WITH c AS (SELECT o_orderkey AS fact_id, o_orderdate AS claim_date, [o_orderpriority, o_orderstatus] AS keywords FROM orders),
-    m AS (SELECT o_orderkey AS message_id, o_orderdate AS date, o_orderpriority AS p, o_orderstatus AS s FROM orders)
-    SELECT fact_id, message_id, 2::BIGINT AS matched FROM c JOIN m ON p = keywords[1] AND s = keywords[2]
-      AND date >= date_trunc('day', claim_date) - INTERVAL 7 DAY AND date < date_trunc('day', claim_date) + INTERVAL 8 DAY
+    WITH {FEATURE_WORDS_SQL}, a AS (SELECT fact_id, list_filter(keywords, lambda x: x NOT IN ('and', 'or')) AS asked FROM kw),
+    k AS (SELECT fact_id, len(asked) AS n, unnest(asked) AS word FROM a)
+    SELECT fact_id, message_id, count(*) AS matched FROM k JOIN words USING (word)
+      JOIN events c ON c.event_id = fact_id JOIN events m ON m.event_id = message_id
+    WHERE m.ts::DATE BETWEEN c.ts::DATE - 7 AND c.ts::DATE + 7
+    GROUP BY 1, 2 HAVING count(*) >= least(3, any_value(n))
     """,
 )
 def keyword_search_in_window(spark, folder):
-    claims = Tables(spark, folder).claims
-    features = claims.select(
-        "fact_id", F.col("date").alias("claim_date"), F.array("reviewer", "calification").alias("keywords")
-    )
-    messages = claims.select(F.col("fact_id").alias("message_id"), "date", "reviewer", "calification")
-    words = search.token_table(messages, F.array("reviewer", "calification"))
-    return search.keyword_search(features, words, short="all", days=(7, 7))
+    """Claims and documents take the dates of the events with their ids."""
+    t = Tables(spark, folder)
+
+    def dated(df, id_: str, name: str):
+        return df.join(t.events.select(F.col("event_id").alias(id_), F.col("ts").alias(name)), id_, "left")
+
+    messages = dated(document_messages(t), "message_id", "date")
+    words = search.token_table(messages, text.corpus_tokens("text"))
+    return search.keyword_search(dated(benchmark_features(t), "fact_id", "claim_date"), words, short="all", days=(7, 7))
 
 
 @query(

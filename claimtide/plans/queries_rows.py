@@ -303,12 +303,10 @@ def assign_language(spark, folder):
 
 @query(
     "P13_non_empty",
-    "SELECT conv_id, turn FROM conversations WHERE length(regexp_replace(text, '[^üñç]', '', 'g')) > 0",
+    "SELECT conv_id, turn FROM conversations WHERE length(text) > 0",
 )
 def non_empty(spark, folder):
-    df = Tables(spark, folder).conversations
-    marks = df.select("conv_id", "turn", F.regexp_replace("text", "[^üñç]", "").alias("message"))
-    return filters.non_empty(marks, "message").select("conv_id", "turn")
+    return filters.non_empty(Tables(spark, folder).conversations, "text").select("conv_id", "turn")
 
 
 @query("P14_short_texts", "SELECT doc_id, n_chars FROM documents WHERE length(text) < 500")

@@ -136,7 +136,7 @@ def classify_finer(spark, folder):
     WITH e AS (SELECT vec_id, label, embedding::DOUBLE[] AS v, ts FROM embeddings JOIN events ON event_id = vec_id),
     c AS (SELECT label AS fact_id, arg_min(v, vec_id) AS v, arg_min(ts, vec_id) AS claim_date FROM e GROUP BY 1),
     d AS (SELECT fact_id, vec_id AS message_id, round(1 - list_cosine_similarity(c.v, e.v), 6) AS distance
-          FROM e JOIN c ON e.ts > claim_date - INTERVAL 1 DAY AND e.ts < claim_date + INTERVAL 1 DAY),
+          FROM e JOIN c ON e.label = c.fact_id AND e.ts > claim_date - INTERVAL 1 DAY AND e.ts < claim_date + INTERVAL 1 DAY),
     r AS (SELECT *, row_number() OVER (PARTITION BY fact_id ORDER BY distance, message_id)::INT AS near,
       row_number() OVER (PARTITION BY fact_id ORDER BY distance DESC, message_id DESC)::INT AS far FROM d)
     SELECT fact_id, message_id, distance, near AS rank, 'related' AS side FROM r WHERE near <= 5
@@ -156,7 +156,12 @@ def related_messages(spark, folder):
         "fact_id", F.col("first.date").alias("claim_date"), F.col("first.vector").alias("vector")
     )
     out = scoring.related_messages(
-        claims.select("fact_id", "claim_date"), e.select("message_id", "date"), claims, e.select("message_id", "vector"), 1
+        claims.select("fact_id", "claim_date"),
+        e.select("message_id", "date"),
+        claims,
+        e.select("message_id", "vector"),
+        1,
+        links=e.select("message_id", "fact_id"),
     )
     return rounded(out, "distance").select("fact_id", "message_id", "distance", "rank", "side")
 

@@ -53,10 +53,17 @@ def read_claims_repository(spark, folder):
     )
 
 
+def day_after(number: str, shown: str):
+    """Days of 2022 in turn, as text."""
+    days = (F.col(number) % 365).cast("int")
+    return F.date_format(F.date_add(F.lit("2022-01-01").cast("date"), days), shown)
+
+
 @query(
     "S2_read_claims_review",
     """
-    SELECT c_name AS text, c_custkey::VARCHAR AS url, c_mktsegment AS publisher, '2022-08-23 07:00:00' AS date FROM customer
+    SELECT c_name AS text, c_custkey::VARCHAR AS url, c_mktsegment AS publisher,
+      strftime(DATE '2022-01-01' + (c_custkey % 365)::INT, '%Y-%m-%d') || ' 07:00:00' AS date FROM customer
     """,
 )
 def read_claims_review(spark, folder):
@@ -64,7 +71,7 @@ def read_claims_review(spark, folder):
     review = F.struct(
         F.struct(F.col("c_mktsegment").alias("name")).alias("publisher"),
         F.col("c_custkey").cast("string").alias("url"),
-        F.lit("2022-08-23T07:00:00Z").alias("reviewDate"),
+        F.concat(day_after("c_custkey", "yyyy-MM-dd"), F.lit("T07:00:00Z")).alias("reviewDate"),
     )
     Tables(spark, folder).customer.select(F.col("c_name").alias("text"), F.array(review).alias("claimReview")).write.json(path)
     read = readers.read_claims_review(spark, path)
@@ -129,7 +136,7 @@ def read_news(spark, folder):
 @query(
     "S5_read_press_xml",
     r"""
-    SELECT doc_id::VARCHAR AS _id, '2022-08-15' AS date, source AS newspaper, lang AS headline,
+    SELECT doc_id::VARCHAR AS _id, strftime(DATE '2022-01-01' + (doc_id % 365)::INT, '%Y-%m-%d') AS date, source AS newspaper, lang AS headline,
       md5(regexp_replace(text, '\s+', ' ', 'g')) AS content_md5 FROM documents
     """,
 )
@@ -138,7 +145,7 @@ def read_press_xml(spark, folder):
     Tables(spark, folder).documents.select(
         F.struct(
             F.col("doc_id").cast("string").alias("IdDocument"),
-            F.lit("2022/08/15").alias("DREDATE"),
+            day_after("doc_id", "yyyy/MM/dd").alias("DREDATE"),
             F.col("source").alias("Newspaper"),
             F.col("lang").alias("Title"),
         ).alias("head"),
@@ -227,10 +234,14 @@ def list_pages(t: Tables):
         F.lit('</a></div><div class="clics"><span> '), F.floor("value"), F.lit(" clics</span></div></div>"),
         F.when(F.col("event_type") == "error", F.lit('<div class="warn warn-n">!</div>')).otherwise(F.lit("")),
         F.lit('<div class="news-submitted"><span class="ts visible" data-ts="'), "stamp",
-        F.lit('"></span></div><div class="news-details"><span class="sub-name"><a class="subname" href="/x">'), "event_type",
+        F.lit('"></span><span class="showmytitle" title="https://news.example/?a='), "event_id", F.lit('&amp;b=1">site</span></div>'),
+        F.when(F.col("event_id") % 2 == 0, F.concat(
+            F.lit('<a href="#" title="miniatura"> <img alt="" src="/img/'), "event_id", F.lit('.jpg"></a>'),
+        )).otherwise(F.lit("")),
+        F.lit('<div class="news-details news-details-main"><span class="sub-name"><a class="subname" href="/x">'), "event_type",
         F.lit(' &amp; co</a></span><span class="positive-vote-number">'), F.col("event_id") % 9,
-        F.lit('</span></div><a class="comments" data-comments-number="'), F.col("event_id") % 5,
-        F.lit('">comments</a></div></div>'),
+        F.lit('</span><a class="comments" href="/story/'), "event_id", F.lit('" data-comments-number="'), F.col("event_id") % 5,
+        F.lit('">comments</a></div></div></div>'),
     )
     html = F.concat(F.lit("<html><body><nav>menu</nav>"), post, F.lit("</body></html>"))
     return e.select(F.concat_ws("/", "user_id", "event_id").alias("page_id"), html.alias("html"))
@@ -241,7 +252,9 @@ def list_pages(t: Tables):
     """
     SELECT user_id || '/' || event_id AS page_id, event_id::VARCHAR AS post_id, user_id AS votes, floor(value)::BIGINT AS clicks,
       event_type || ' & co' AS category, strftime(date_trunc('second', ts) + INTERVAL 1 HOUR, '%Y-%m-%d %H:%M:%S') AS created_local,
-      event_type = 'error' AS controversy, event_id % 9 AS positive_votes, event_id % 5 AS number_comments FROM events
+      event_type = 'error' AS controversy, event_id % 9 AS positive_votes, event_id % 5 AS number_comments,
+      '/story/' || event_id AS url, 'https://news.example/?a=' || event_id || '&b=1' AS article_url,
+      CASE WHEN event_id % 2 = 0 THEN '/img/' || event_id || '.jpg' END AS image_url FROM events
     """,
 )
 def extract_posts(spark, folder):

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from ..functions import text, times
 from ..operators import aggregates, filters, keyed, ranking, sets, statistics
+from . import sampling
 from .catalog import CHECKED_SQL, OFFSET_SQL, Tables, query
 from .queries_aggregates import DAY, rounded
 from .queries_functions import PAIRS_SQL, vector_tables
@@ -38,6 +39,30 @@ def sample_per_claim(spark, folder):
     return keyed.sample_per_key(df, ["user_id"], ["event_id"], 20, 7)
 
 
+@query(
+    "E2_sampled_messages",
+    """
+    WITH c AS (
+      SELECT o_orderkey AS fact_id, o_custkey AS review, row_number() OVER (PARTITION BY o_orderdate::DATE ORDER BY o_orderdate, o_orderkey) AS place
+      FROM orders WHERE o_orderdate BETWEEN TIMESTAMP '1997-01-01' AND TIMESTAMP '1999-12-31' AND o_orderstatus = 'F' AND o_orderpriority <> '5-LOW'),
+    m AS (SELECT event_id AS message_id, unnest(list_distinct([user_id, event_id])) AS fact_id FROM events),
+    r AS (SELECT fact_id, review, message_id,
+        row_number() OVER (PARTITION BY fact_id ORDER BY md5('7:' || message_id), message_id)::INT AS position
+      FROM m JOIN c USING (fact_id) WHERE place <= 2)
+    SELECT * FROM r WHERE position <= 3
+    """,
+)
+def sampled_messages(spark, folder):
+    """Eligible orders as claims; each event names its user and itself as claims."""
+    t = Tables(spark, folder)
+    claims = t.claims.withColumns({"claim": F.col("price"), "review": F.col("custkey")})
+    messages = t.events.select(
+        F.col("event_id").alias("tweet_id"), F.array_distinct(F.array("user_id", "event_id")).alias("fact_id")
+    )
+    picked = sampling.sampled_messages(claims, messages, "1997-01-01", "1999-12-31", ["5-LOW"], ["F"], 2, 3, 7)
+    return picked.select("fact_id", "review", "message_id", "position")
+
+
 HOURLY_SQL = "hourly AS (SELECT date_trunc('hour', ts) AS hour, count(*) AS count FROM events GROUP BY 1)"
 
 

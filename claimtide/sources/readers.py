@@ -185,6 +185,10 @@ def extract_posts(pages: DataFrame, html: str = "html") -> DataFrame:
         value = F.regexp_extract("b", rf'\s{name}="([^"]*)"', 1)
         return F.when(value != "", F.btrim(value))
 
+    def of_tag(tag: str, name: str) -> F.Column:
+        value = F.regexp_extract(F.regexp_extract("b", tag, 0), rf'\s{name}="([^"]*)"[^>]*>$', 1)
+        return F.when(value != "", F.btrim(text.strip_html(value)))
+
     stamp = attribute("data-ts")
     return blocks.select(
         "page_id",
@@ -198,4 +202,7 @@ def extract_posts(pages: DataFrame, html: str = "html") -> DataFrame:
         text.parse_count(inside("positive-vote-number")).alias("positive_votes"),
         text.parse_count(inside("negative-vote-number")).alias("negative_votes"),
         text.parse_count(attribute("data-comments-number")).alias("number_comments"),
+        of_tag(r'<a\s[^>]*class="[^"]*\bcomments\b[^>]*>', "href").alias("url"),
+        of_tag(r'<a\s[^>]*title="miniatura"[^>]*>\s*<img\s[^>]*>', "src").alias("image_url"),
+        of_tag(r'<span\s[^>]*class="[^"]*\bshowmytitle\b[^>]*>', "title").alias("article_url"),
     )
