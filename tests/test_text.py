@@ -143,7 +143,8 @@ def test_posts_of_one_page(spark):
         return (
             f'<div class="news-summary"><div class="news-body" data-link-id="{i}"><div class="votes"><a href="#">1{i}</a></div>'
             f'<div class="clics"><span> 2{i} clics</span></div>{warn}<span class="ts visible" data-ts="1704067200"></span>'
-            f'<a class="subname" href="/x">cultura &amp; ocio</a></div></div>'
+            f'<span class="showmytitle" title="https://n.es/?a={i}&amp;b=2">n</span><a title="miniatura" href="#"><img src="/i{i}.jpg"></a>'
+            f'<a href="/s{i}" class="comments">c</a><a class="subname" href="/x">cultura &amp; ocio</a></div></div>'
         )
 
     html = "<nav>x</nav>" + post(1, "") + post(2, '<div class="warn">!</div>')
@@ -154,3 +155,4 @@ def test_posts_of_one_page(spark):
         ("2", 12, 22, "cultura & ocio", True),
     ]
     assert str(got[0]["created_local"]) == "2024-01-01 01:00:00" and got[0]["number_comments"] is None
+    assert (got[1]["url"], got[1]["image_url"], got[1]["article_url"]) == ("/s2", "/i2.jpg", "https://n.es/?a=2&b=2")
