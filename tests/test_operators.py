@@ -81,6 +81,8 @@ def test_messages_near_claim_bounds(spark):
     claims = spark.sql("SELECT 7 AS fact_id, timestamp'2024-01-10 12:00:00' AS claim_date")
     near = joins.messages_near_claim(messages, claims, 2)
     assert rows(near, "message_id") == [(1,), (2,)]
+    links = spark.sql("SELECT * FROM VALUES (2, 7), (3, 7), (1, 8) AS t(message_id, fact_id)")
+    assert rows(joins.messages_near_claim(messages, claims, 2, links=links), "message_id") == [(2,)]
 
 
 def test_window_keeps_message_date_range(spark):
