@@ -6,7 +6,9 @@ it. Candidates are the neighbours in an order, which share the longest prefixes
 and so lie deeper where a region is crowded, and the hub of each region, the
 member whose prefixes most documents share over all orders. Candidates are
 confirmed on whole shingle sets: first one pair per document, then those between
-components that are still apart.
+components that are still apart. Regions too large to be covered by neighbours,
+whose members are not of one component by then, are searched exactly: two sets
+that are similar enough share one of their rarest shingles.
 """
 
 from __future__ import annotations
@@ -31,6 +33,9 @@ DEEPER = 4
 NEIGHBOURS = 4
 #: Signature estimates lie within 0.03 of the truth (one standard deviation), so 0.17 below the threshold loses nothing.
 ESTIMATE_SLACK = 0.17
+#: Places of the table that tells common shingles from rare ones, and shingles it is filled from; both bound what the driver holds.
+RARITY_BITS = 22
+RARITY_SHINGLES = 1 << 22
 BLOCK = 4096
 BATCH_BYTES = 16 << 20
 
@@ -201,13 +206,97 @@ def between(pairs: DataFrame, found: DataFrame) -> DataFrame:
     return both.where(F.coalesce("c_a", "a") != F.coalesce("c_b", "b")).select("a", "b")
 
 
+def open_members(crowded: DataFrame, found: DataFrame) -> DataFrame:
+    """(rep, component) of members of regions that neighbours don't cover and that hold several components."""
+    at = crowded.where(F.col("n") > NEIGHBOURS + 1).select("tree", "prefix", "rep")
+    at = at.join(found.withColumnRenamed("node", "rep"), "rep", "left").withColumn("component", F.coalesce("component", "rep"))
+    apart = at.groupBy("tree", "prefix").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low <> high")
+    return at.join(apart.select("tree", "prefix"), ["tree", "prefix"], "left_semi").select("rep", "component").distinct()
+
+
+def places(shingles: np.ndarray) -> np.ndarray:
+    return (shingles >> np.uint64(64 - RARITY_BITS)).astype(np.int64)
+
+
+def commonness(sets: DataFrame, total: int) -> np.ndarray:
+    """How often, up to 255, shingles stand at each place of the table, in so many sets that it doesn't fill up."""
+    every = -(-max(total, 1) // RARITY_SHINGLES)
+    schema = pa.schema([("place", pa.int64()), ("n", pa.int64())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if batch.num_rows:
+                found = [np.frombuffer(x.as_buffer(), "<u8") for x in batch.column(0)]
+                yield pa.RecordBatch.from_arrays([pa.array(x) for x in np.unique(places(np.concatenate(found)), return_counts=True)], schema=schema)
+
+    drawn = sets.where(F.pmod(F.xxhash64("rep"), F.lit(every)) == 0).select("shingles")
+    often = drawn.mapInArrow(run, "place long, n long").groupBy("place").agg(F.least(F.sum("n"), F.lit(255)).alias("n")).where("n > 1").toArrow()
+    table = np.zeros(1 << RARITY_BITS, np.uint8)
+    table[often.column("place").to_numpy()] = often.column("n").to_numpy()
+    return table
+
+
+def rarest(sets: DataFrame, common: np.ndarray, percent: int) -> DataFrame:
+    """(shingle, rep, component, n, at, short): the rarest shingles of each set, by one order for all sets.
+
+    A set of n shares `percent` of the union with a set of m >= n only if one of
+    its n - 2np/(100+p) + 1 rarest is among the other's m - mp/100 + 1 rarest.
+    `short` marks the former, `at` is the place in the set's order.
+    """
+    shared = sets.sparkSession.sparkContext.broadcast(common)
+    names = ["shingle", "rep", "component", "n", "at", "short"]
+    schema = pa.schema([*((n, pa.int64()) for n in names[:-1]), ("short", pa.bool_())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            parts, size = [], 0
+            for rep, component, x in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2)):
+                own = np.frombuffer(x.as_buffer(), "<u8")
+                n = len(own)
+                long = n + (-n * percent) // 100 + 1
+                short = n + (-2 * n * percent) // (100 + percent) + 1
+                # the sets are sorted, so equal counts stay in the order of the hashes
+                order = np.argsort(shared.value[places(own)], kind="stable")[:long]
+                at = np.arange(len(order))
+                parts.append((own[order].view(np.int64), np.full(len(at), rep), np.full(len(at), component), np.full(len(at), n), at, at < short))
+                size += len(at)
+                if size >= 1 << 18:
+                    yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in zip(*parts)], schema=schema)
+                    parts, size = [], 0
+            if parts:
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in zip(*parts)], schema=schema)
+
+    columns = "shingle long, rep long, component long, n long, at long, short boolean"
+    return sets.select("rep", "component", "shingles").mapInArrow(run, columns)
+
+
+def sharing(postings: DataFrame, percent: int) -> DataFrame:
+    """(a, b) of all sets of different components that can be similar enough, by a prefix-filter join.
+
+    Of the holders of a shingle, those of its largest component are not met
+    among themselves, so a group found before costs no pairs.
+    """
+    held = postings.groupBy("shingle", "component").agg(F.count("*").alias("k"))
+    mixed = held.groupBy("shingle").agg(F.count("*").alias("components"), F.max(F.struct("k", "component")).alias("most")).where("components > 1")
+    rows = stored(postings.join(mixed.select("shingle", F.col("most.component").alias("main")), "shingle"), "shared-shingles")
+    x = rows.where("component <> main").select("shingle", *[F.col(c).alias(f"{c}_x") for c in ("rep", "component", "n", "at", "short")])
+    y = rows.select("shingle", "main", *[F.col(c).alias(f"{c}_y") for c in ("rep", "component", "n", "at", "short")])
+    least = f"{percent} * (n_x + n_y)"
+    smaller = "CASE WHEN n_x < n_y OR (n_x = n_y AND rep_x < rep_y) THEN short_x ELSE short_y END"
+    rest = f"{100 + percent} * least(n_x - at_x, n_y - at_y) >= {least}"
+    once = "component_x <> component_y AND (component_y = main OR rep_x < rep_y)"
+    met = x.join(y, "shingle").where(f"{once} AND {smaller} AND 100 * least(n_x, n_y) >= {percent} * greatest(n_x, n_y) AND {rest}")
+    return met.select(F.least("rep_x", "rep_y").alias("a"), F.greatest("rep_x", "rep_y").alias("b")).distinct()
+
+
 def near_dedup(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", percent: int = 85) -> DataFrame:
     """One row per input row: doc_id, n_shingles, component_id, kept.
 
     Documents are linked if their sets of 5-word shingles share at least
     `percent` of their union; `component_id` is the smallest id reachable.
     Every link is exact. A pair at the threshold shares no region of any order
-    with a probability of (1 - 0.85**4) ** 20, 4e-7.
+    with a probability of (1 - 0.85**4) ** 20, 4e-7 (at 80 percent, 3e-5); one
+    that shares a region is found, however many members the region has.
 
     Null or empty text: no shingles, linked with nothing. Rows with one id are
     one document. Null ids: linked through equal sets only; they get the
@@ -248,7 +337,15 @@ def near_dedup(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", perc
     first = stored(confirmed(best.distinct().join(pairs, ["a", "b"], "left_semi"), sets, percent), "links")
     so_far = components(first)
     second = stored(confirmed(between(pairs, so_far), sets, percent), "links")
-    found = components(first.union(second))
+    links = first.union(second)
+    found = stored(components(links), "components")
+    members = stored(open_members(crowded, found).join(reps.select("rep", "n"), "rep"), "open-members")
+    total = members.agg(F.sum("n")).first()[0]
+    if total:
+        whole = stored(shingle_sets(base.join(members.select(F.col("rep").alias("doc_id")), "doc_id", "left_semi")), "sets")
+        postings = rarest(whole.join(members, "rep"), commonness(whole, total), percent)
+        rest = plausible(sharing(stored(postings, "rarest"), percent), reps, least)
+        found = components(links.union(stored(confirmed(rest, whole, percent), "links")))
     classes = reps.select("copy", "rep").join(found.withColumnRenamed("node", "rep"), "rep", "left")
     classes = stored(classes.select("copy", F.coalesce("component", "rep").alias("component_id")), "members")
     out = measured.select("doc_id", "n_shingles", "copy").join(classes, "copy", "left")

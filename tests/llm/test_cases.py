@@ -124,6 +124,21 @@ def test_near_dedup_finds_copies_of_one_original(spark):
     assert {r.component_id for r in out} == {0}
 
 
+def test_near_dedup_finds_pairs_in_a_crowded_region(spark):
+    """Pairs of similarity 0.854 among documents of one template, whose similarity is 0.798."""
+    rng = np.random.default_rng(5)
+    template = " ".join(f"t{i}" for i in range(400))
+    ids = rng.permutation(3000)
+    rows = []
+    for i in range(3000):
+        pair = i // 2 if i < 600 else i
+        rows.append((int(ids[i]), " ".join([template, *(f"p{pair}x{j}" for j in range(15)), *(f"d{i}x{j}" for j in range(35))])))
+    out = near_dedup.near_dedup(spark.createDataFrame(rows, "doc_id long, text string").repartition(4)).collect()
+    component = {r.doc_id: r.component_id for r in out}
+    mates = {int(ids[i]): int(ids[i ^ 1]) if i < 600 else int(ids[i]) for i in range(3000)}
+    assert component == {i: min(i, mate) for i, mate in mates.items()}
+
+
 def test_license_rules(docs, none):
     out = {r.doc_id: r for r in license_rules.license_scan(docs).collect()}
     assert (out[8].n_base, out[8].first_word, out[8].base_labels, out[8].labels, out[8].n_words) == (1, 0, "mit", "mit", 6)
