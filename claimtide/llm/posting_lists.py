@@ -191,15 +191,21 @@ def searched(k: int):
             for t, name in ((left, "vector"), (right, "query"))
         )
         lengths = np.sqrt((vectors * vectors).sum(axis=1))
+        # rows of one id stand together, and an id counts once
+        by_id = np.argsort(ids, kind="stable")
+        ids, vectors, lengths = ids[by_id], vectors[by_id], lengths[by_id]
+        starts = np.flatnonzero(np.concatenate([[True], ids[1:] != ids[:-1]]))
         found: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
         for query, own in zip(asked, queries):
             rough = vectors @ own / (lengths * np.sqrt((own * own).sum()))
             rough[ids == query] = -np.inf
-            last = np.partition(rough, -k)[-k] if len(rough) > k else -np.inf
+            best = np.maximum.reduceat(rough, starts)
+            last = np.partition(best, -k)[-k] if len(best) > k else -np.inf
             at = np.flatnonzero((rough >= last - SLACK) & (rough > -np.inf))
             # the same sum for the same vector, whatever stands beside it
             exact = (vectors[at] * own).sum(axis=1) / (lengths[at] * np.sqrt((own * own).sum()))
-            order = np.lexsort((ids[at], -exact))[:k]
+            order = np.lexsort((ids[at], -exact))
+            order = order[np.sort(np.unique(ids[at][order], return_index=True)[1])][:k]
             found.append((np.full(len(order), query), ids[at][order], exact[order]))
         return pa.table([np.concatenate(x) for x in zip(*found)], schema=schema)
 

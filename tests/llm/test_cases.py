@@ -237,3 +237,15 @@ def test_posting_lists_probe_all_lists_within_reach():
         best = np.argsort(-(vectors @ vectors[q]), kind="stable")[1:6]
         found += sum(bool(set(lists) & set(own)) for lists in graph.homes(vectors[best]))
     assert max(map(len, probes)) > posting_lists.BEAM and found >= 0.93 * 5 * len(queries)
+
+
+def test_posting_lists_count_an_id_once(spark):
+    """A near vector whose row stands many times takes one place of the five."""
+    rng = np.random.default_rng(4)
+    rows = [(i, rng.normal(size=8).tolist()) for i in range(50)]
+    rows += [(50, (np.array(rows[0][1]) + 0.01).tolist())] * 20
+    out = posting_lists.nearest(spark.createDataFrame(rows, "vec_id long, embedding array<double>")).collect()
+    vectors = {i: np.array(v) / np.linalg.norm(v) for i, v in rows}
+    for q in (0, 50):
+        best = sorted((i for i in vectors if i != q), key=lambda i: -float(vectors[i] @ vectors[q]))[:5]
+        assert [r.vec_id for r in sorted((r for r in out if r.query_id == q), key=lambda r: r["rank"])] == best
