@@ -20,24 +20,24 @@ APART = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]"
 # Phrases that always count, and their labels.
 BASE = {"under the mit license": "mit", "apache license version 2": "apache-2", "cc by nc": "cc-by-nc"}
 
-# Hand-written: label, keyword, how the license is named in lower-case words.
+# Hand-written: label, keyword, how the license is named in lower-case words. The keyword is a whole word of every such name.
 FAMILIES = [
     ("mit", "mit", "mit"), ("mit", "expat", "expat"), ("mit-0", "mit", "mit (?:no attribution|0)"), ("x11", "x11", "x11"),
     ("apache-1.1", "apache", "apache(?: software)?(?: licen[cs]e)?(?: version)? 1 1"),
-    ("apache-2", "apache", "apache(?: software)?(?: licen[cs]e)?(?: version| v)? ?2(?: 0)?"),
-    ("gpl-2", "gnu", "gnu general public licen[cs]e(?: version| v)? ?2"), ("gpl-2", "gpl", "gpl(?: version| v)? ?2"),
-    ("gpl-3", "gnu", "gnu general public licen[cs]e(?: version| v)? ?3"), ("gpl-3", "gpl", "gpl(?: version| v)? ?3"),
+    ("apache-2", "apache", "(?:apache(?: software)?(?: licen[cs]e)?(?: version| v) ?2(?: 0)?|apache(?: software)?(?: licen[cs]e)? 2(?: 0)?|apache(?: software licen[cs]e| software| licen[cs]e)2(?: 0)?)"), ("apache-2", "apache2", "apache2(?: 0)?"),
+    ("gpl-2", "gnu", "gnu general public licen[cs]e(?: version| v)? ?2"), ("gpl-2", "gpl", "(?:gpl(?: version| v) ?2|gpl 2)"), ("gpl-2", "gpl2", "gpl2"),
+    ("gpl-3", "gnu", "gnu general public licen[cs]e(?: version| v)? ?3"), ("gpl-3", "gpl", "(?:gpl(?: version| v) ?3|gpl 3)"), ("gpl-3", "gpl3", "gpl3"),
     ("gpl", "gnu", "gnu general public"), ("gpl", "gpl", "(?:gnu )?gpl"),
-    ("lgpl-2.1", "lesser", "gnu lesser general public licen[cs]e(?: version| v)? ?2 1"), ("lgpl-2.1", "lgpl", "lgpl(?: version| v)? ?2 1"),
-    ("lgpl-3", "lesser", "gnu lesser general public licen[cs]e(?: version| v)? ?3"), ("lgpl-3", "lgpl", "lgpl(?: version| v)? ?3"),
+    ("lgpl-2.1", "lesser", "gnu lesser general public licen[cs]e(?: version| v)? ?2 1"), ("lgpl-2.1", "lgpl", "(?:lgpl(?: version| v) ?2 1|lgpl 2 1)"), ("lgpl-2.1", "lgpl2", "lgpl2 1"),
+    ("lgpl-3", "lesser", "gnu lesser general public licen[cs]e(?: version| v)? ?3"), ("lgpl-3", "lgpl", "(?:lgpl(?: version| v) ?3|lgpl 3)"), ("lgpl-3", "lgpl3", "lgpl3"),
     ("lgpl", "lesser", "gnu lesser general public"), ("lgpl", "library", "gnu library general public"),
-    ("agpl-3", "affero", "gnu affero general public(?: licen[cs]e)?(?: version| v)? ?3"), ("agpl-3", "agpl", "agpl(?: version| v)? ?3"),
+    ("agpl-3", "affero", "gnu affero general public(?: licen[cs]e)?(?: version| v)? ?3"), ("agpl-3", "agpl", "(?:agpl(?: version| v) ?3|agpl 3)"), ("agpl-3", "agpl3", "agpl3"),
     ("agpl", "affero", "gnu affero general public"), ("gfdl", "gnu", "gnu free documentation"),
-    ("bsd-2", "bsd", "(?:bsd 2 clause|2 clause bsd|simplified bsd|freebsd)"),
+    ("bsd-2", "bsd", "(?:bsd 2 clause|2 clause bsd|simplified bsd)"), ("bsd-2", "freebsd", "freebsd"),
     ("bsd-3", "bsd", "(?:bsd 3 clause|3 clause bsd|new bsd|modified bsd|revised bsd)"),
     ("bsd-4", "bsd", "(?:bsd 4 clause|4 clause bsd|original bsd)"), ("bsd", "bsd", "(?:bsd style|bsd)"), ("0bsd", "0bsd", "0bsd"),
     ("mpl-1.1", "mozilla", "mozilla public licen[cs]e(?: version| v)? ?1 1"), ("mpl-2", "mozilla", "mozilla public licen[cs]e(?: version| v)? ?2(?: 0)?"),
-    ("mpl", "mozilla", "mozilla public"), ("mpl-2", "mpl", "mpl(?: version| v)? ?2(?: 0)?"),
+    ("mpl", "mozilla", "mozilla public"), ("mpl-2", "mpl", "(?:mpl(?: version| v) ?2(?: 0)?|mpl 2(?: 0)?)"), ("mpl-2", "mpl2", "mpl2(?: 0)?"),
     ("epl-1", "eclipse", "eclipse public licen[cs]e(?: version| v)? ?1(?: 0)?"), ("epl-2", "eclipse", "eclipse public licen[cs]e(?: version| v)? ?2(?: 0)?"),
     ("epl", "eclipse", "eclipse public"), ("cddl", "cddl", "cddl(?: 1 [01])?"), ("cddl", "distribution", "common development and distribution"),
     ("cpl", "common", "common public"), ("isc", "isc", "isc"), ("zlib", "zlib", "(?:zlib libpng|zlib)"), ("bsl-1", "boost", "boost software"),
@@ -56,20 +56,20 @@ FAMILIES = [
     ("cc-by-nc-sa", "cc", "cc by nc sa(?: [1-4] [05])?"), ("cc-by-nc-nd", "cc", "cc by nc nd(?: [1-4] [05])?"),
     ("all-rights-reserved", "reserved", "all rights reserved"), ("proprietary", "proprietary", "(?:proprietary and confidential|proprietary)"),
 ]
+OFFERED = "(?:licen[cs]ed|released|distributed|published|available|provided|covered|redistributed)(?: to you)? (?:under|by|with)"
 # Hand-written: priority, strength, and the words around a license's name.
 FORMS = [
     (1, 1.0, "spdx license identifier NAME"),
-    (2, 0.95, "(?:licen[cs]ed|released|distributed|published|available|provided|covered|redistributed)(?: to you)? (?:under|by|with) (?:the )?(?:terms (?:and conditions )?of (?:the )?)?NAME(?: (?:public )?licen[cs]e)?"),
+    (2, 0.95, OFFERED + " (?:the )?(?:terms (?:and conditions )?of (?:the )?)?NAME(?: (?:public )?licen[cs]e)?"),
     (3, 0.85, "(?:see|under|by|of|using|accept|subject to) (?:the )?(?:terms of (?:the )?)?NAME (?:public )?licen[cs]e"),
     (4, 0.7, "NAME (?:public )?licen[cs]e"),
 ]
 # Names that stand for a license without the words around them.
 ALONE = {"all-rights-reserved", "cc0", "cc-by", "cc-by-sa", "cc-by-nd", "cc-by-nc", "cc-by-nc-sa", "cc-by-nc-nd", "gpl-2", "gpl-3", "lgpl-3", "agpl-3", "unlicense"}
 PRIORITIES = 5
-# Every phrase and every rule has one of these words in its text.
-PREFILTER = (
-    rf"(?i)licen[cs]|spdx|reserved|proprietary|mozilla|gpl|cc0|creative{APART}+commons|cc{APART}+by|sharealike|noncommercial|gnu{APART}+general"
-)
+# Every phrase and every rule has one of these in its text, before lower-casing: forms 1, 3 and 4 and the phrases their own
+# word, form 2 its verb and preposition, names that stand alone their keyword.
+PREFILTER = rf"(?i)licen[cs]|spdx|cc{APART}+by|{OFFERED.replace(' ', APART + '+')}|(?<!{WORD[:-1]})(?:{'|'.join(sorted({k for n, k, _ in FAMILIES if n in ALONE}))})(?!{WORD[:-1]})"
 
 
 def rules() -> list[tuple[int, int, float, str, str, str, bool]]:

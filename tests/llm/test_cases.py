@@ -1,6 +1,7 @@
 """Odd rows, empty tables and clashing columns; and small tables against brute force."""
 
 import hashlib
+import re
 
 import numpy as np
 import public_tokenizers
@@ -152,6 +153,60 @@ def test_license_priority_and_containment(spark):
     assert out == {1: "gpl-3", 2: "apache-2", 3: ""}
 
 
+def spelled(pattern):
+    """Texts that match a pattern, every alternative of it at least once."""
+    tree = re._parser.parse(pattern)
+
+    def item(op, value):
+        if str(op) == "LITERAL":
+            return [chr(value)]
+        if str(op) == "IN":
+            return [chr(v) if str(o) == "LITERAL" else chr(v[0]) for o, v in value]
+        if str(op) == "BRANCH":
+            return [t for branch in value[1] for t in sequence(branch)]
+        if str(op) == "SUBPATTERN":
+            return sequence(value[-1])
+        if str(op) == "MAX_REPEAT":
+            return [""] + sequence(value[2])
+        assert str(op) in ("ASSERT", "ASSERT_NOT")
+        return [""]
+
+    def sequence(parts):
+        options = [item(*part) for part in parts]
+        least = [min(o, key=len) for o in options]
+        plain = "".join(least)
+        out = {plain, "".join(o[-1] for o in options)}
+        for i, choices in enumerate(options):
+            out |= {"".join([*least[:i], c, *least[i + 1 :]]) for c in choices}
+            for j in range(i):
+                out |= {"".join([*least[:j], d, *least[j + 1 : i], c, *least[i + 1 :]]) for c in choices for d in options[j]}
+        return sorted(out)
+
+    return sequence(tree)
+
+
+def test_license_prefilter_and_keywords_pass_every_rule():
+    prefilter = re.compile(license_rules.PREFILTER)
+    lost = []
+    for _, _, _, keyword, pattern, _, _ in license_rules.rules():
+        for found in spelled(pattern):
+            assert re.search(pattern, f" {found} "), found
+            if not prefilter.search(found.upper().replace(" ", "-\n")) or f" {keyword} " not in f" {found} ":
+                lost.append((found, keyword))
+    assert not lost, lost[:10]
+
+
+def test_license_names_without_the_word(spark):
+    texts = {
+        "released under the MIT": "mit", "Available under Apache 2.0": "apache-2", "Distributed under the 3-clause BSD": "bsd-3",
+        "distributed under the GNU Affero General Public v3": "agpl-3", "the FreeBSD license": "bsd-2", "a GPL2 text": "gpl-2",
+        "under Apache2 license": "apache-2", "provided\n * with GPLv9": "",
+    }
+    rows = list(enumerate(texts.values()))
+    out = license_rules.license_scan(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()
+    assert sorted((r.doc_id, r.labels) for r in out) == rows
+
+
 def test_warc(spark, tmp_path):
     body = "<p>\r\n\r\n" + "é" * 100
     rows = [(3, "http://a/x", body), (1, None, body), (1, None, body), (2, "http://b", None), (None, "http://c", body), (4, "u\r\nv", "short"), (5, "u", "short")]
