@@ -28,3 +28,15 @@ def test_pipeline(spark):
         before = after
     texts = sorted(hashlib.sha256(r.text.encode()).hexdigest() for r in before.collect())
     assert sorted(r.decoded_sha256 for r in corpus_pipeline.run(spark, FOLDER).collect()) == texts
+
+
+def test_pipeline_takes_out_near_copies_of_081(spark):
+    """Pairs that share 400 of 494 shingles, 0.81, and pairs that share 400 of 512, 0.78."""
+    rows = []
+    for i in range(40):
+        own = 47 if i < 20 else 56
+        text = [f"p{i // 2}x{j}" for j in range(404)] + [f"d{i}x{j}" for j in range(own)]
+        rows.append((i, " ".join(text), "en", "s", 0))
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    left = dict(corpus_pipeline.STAGES)["near copies"](spark, docs, FOLDER)
+    assert sorted(r.doc_id for r in left.collect()) == [*range(0, 20, 2), *range(20, 40)]
