@@ -92,8 +92,8 @@ def worded_lines(text: Column) -> Column:
     return F.filter(F.split(text, "\n"), has_word)
 
 
-def frequent_lines(docs: DataFrame, host: str, text: str, min_documents: int, max_share: float) -> DataFrame:
-    """(host, key) of lines in at least `min_documents` texts and more than `max_share` of a host's texts.
+def frequent_lines(docs: DataFrame, host: str, text: str, min_documents: int, max_share: float, always: int | None = None) -> DataFrame:
+    """(host, key) of lines in at least `min_documents` texts and more than `max_share` of a host's texts, or in `always` texts.
 
     Documents are told apart by their text, so an exact copy adds nothing.
     """
@@ -110,7 +110,8 @@ def frequent_lines(docs: DataFrame, host: str, text: str, min_documents: int, ma
     )
     totals = texts.groupBy("host").agg(F.countDistinct("copy").alias("documents"))
     above = joined(counts, totals, ["host"], "inner")
-    return above.where(F.col("n") > F.col("documents") * F.lit(max_share)).select("host", "key")
+    limit = F.col("n") > F.col("documents") * F.lit(max_share)
+    return above.where(limit if always is None else limit | (F.col("n") >= always)).select("host", "key")
 
 
 def quality_rules(
@@ -123,10 +124,12 @@ def quality_rules(
     min_left: float = 0.5,
     min_words: int = 20,
     max_repeat: int = 30,
+    always: int | None = None,
 ) -> DataFrame:
     """One row per input row: struct `row`, the statistics, `base_failed`, `n_removed_lines`, `n_left`, `clean_text`, `kept`.
 
-    `clean_text` is the text without the lines above the limits. A document is
+    `clean_text` is the text without the lines above the limits. With `always`,
+    a line in so many texts goes however large its host is. A document is
     depleted if fewer than `min_left` of its words stay.
 
     Null text: no words, so `base_failed`; `clean_text` is null. Null host: a
@@ -134,7 +137,7 @@ def quality_rules(
     often as they go in, count as one text, and agree. Empty table: no rows.
     Ties do not occur: every limit is a comparison of counts.
     """
-    frequent = stored(frequent_lines(docs, host, text, min_documents, max_share), "frequent-lines")
+    frequent = stored(frequent_lines(docs, host, text, min_documents, max_share, always), "frequent-lines")
     base = packed(docs, doc_id=F.col(doc_id), text=F.col(text), host=F.col(host), copy=F.xxhash64(text))
     lines = base.select("doc_id", "host", "copy", F.posexplode(F.split("text", "\n")).alias("at", "line"))
     lines = lines.where(has_word(F.col("line"))).withColumn("key", line_key(F.col("line")))

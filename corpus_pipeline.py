@@ -19,6 +19,8 @@ from claimtide.llm.source_mix import source_mix
 from claimtide.session import stored
 
 ORACLE_SQL = None
+#: A line in so many texts of a host goes, whatever share of the host they are.
+ALWAYS = 1_000
 
 
 def with_text(rows: DataFrame, text) -> DataFrame:
@@ -32,8 +34,8 @@ def with_text(rows: DataFrame, text) -> DataFrame:
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Rejected documents go; lines above the limits of their host go from the others."""
-    return with_text(quality_rules(docs).where("kept"), F.col("clean_text"))
+    """Rejected documents go; lines above the limits of their host, or in ALWAYS of its texts, go from the others."""
+    return with_text(quality_rules(docs, always=ALWAYS).where("kept"), F.col("clean_text"))
 
 
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -50,6 +50,16 @@ def test_quality_rules_take_out_shared_lines(spark):
     assert not out[99].kept and out[99].n_left == 3
 
 
+def test_quality_rules_take_out_lines_of_many_documents_of_a_large_host(spark):
+    body = lambda i: " ".join(f"w{i}x{j}" for j in range(40))
+    rows = [(i, ("A passage of many\n" if i < 30 else "") + body(i), "h") for i in range(400)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    assert quality_rules.quality_rules(docs).where("n_removed_lines > 0").count() == 0
+    assert quality_rules.quality_rules(docs, always=31).where("n_removed_lines > 0").count() == 0
+    out = quality_rules.quality_rules(docs, always=30).collect()
+    assert all(r.clean_text == body(r.doc_id) for r in out)
+
+
 def test_byte_pairs(docs, none):
     rows = byte_pairs.round_trip(docs, PATH, public_tokenizers.PATTERN).collect()
     own = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=RANKS, special_tokens={})
