@@ -146,7 +146,7 @@ def op6_line_dedup(spark, folder):
     """,
 )
 def op8_warc(spark, folder):
-    return warc_round_trip(table(spark, folder, "pages"), scratch_path(spark, "archives")).drop("url")
+    return warc_round_trip(table(spark, folder, "pages"), scratch_path(spark, "archives"), every_row=True).drop("url")
 
 
 @query("op9_source_mix")

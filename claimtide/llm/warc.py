@@ -14,7 +14,9 @@ from collections.abc import Iterator
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
+from ..session import stored
 from .common import joined, packed
 
 # Fixed values of the format.
@@ -56,6 +58,24 @@ def record(kind: str | Column, identifier: Column, block: Column, **headers: Col
     )
 
 
+def numbered(base: DataFrame) -> DataFrame:
+    """Adds `again`: 2, 3 and so on for repeated rows of (page_id, url, digest), null for the first.
+
+    Only rows whose id and url stand more than once are numbered; a null url is
+    an empty one here, as in the identifiers. Rows with one url are equal, so it
+    doesn't matter which of them gets which number.
+    """
+    base = base.withColumn("at", F.coalesce("url", F.lit("")))
+    repeated = stored(base.groupBy("page_id", "at").agg(F.count("*").alias("n")).where("n > 1").select("page_id", "at"), "repeated-pages")
+    single = base.withColumn("again", F.lit(None).cast("int"))
+    if repeated.isEmpty():
+        return single
+    marked = joined(base, repeated.withColumn("more", F.lit(1)), ["page_id", "at"], "left")
+    place = F.row_number().over(Window.partitionBy("page_id", "at", "digest").orderBy("url"))
+    some = marked.where("more = 1").drop("more").withColumn("again", F.when(place > 1, place))
+    return marked.where("more IS NULL").drop("more").withColumn("again", F.lit(None).cast("int")).unionByName(some)
+
+
 def write_captures(
     pages: DataFrame,
     path: str,
@@ -64,14 +84,17 @@ def write_captures(
     payload: str = "html",
     least: int = 100,
     date: str = "2024-01-01T00:00:00Z",
+    every_row: bool = False,
 ) -> None:
     """Write three records per page, gzip-compressed archives, under `path`.
 
     Of pages with equal payloads of at least `least` bytes the smallest id is
-    the response and the others revisit it, without the payload.
+    the response and the others revisit it, without the payload. With
+    `every_row`, rows that agree in id, url and payload are captures of their own.
     """
     base = packed(pages, page_id=F.col(page_id), url=F.col(url), payload=F.coalesce(F.col(payload), F.lit("")))
     base = base.drop("row").withColumn("digest", F.sha2("payload", 256)).withColumn("size", F.octet_length("payload"))
+    base = numbered(base) if every_row else base.withColumn("again", F.lit(None).cast("int"))
     copies = (
         base.where((F.col("size") >= least) & F.col("page_id").isNotNull())
         .groupBy("digest")
@@ -83,7 +106,10 @@ def write_captures(
     original = F.col("first").isNull() | (
         F.col("page_id").eqNullSafe(F.col("first.page_id")) & (F.coalesce("url", F.lit("")) == F.col("first.url"))
     )
-    captures = marked.withColumn("original", original).withColumn("own", record_id("capture", F.col("page_id"), F.col("url"), F.col("digest")))
+    captures = marked.withColumn("original", original)
+    own = record_id("capture", F.col("page_id"), F.col("url"), F.col("digest"))
+    again = record_id("repeated", F.col("page_id"), F.col("url"), F.col("digest"), F.col("again"))
+    captures = captures.withColumn("own", F.when(F.col("again").isNull(), own).otherwise(again))
     place = F.regexp_replace("url", r"[\r\n]+", " ")
     host = F.coalesce(F.nullif(F.regexp_extract("url", r"^[a-zA-Z]+://([^/?#\s]*)", 1), F.lit("")), F.lit("unknown"))
     http = F.concat(
@@ -204,7 +230,7 @@ def assemble(records: DataFrame) -> DataFrame:
     )
 
 
-def warc_round_trip(pages: DataFrame, path: str, page_id: str = "page_id", url: str = "url", payload: str = "html") -> DataFrame:
+def warc_round_trip(pages: DataFrame, path: str, page_id: str = "page_id", url: str = "url", payload: str = "html", every_row: bool = False) -> DataFrame:
     """Write pages as archives under `path`, read them, and give one row per capture.
 
     Columns: page_id, url, payload_bytes, payload_digest (both of the full
@@ -212,10 +238,11 @@ def warc_round_trip(pages: DataFrame, path: str, page_id: str = "page_id", url:
 
     Null payload: an empty one. Null id: it is never the response of a group
     that holds an id. Null url: no target. Rows that agree in id, url and
-    payload are one capture and come out once. Empty table: no rows. Payloads
+    payload are one capture and come out once, or with `every_row` as often as
+    they go in. Empty table: no rows. Payloads
     must be text, as strings are in Spark; their length is not limited here.
     """
-    write_captures(pages, path, page_id, url, payload)
+    write_captures(pages, path, page_id, url, payload, every_row=every_row)
     records = read_records(pages.sparkSession, path)
     light = records.withColumns({"bytes": F.octet_length("payload").cast("long"), "sha256": F.sha2("payload", 256)}).drop("payload")
     captures = assemble(light)

@@ -230,6 +230,16 @@ def test_warc(spark, tmp_path):
     assert warc.warc_round_trip(empty, str(tmp_path / "b")).count() == 0
 
 
+def test_warc_gives_every_row_back(spark, tmp_path):
+    body = "<p>" + "x" * 200
+    rows = [(1, "http://a", body)] * 3 + [(2, "http://a", body)] * 2 + [(None, None, "short"), (None, "", "short")] + [(3, "http://b", None), (1, "http://a", "other")]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    out = warc.warc_round_trip(pages, str(tmp_path / "a"), every_row=True).collect()
+    found = sorted((r.page_id or 0, r.payload_bytes, r.record_type, r.refers_to or 0) for r in out)
+    size = len(body)
+    assert found == [(0, 5, "response", 0)] * 2 + [(1, 5, "response", 0)] + [(1, size, "response", 0)] * 3 + [(2, size, "revisit", 1)] * 2 + [(3, 0, "response", 0)]
+
+
 def test_source_mix(spark, docs, none):
     assert source_mix.source_mix(docs).count() == len(TEXTS)
     assert source_mix.source_mix(none).count() == 0
