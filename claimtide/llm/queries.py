@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from ..session import scratch_path
 from .byte_pairs import round_trip
 from .common import table
+from .fill_middle import fill_in_middle, restored
 from .line_dedup import line_dedup
 from .near_dedup import near_dedup
 from .license_rules import license_scan
@@ -224,3 +225,37 @@ def op5_license_rules(spark, folder):
 @query("op10_quality_classifier")
 def op10_quality_classifier(spark, folder):
     return quality_scores(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
+@query(
+    "op11_fill_in_middle",
+    r"""
+    WITH d AS (
+      SELECT doc_id, coalesce(text, '') AS text, sha256('42:' || coalesce(doc_id::VARCHAR, '')) AS h,
+        regexp_extract_all(coalesce(text, ''), '[\x20\x09-\x0D]*[^\x20\x09-\x0D]+|[\x20\x09-\x0D]+') AS u
+      FROM documents
+    ),
+    cuts AS (
+      SELECT *, len(u) AS n,
+        least(('0x' || h[1:8])::BIGINT % (len(u) + 1), ('0x' || h[9:16])::BIGINT % (len(u) + 1)) AS low,
+        greatest(('0x' || h[1:8])::BIGINT % (len(u) + 1), ('0x' || h[9:16])::BIGINT % (len(u) + 1)) AS high,
+        CASE WHEN text = '' OR regexp_matches(text, '<[PSM]>') OR ('0x' || h[17:24])::BIGINT % 100 >= 50 THEN 'plain'
+          WHEN ('0x' || h[25:32])::BIGINT % 100 < 80 THEN 'spm' ELSE 'psm' END AS form
+      FROM d
+    ),
+    pieces AS (
+      SELECT *, array_to_string(u[1:low], '') AS p, array_to_string(u[low + 1:high], '') AS m, array_to_string(u[high + 1:], '') AS s FROM cuts
+    )
+    SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN length(p) END AS prefix_chars,
+      CASE WHEN form <> 'plain' THEN length(m) END AS middle_chars,
+      sha256(CASE form WHEN 'plain' THEN text WHEN 'psm' THEN '<P>' || p || '<S>' || s || '<M>' || m
+        ELSE '<S>' || s || '<P>' || p || '<M>' || m END) AS output_sha256,
+      sha256(text) AS restored_sha256
+    FROM pieces
+    """,
+)
+def op11_fill_in_middle(spark, folder):
+    made = fill_in_middle(table(spark, folder, "documents"), carry=["doc_id"])
+    back = restored(F.col("form"), F.col("output"))
+    digests = F.sha2("output", 256).alias("output_sha256"), F.sha2(back, 256).alias("restored_sha256")
+    return made.select("row.doc_id", "n", "form", "prefix_chars", "middle_chars", *digests)
