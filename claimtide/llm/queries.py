@@ -13,6 +13,7 @@ from ..session import scratch_path
 from .byte_pairs import round_trip
 from .common import table
 from .fill_middle import fill_in_middle, restored
+from .hard_negatives import hard_negatives
 from .line_dedup import line_dedup
 from .near_dedup import near_dedup
 from .license_rules import license_scan
@@ -259,3 +260,34 @@ def op11_fill_in_middle(spark, folder):
     back = restored(F.col("form"), F.col("output"))
     digests = F.sha2("output", 256).alias("output_sha256"), F.sha2(back, 256).alias("restored_sha256")
     return made.select("row.doc_id", "n", "form", "prefix_chars", "middle_chars", *digests)
+
+
+@query(
+    "op12_hard_negatives",
+    """
+    WITH v AS (
+      SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+        list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS q
+      FROM embeddings
+      WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    ),
+    scores AS (
+      SELECT a.vec_id AS anchor_id, b.vec_id AS other, a.label = b.label AS same,
+        list_sum(list_transform(list_zip(a.q, b.q), lambda x: x[1] * x[2]))::BIGINT AS score
+      FROM v a JOIN v b ON a.vec_id % 100 = 0 AND a.vec_id <> b.vec_id
+    ),
+    positives AS (
+      SELECT * FROM scores WHERE same QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, other) <= 5
+    )
+    SELECT p.anchor_id, p.other AS positive_id,
+      row_number() OVER (PARTITION BY p.anchor_id, p.other ORDER BY n.score DESC, n.other) AS rank,
+      n.other AS negative_id, p.score AS positive_score, n.score AS negative_score
+    FROM positives p JOIN scores n ON p.anchor_id = n.anchor_id AND NOT n.same
+      AND 80 * p.score <= 100 * n.score AND 100 * n.score <= 100 * p.score
+    QUALIFY rank <= 5
+    """,
+)
+def op12_hard_negatives(spark, folder):
+    vectors = table(spark, folder, "embeddings")
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives(vectors, label=label)
