@@ -22,6 +22,7 @@ from .quality_classifier import quality_scores
 from .quality_rules import quality_rules
 from .source_mix import source_mix
 from .substring_dedup import substring_dedup
+from .suffix_dedup import suffix_dedup
 from .warc import warc_round_trip
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -291,3 +292,8 @@ def op12_hard_negatives(spark, folder):
     vectors = table(spark, folder, "embeddings")
     label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
     return hard_negatives(vectors, label=label)
+
+
+@query("op13_suffix_dedup")
+def op13_suffix_dedup(spark, folder):
+    return suffix_dedup(table(spark, folder, "documents")).drop("spans")
