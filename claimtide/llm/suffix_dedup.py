@@ -397,8 +397,9 @@ def suffix_dedup(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") ->
     copies = F.sum(F.when(F.col("many"), 2).otherwise(1))
     single = found.groupBy("anchor", "digest").agg(copies.alias("copies"), F.min(F.struct("key", "first")).alias("at"), F.min("windows").alias("windows"))
     single = stored(single.select("anchor", "digest", (F.col("copies") > 1).alias("again"), "at.key", "at.first", "windows"), "single")
+    # a piece that occurs once and has no other under its anchor holds that anchor twice
     groups = single.groupBy("anchor").agg(F.count("*").alias("different"), F.min(F.col("again").cast("int")).alias("least"))
-    groups = stored(groups.where("different > 1 AND least = 0").select("anchor", (F.col("different") > CROWD).alias("crowd")), "groups")
+    groups = stored(groups.where("least = 0").select("anchor", (F.col("different") > CROWD).alias("crowd")), "groups")
     compared = single.join(groups, "anchor")
     small = found_by_merge(texts_of(marked, compared.where("NOT crowd")))
     large = found_by_hash(texts_of(marked, compared.where("crowd")))
