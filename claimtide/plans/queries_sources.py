@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql import Window as W
 
 from ..functions import times
-from ..operators import aggregates
-from ..session import scratch_path
+from ..operators import aggregates, threads
+from ..session import scratch_path, stored
 from ..sources import readers, sinks
 from .catalog import Tables, query
 from .queries_functions import (
@@ -468,3 +469,75 @@ def read_gold(spark, folder):
         F.when(F.col("toxic") == 1, empty).otherwise(F.array(label)).alias("accept"),
     ).write.json(path)
     return readers.read_gold(spark, path).select("_id", "label")
+
+
+#: Depth of the comments of a page, over and over.
+DEPTHS = [0, 1, 2, 2, 1, 0, 1, 1]
+COMMENTS_SQL = f"""
+    t AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn) - 1 AS n FROM conversations),
+    d AS (SELECT *, {DEPTHS}[n % {len(DEPTHS)} + 1] AS depth FROM t),
+    comments AS (
+      SELECT c.*, (SELECT max(p.n) FROM d p WHERE p.conv_id = c.conv_id AND p.n < c.n AND p.depth = c.depth - 1) AS above FROM d c
+    )"""
+
+
+def thread_pages(t: Tables):
+    """Stored thread pages, one per conversation: its turns as nested comments."""
+    by_turn = W.partitionBy("conv_id").orderBy("turn")
+    depths = F.array(*map(F.lit, DEPTHS))
+    turns = t.conversations.withColumn("n", F.row_number().over(by_turn) - 1)
+    turns = turns.withColumn("depth", F.get(depths, F.col("n") % len(DEPTHS)))
+    turns = turns.withColumns({"last": F.lag("depth").over(by_turn), "next": F.lead("depth").over(by_turn)})
+    safe = F.replace(F.replace("text", F.lit("&"), F.lit("&amp;")), F.lit("<"), F.lit("&lt;"))
+    closed = F.lit("</div>")
+    comment = F.concat(
+        F.when(F.col("n") == 0, F.lit("")).when(F.col("depth") > F.col("last"), F.lit('<div class="threader-childs">'))
+        .otherwise(F.repeat(closed, 1 + 2 * (F.col("last") - F.col("depth")))),
+        F.lit('\n<div class="threader zero">\n<div class="comment'), F.when(F.col("n") % 3 == 1, F.lit(" negative")).otherwise(F.lit("")),
+        F.when(F.col("n") % 5 == 4, F.lit(" phantom")).otherwise(F.lit("")), F.lit('" data-id="comment-'), "conv_id", F.lit("x"), "n",
+        F.lit('"><div class="comment-body"><div class="comment-header"><a class="comment-order" href="#">#'), F.col("n") + 1,
+        F.lit('</a> <a class="username" href="/u">'), "role", F.lit('</a><span data-ts="'), F.lit(1_660_000_000) + F.col("conv_id") * 100 + F.col("n"),
+        F.lit('" class="comment-date">x</span></div><div class="comment-text" id="c">'),
+        F.when(F.col("depth") > 0, F.concat(F.lit('<a class="tooltip" href="#">#'), "n", F.lit("</a> "))).otherwise(F.lit("")), safe,
+        F.lit('</div></div><div class="comment-footer"><span title="Votos"> '), F.col("n") * 2, F.lit('</span><span title="Karma">K '),
+        F.col("n") * 7, F.lit("</span></div></div>"),
+        F.when(F.col("next").isNull(), F.repeat(closed, 1 + 2 * F.col("depth"))).otherwise(F.lit("")),
+    )
+    ordered = F.array_sort(F.collect_list(F.struct("n", comment.alias("c"))))
+    html = F.concat(F.lit('<html><body><div class="top"><div id="comments">'), F.array_join(F.transform(ordered, lambda x: x["c"]), ""), F.lit("</div></div></body></html>"))
+    return turns.groupBy(F.col("conv_id").alias("page_id")).agg(html.alias("html"))
+
+
+@query(
+    "M9_comments_of_pages",
+    f"""
+    WITH {COMMENTS_SQL}
+    SELECT conv_id AS page_id, conv_id || 'x' || n AS comment_id, conv_id || 'x' || above AS parent_id,
+      row_number() OVER (PARTITION BY conv_id, above ORDER BY n) AS position, (n + 1)::INT AS internal_id, role AS author,
+      1660000000 + conv_id * 100 + n AS created_epoch, CASE WHEN depth > 0 THEN n::VARCHAR ELSE '' END AS replies_to,
+      md5(trim(text, e' \n\t')) AS text_md5, (n * 2)::INT AS votes, (n * 7)::INT AS karma, n % 3 = 1 AS negative, n % 5 = 4 AS hidden FROM comments
+    """,
+)
+def comments_of_pages(spark, folder):
+    found = readers.extract_comments(thread_pages(Tables(spark, folder)))
+    found = found.withColumns({"replies_to": F.array_join(F.col("replies_to").cast("array<string>"), ","), "text_md5": F.md5("text")})
+    return found.drop("at", "created_local", "text")
+
+
+@query(
+    "M9_comment_tree_of_pages",
+    f"""
+    WITH RECURSIVE {COMMENTS_SQL},
+    tree AS (
+      SELECT conv_id, n, above, n AS root, 0 AS deep FROM comments WHERE above IS NULL
+      UNION ALL SELECT c.conv_id, c.n, c.above, root, deep + 1 FROM comments c JOIN tree USING (conv_id) WHERE c.above = tree.n
+    ),
+    r AS (SELECT conv_id, above AS n, count(*) AS replies FROM comments WHERE above IS NOT NULL GROUP BY ALL)
+    SELECT conv_id || 'x' || n AS id, conv_id || 'x' || above AS parent, conv_id || 'x' || root AS root, deep AS depth,
+      coalesce(replies, 0) AS replies FROM tree LEFT JOIN r USING (conv_id, n)
+    """,
+)
+def comment_tree_of_pages(spark, folder):
+    found = stored(readers.extract_comments(thread_pages(Tables(spark, folder))), "comments")
+    return threads.thread_table(found, "comment_id", "parent_id")
+

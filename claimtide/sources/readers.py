@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.window import Window
 
 from .. import schemas
 from ..functions import text, times
@@ -206,3 +207,100 @@ def extract_posts(pages: DataFrame, html: str = "html") -> DataFrame:
         of_tag(r'<a\s[^>]*title="miniatura"[^>]*>\s*<img\s[^>]*>', "src").alias("image_url"),
         of_tag(r'<span\s[^>]*class="[^"]*\bshowmytitle\b[^>]*>', "title").alias("article_url"),
     )
+
+
+# Fixed values of a stored comment page: classes, titles and prefixes of its markup.
+THREAD, COMMENT = "threader", "comment"
+BODY, ORDER, AUTHOR, STAMP, MENTION = "comment-text", "comment-order", "username", "comment-date", "tooltip"
+VOTES, KARMA = "Votos", "Karma"
+NEGATIVE, HIDDEN = "negative", "phantom"
+#: A comment stands so many `div` deeper than the comment it answers.
+NESTED = 2
+
+
+def _classed(tag: str, name: str) -> str:
+    """Pattern of an opening tag with a class of that whole name."""
+    return rf'<{tag}\b[^>]*\bclass="(?:[^"]*\s)?{name}(?:\s[^"]*)?"[^>]*>'
+
+
+def extract_comments(pages: DataFrame, html: str = "html") -> DataFrame:
+    """Comments of stored thread pages with the one they answer, in the order of the page.
+
+    Result: page_id, comment_id, parent_id (null at the top), at (place on the
+    page), position (place among the answers to one comment), internal_id,
+    author, created_epoch, created_local, replies_to, text, votes, karma,
+    negative, hidden.
+
+    A page is cut where comments open. The depth of `div` there, summed over the
+    page, tells which comment is answered: the last one NESTED levels higher
+    whose thread has not been closed since. Comments without an id are left out,
+    their answers stand at the top; comments outside a thread are left out.
+    Null pages and pages without comments give no rows.
+    """
+    opening = _classed("div", COMMENT)
+    cut = F.split(html, f"(?={opening})", -1)
+    thread = rf"{_classed('div', THREAD)}\s*$"
+    part = F.transform(cut, lambda b, i: F.struct(i.alias("at"), b.alias("b"), F.get(cut, i - 1).rlike(thread).alias("threaded")))
+    parts = pages.select("page_id", part.alias("p"))
+    blocks = parts.select("page_id", F.explode("p").alias("p")).select("page_id", "p.*")
+
+    # net depth of a block, and the lowest depth in it
+    ends = F.regexp_extract_all("b", F.lit(r"(?i)<(/?)div\b"), F.lit(1))
+    start = F.struct(F.lit(0).alias("net"), F.lit(0).alias("low"))
+
+    def moved(state: F.Column, slash: F.Column) -> F.Column:
+        net = state["net"] + F.when(slash == "/", -1).otherwise(1)
+        return F.struct(net.alias("net"), F.least(state["low"], net).alias("low"))
+
+    measured = blocks.withColumn("d", F.aggregate(ends, start, moved))
+    earlier = Window.partitionBy("page_id").orderBy("at").rowsBetween(Window.unboundedPreceding, -1)
+    placed = measured.withColumn("base", F.coalesce(F.sum("d.net").over(earlier), F.lit(0)))
+    found = placed.where(F.col("at") > 0).withColumns({"level": F.col("base") + 1, "low": F.col("base") + F.col("d.low")})
+
+    first = F.regexp_extract("b", rf"^{opening}", 0)
+    identity = F.regexp_extract(first, r'\bdata-id="(?:comment-)?([^"]*)"', 1)
+    named = found.withColumn("comment_id", F.when(identity != "", identity))
+
+    # three kinds of events on the level of an answer: it opens; one it can belong to has opened, or was closed
+    def event(kind: int, level: F.Column) -> F.Column:
+        return F.struct(F.lit(kind).alias("kind"), level.alias("level"))
+
+    highest = F.col("level") + NESTED
+    levels = F.when(F.col("low") < F.col("level") - 1, F.sequence(F.col("low") + NESTED + 2, highest)).otherwise(F.array().cast("array<int>"))
+    own = F.array(event(0, F.col("level").cast("int")), event(1, highest.cast("int")))
+    events = F.concat(own, F.transform(levels.cast("array<int>"), lambda x: event(2, x)))
+    kept = F.when(F.col("e.kind") == 0, F.col("b")).alias("b")
+    spread = named.select("page_id", "at", "comment_id", "b", "threaded", F.explode(events).alias("e"))
+    spread = spread.select("page_id", "at", "comment_id", kept, "threaded", "e.*")
+    so_far = Window.partitionBy("page_id", "level").orderBy("at", "kind")
+    id_above = F.when(F.col("kind") > 0, F.struct(F.when(F.col("kind") == 1, F.col("comment_id")).alias("id")))
+    rows = spread.withColumn("above", F.last(id_above, ignorenulls=True).over(so_far)).where("kind = 0 AND threaded AND comment_id IS NOT NULL")
+    rows = rows.withColumn("parent_id", F.col("above.id"))
+
+    inner = F.regexp_extract("b", rf"(?s){_classed('div', BODY)}(.*?)</div>", 1)
+    mention = rf"(?s){_classed('a', MENTION)}(.*?)</a>"
+
+    def inside(pattern: str) -> F.Column:
+        value = F.btrim(text.strip_html(F.regexp_extract("b", pattern, 1)), F.lit(" \n\t"))
+        return F.when(value != "", value)
+
+    stamp = F.regexp_extract(F.regexp_extract("b", _classed("span", STAMP), 0), r'\bdata-ts="(\d+)"', 1).try_cast("bigint")
+    numbers = F.transform(F.regexp_extract_all(inner, F.lit(mention), F.lit(1)), lambda m: F.replace(m, F.lit("#"), F.lit("")).try_cast("int"))
+    siblings = Window.partitionBy("page_id", "parent_id").orderBy("at")
+    return rows.select(
+        "page_id",
+        "comment_id",
+        "parent_id",
+        "at",
+        F.row_number().over(siblings).alias("position"),
+        F.replace(inside(rf"(?s){_classed('a', ORDER)}(.*?)</a>"), F.lit("#"), F.lit("")).try_cast("int").alias("internal_id"),
+        inside(rf"(?s){_classed('a', AUTHOR)}(.*?)</a>").alias("author"),
+        stamp.alias("created_epoch"),
+        times.from_epoch(stamp, "Europe/Madrid").alias("created_local"),
+        numbers.alias("replies_to"),
+        F.btrim(text.strip_html(F.regexp_replace(inner, mention, "")), F.lit(" \n\t")).alias("text"),
+        inside(rf'(?s)<span[^>]*\btitle="{VOTES}"[^>]*>(.*?)</span>').try_cast("int").alias("votes"),
+        F.replace(inside(rf'(?s)<span[^>]*\btitle="{KARMA}"[^>]*>(.*?)</span>'), F.lit("K "), F.lit("")).try_cast("int").alias("karma"),
+        F.contains(first, F.lit(NEGATIVE)).alias("negative"),
+        F.contains(first, F.lit(HIDDEN)).alias("hidden"),
+    )
