@@ -245,6 +245,7 @@ def warc_round_trip(pages: DataFrame, path: str, page_id: str = "page_id", url:
     write_captures(pages, path, page_id, url, payload, every_row=every_row)
     records = read_records(pages.sparkSession, path)
     light = records.withColumns({"bytes": F.octet_length("payload").cast("long"), "sha256": F.sha2("payload", 256)}).drop("payload")
+    light = stored(light, "records")  # archives are parsed once, payloads go no farther
     captures = assemble(light)
     flat = captures.select(
         F.nullif(F.col("metadata.fields").getItem("page-id"), F.lit("")).cast("long").alias("page_id"),
