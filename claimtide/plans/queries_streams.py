@@ -112,10 +112,9 @@ def label_arrivals(spark, folder):
 
 @query("X8_high_water_marks", "SELECT user_id, max(event_id) AS mark FROM events GROUP BY 1")
 def high_water_marks(spark, folder):
-    log = streams.UpsertLog(scratch_path(spark, "marks"), "user_id", ["mark"], ["mark"])
-    marks = streams.high_water_marks(arrivals(spark, folder), "user_id", "event_id")
-    streams.run_each_batch(marks, log.write, f"{log.path}-state", mode="update")
-    return log.current(spark).select("user_id", "mark")
+    marks = streams.HighWaterMarks(scratch_path(spark, "marks"), "user_id", "event_id", "ts", DELAY, idle_days=1)
+    marks.run(events(spark, folder))
+    return marks.current(spark)
 
 
 @query(

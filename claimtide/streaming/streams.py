@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StatefulProcessor
 
 from ..functions import labels as lb
-from ..operators import scoring
 from ..session import scratch_path
+from ..sources.versions import VersionedTables
 
 
 def file_stream(
@@ -54,15 +56,23 @@ def unique_by(stream: DataFrame, keys: list[str], time: str, delay: str) -> Data
 
 
 class UpsertLog:
-    """Keyed table as a log of per-batch last rows.
+    """Keyed table as parts of per-batch last rows, folded while the stream runs.
 
-    A batch appends one row per key it touched, in its own folder, so a
-    repeated batch overwrites itself and no batch rewrites the table. Readers
-    take the last row per key; `compact` folds the log into a new base.
+    A batch commits one part with a row per key it touched, under its number, so
+    a repeated batch changes nothing and no batch rewrites the table. As soon as
+    `fan` parts of one size class stand together they are folded to one of the
+    next, so n batches leave about `fan` times log(n) parts, and only the newest
+    `keep` versions stay readable. Readers take the last row per key.
     """
 
-    def __init__(self, path: str, key: str, order: list[str], payload: list[str], links: str | None = None):
+    def __init__(
+        self, path: str, key: str, order: list[str], payload: list[str], links: str | None = None, fan: int = 8, keep: int = 4
+    ):
         self.path, self.key, self.order, self.payload, self.links = path, key, order, payload, links
+        self.fan, self.keep = fan, keep
+
+    def tables(self, spark: SparkSession) -> VersionedTables:
+        return VersionedTables(spark, self.path, self.fan)
 
     def _fold(self, rows: DataFrame, writes) -> DataFrame:
         last = F.max_by(F.struct(*self.payload), F.struct(*self.order)).alias("p")
@@ -70,24 +80,32 @@ class UpsertLog:
         folded = rows.groupBy(self.key).agg(last, at, writes.alias("writes"))
         return folded.select(self.key, "p.*", *[F.col(f"o.{c}").alias(c) for c in self.order if c not in self.payload], "writes")
 
+    def _rows(self, parts: DataFrame) -> DataFrame:
+        return self._fold(parts, F.sum("writes"))
+
+    def _links(self, parts: DataFrame) -> DataFrame:
+        return parts.groupBy(self.key, self.links).agg(F.sum("pushes").alias("pushes"))
+
     def write(self, batch: DataFrame, batch_id: int) -> None:
-        self._fold(batch, F.count("*")).write.mode("overwrite").parquet(f"{self.path}/rows/batch={batch_id}")
+        parts = {"rows": self._fold(batch, F.count("*"))}
         if self.links:
-            pushed = batch.groupBy(self.key, self.links).agg(F.count("*").alias("pushes"))
-            pushed.write.mode("overwrite").parquet(f"{self.path}/links/batch={batch_id}")
+            parts["links"] = batch.groupBy(self.key, self.links).agg(F.count("*").alias("pushes"))
+        store = self.tables(batch.sparkSession)
+        store.commit(run=f"batch {batch_id}", append=parts, folds={"rows": self._rows, "links": self._links})
+        store.expire(self.keep)
 
     def current(self, spark: SparkSession) -> DataFrame:
-        return self._fold(spark.read.parquet(f"{self.path}/rows"), F.sum("writes"))
+        return self._rows(self.tables(spark).table("rows"))
 
     def current_links(self, spark: SparkSession) -> DataFrame:
-        links = spark.read.parquet(f"{self.path}/links")
-        return links.groupBy(self.key, self.links).agg(F.sum("pushes").alias("pushes"))
+        return self._links(self.tables(spark).table("links"))
 
     def compact(self, spark: SparkSession, target: str) -> UpsertLog:
-        self.current(spark).write.mode("overwrite").parquet(f"{target}/rows/batch=-1")
-        if self.links:
-            self.current_links(spark).write.mode("overwrite").parquet(f"{target}/links/batch=-1")
-        return UpsertLog(target, self.key, self.order, self.payload, self.links)
+        """The same table as one part, elsewhere."""
+        other = UpsertLog(target, self.key, self.order, self.payload, self.links, self.fan, self.keep)
+        whole = {"rows": self.current(spark)} | ({"links": self.current_links(spark)} if self.links else {})
+        other.tables(spark).commit(replace=whole)
+        return other
 
 
 def upsert_stream(stream: DataFrame, log: UpsertLog) -> UpsertLog:
@@ -135,9 +153,95 @@ def label_arrivals(
     ).drop("_c", "_n", vector)
 
 
-def high_water_marks(stream: DataFrame, channel: str, row_id: str) -> DataFrame:
-    """Running highest id per channel; run in update mode with an upsert log."""
-    return stream.groupBy(channel).agg(F.max(row_id).alias("mark"))
+class Marks(StatefulProcessor):
+    """State of one channel: its highest id, until nothing of it has come for a while."""
+
+    def __init__(self, channel: str, row_id: str, time: str, idle_ms: int):
+        self.channel, self.row_id, self.time, self.idle_ms = channel, row_id, time, idle_ms
+
+    def init(self, handle) -> None:
+        self.handle = handle
+        self.mark = handle.getValueState("mark", "mark long, seen long")
+
+    def handleInputRows(self, key, rows, timerValues):
+        mark, seen = self.mark.get() if self.mark.exists() else (None, None)
+        for part in rows:
+            # milliseconds since 1970, whatever unit the column came in
+            latest = int(part[self.time].astype("datetime64[ms]").astype("int64").max())
+            highest = int(part[self.row_id].max())
+            mark, seen = max(highest, highest if mark is None else mark), max(latest, latest if seen is None else seen)
+        self.mark.update((mark, seen))
+        for old in list(self.handle.listTimers()):
+            self.handle.deleteTimer(old)
+        self.handle.registerTimer(seen + self.idle_ms)
+        yield pd.DataFrame({self.channel: [key[0]], "mark": [mark], "idle": [False]})
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
+        mark = self.mark.get()[0]
+        self.mark.clear()
+        yield pd.DataFrame({self.channel: [key[0]], "mark": [mark], "idle": [True]})
+
+    def close(self) -> None:
+        pass
+
+
+class HighWaterMarks:
+    """Highest id per channel, kept in the state of a stream.
+
+    The state holds one number per channel that was active lately: a channel of
+    which nothing has come for `idle_days` of event time gives its mark to a
+    versioned table, which is folded like an upsert log, and leaves the state.
+    `current` reads both; no log of batches is kept. After a restart the stream
+    goes on from its checkpoint.
+    """
+
+    PROVIDER = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+    SETTING = "spark.sql.streaming.stateStore.providerClass"
+
+    def __init__(self, path: str, channel: str, row_id: str, time: str, delay: str = "1 hour", idle_days: float = 30):
+        self.path, self.channel, self.row_id, self.time, self.delay = path, channel, row_id, time, delay
+        self.idle_ms = int(idle_days * 86_400_000)
+        self.asleep = UpsertLog(f"{path}/asleep", channel, ["mark"], ["mark"])
+
+    def marked(self, stream: DataFrame) -> DataFrame:
+        """(channel, mark, idle): changed marks of each batch."""
+        kind = stream.schema[self.channel].dataType.simpleString()
+        rows = stream.where(F.col(self.channel).isNotNull() & F.col(self.row_id).isNotNull() & F.col(self.time).isNotNull())
+        rows = rows.select(self.channel, F.col(self.row_id).cast("long").alias(self.row_id), self.time).withWatermark(self.time, self.delay)
+        keeper = Marks(self.channel, self.row_id, self.time, self.idle_ms)
+        out = f"`{self.channel}` {kind}, mark long, idle boolean"
+        return rows.groupBy(self.channel).transformWithStateInPandas(keeper, out, "Update", "EventTime")
+
+    def _with_provider(self, spark: SparkSession, work):
+        before = spark.conf.get(self.SETTING)
+        spark.conf.set(self.SETTING, self.PROVIDER)
+        try:
+            return work()
+        finally:
+            spark.conf.set(self.SETTING, before)
+
+    def run(self, stream: DataFrame) -> None:
+        """Take in what has landed and stop."""
+
+        def put_to_sleep(batch: DataFrame, batch_id: int) -> None:
+            gone = batch.where("idle").select(self.channel, "mark")
+            if not gone.isEmpty():
+                self.asleep.write(gone, batch_id)
+
+        self._with_provider(stream.sparkSession, lambda: run_each_batch(self.marked(stream), put_to_sleep, f"{self.path}/state", "update"))
+
+    def in_state(self, spark: SparkSession) -> DataFrame:
+        """(channel, mark) of the channels in the stream's state."""
+        state = spark.read.format("statestore").option("path", f"{self.path}/state").option("stateVarName", "mark")
+        rows = self._with_provider(spark, state.load)
+        return rows.select(F.col(f"key.`{self.channel}`").alias(self.channel), "value.mark")
+
+    def current(self, spark: SparkSession) -> DataFrame:
+        """(channel, mark) of all channels ever seen."""
+        marks = self.in_state(spark)
+        if self.asleep.tables(spark).version():
+            marks = marks.unionByName(self.asleep.current(spark).select(self.channel, "mark"))
+        return marks.groupBy(self.channel).agg(F.max("mark").alias("mark"))
 
 
 def near_claim_stream(

@@ -62,9 +62,37 @@ def test_repeated_keys_are_dropped_across_batches(spark, path):
 
 
 def test_high_water_marks_go_on(spark, path):
-    log = streams.UpsertLog(scratch_path(spark, "marks"), "k", ["mark"], ["mark"])
-    for i in (5, 9, 7):
-        land(spark, path, [(i, "a", "2024-01-01 10:00:00", 1)])
-        marks = streams.high_water_marks(stream(spark, path), "k", "id")
-        streams.run_each_batch(marks, log.write, f"{log.path}-state", mode="update")
-    assert log.current(spark).first()["mark"] == 9
+    marks = streams.HighWaterMarks(scratch_path(spark, "marks"), "k", "id", "ts", "1 hour", idle_days=2)
+    batches = [
+        [(5, "a", "2024-01-01 10:00:00", 1), (1, "b", "2024-01-01 10:00:00", 1), (2, None, "2024-01-01 10:00:00", 1)],
+        [(9, "a", "2024-01-02 10:00:00", 1), (7, "a", "2024-01-02 11:00:00", 1)],
+        [(8, "a", "2024-01-06 10:00:00", 1)],
+        [(6, "a", "2024-01-06 11:00:00", 1)],
+    ]
+    for batch in batches:  # each run starts the stream again
+        land(spark, path, batch)
+        marks.run(stream(spark, path))
+    assert sorted(map(tuple, marks.current(spark).collect())) == [("a", 9), ("b", 1)]
+    # b has been quiet for two days: its mark is kept outside the state
+    assert [tuple(r) for r in marks.in_state(spark).collect()] == [("a", 9)]
+    land(spark, path, [(3, "b", "2024-01-06 12:00:00", 1)])
+    marks.run(stream(spark, path))
+    assert sorted(map(tuple, marks.current(spark).collect())) == [("a", 9), ("b", 3)]
+
+
+def test_parts_stay_few_over_many_batches(spark):
+    log = streams.UpsertLog(scratch_path(spark, "log"), "k", ["id"], ["v"], links="v", fan=4)
+    for i in range(50):
+        batch = spark.createDataFrame([(i, f"k{i % 7}", i % 5), (i, "hot", i)], "id int, k string, v int").coalesce(1)
+        log.write(batch, i)
+        log.write(batch, i)
+    store = log.tables(spark)
+    assert store.version() == 50
+    assert all(len(parts) <= 9 for parts in store.latest()["tables"].values())
+    files, folder = store._files(f"{log.path}/data")
+    assert len(files.listStatus(folder)) <= 2 * (9 + 4)
+    files, folder = store._files(f"{log.path}/log")
+    assert len([e for e in files.listStatus(folder) if e.getPath().getName().isdigit()]) == 4
+    rows = {r.k: (r.v, r.writes) for r in log.current(spark).collect()}
+    assert rows["hot"] == (49, 50) and rows["k0"] == (49 % 5, 8)
+    assert log.current_links(spark).where("k = 'hot'").count() == 50
