@@ -28,7 +28,7 @@ from pyspark.sql import types as T
 
 from .common import packed
 
-#: Most states of a transducer; a full one starts anew, which costs time and changes nothing.
+#: Most states of each of a transducer's two generations; forgetting costs time and changes nothing.
 CACHE = 1 << 16
 #: Most entries of each of the two generations of known pieces.
 CACHED_PIECES = 1 << 18
@@ -102,13 +102,36 @@ class Transducer:
             self.ends[node] = rank
         self.split: dict[int, tuple[int, int] | None] = {}
         self.ends = {node: token for node, token in self.ends.items() if self.reached(token)}
+        self.made = 1
+        self.states: dict[tuple, int] = {}
+        self.paths: dict[int, tuple] = {}
+        self.moves: dict[int, tuple[tuple, int]] = {}
         self._forget()
 
     def _forget(self) -> None:
+        """What is known becomes the older generation; what was in that one and not met since goes."""
+        self.older = self.states, self.paths, self.moves
         start = (((), -1, 0),)
-        self.states: dict[tuple, int] = {start: 0}
-        self.paths: list[tuple] = [start]
-        self.moves: dict[int, tuple[tuple, int]] = {}
+        self.states, self.paths, self.moves = {start: 0}, {0: start}, {}
+
+    def _next(self, state: int, byte: int) -> tuple[tuple, int]:
+        """A move that the younger generation doesn't know, and its state, both known to it from now on."""
+        states, paths, moves = self.older
+        at = state << 8 | byte
+        move = moves.get(at)
+        if move is None:
+            emitted, following = self._move(state, byte)
+            number = self.states.get(following)
+            if number is None:
+                number = states.get(following)
+            if number is None:
+                number, self.made = self.made, self.made + 1
+            move = emitted, number
+        else:
+            following = paths[move[1]]
+        self.states[following], self.paths[move[1]] = move[1], following
+        self.moves[at] = move
+        return move
 
     def merged(self, piece: bytes, until: int = 1) -> list[bytes]:
         """Parts by the merges themselves, lowest rank first and leftmost of equals, until so few are left."""
@@ -158,7 +181,8 @@ class Transducer:
             else:
                 until, right = right + 1, of_right[0]
 
-    def _move(self, state: int, byte: int) -> tuple[tuple, int]:
+    def _move(self, state: int, byte: int) -> tuple[tuple, tuple]:
+        """Tokens emitted, and the live paths of the state that follows."""
         live, whole = [], False
         step, ends, inner = self.step, self.ends, self.inner
         for path in self.paths[state]:
@@ -181,11 +205,7 @@ class Transducer:
             while agreed < shortest and all(out[agreed] == outs[0][agreed] for out in outs):
                 agreed += 1
         emitted = live[0][0][:agreed]
-        following = tuple((out[agreed:], last, node) for out, last, node in live) if agreed else tuple(live)
-        if following not in self.states:
-            self.states[following] = len(self.paths)
-            self.paths.append(following)
-        return emitted, self.states[following]
+        return emitted, tuple((out[agreed:], last, node) for out, last, node in live) if agreed else tuple(live)
 
     def encode(self, piece: bytes) -> list[int]:
         """Token ids of a piece; a piece that is a token is that token."""
@@ -198,7 +218,7 @@ class Transducer:
         for byte in piece:
             move = moves.get(state << 8 | byte)
             if move is None:
-                move = moves[state << 8 | byte] = self._move(state, byte)
+                move = self._next(state, byte)
             if move[0]:
                 ids.extend(move[0])
             state = move[1]
