@@ -9,6 +9,8 @@ from .. import plugins
 from ..functions import labels as lb
 from ..functions import text, times
 from ..operators import aggregates, entities, keywords, scoring, search, threads
+from ..session import scratch_path, stored
+from ..sources.versions import VersionedTables
 from . import daily
 from .catalog import CHECKED_SQL, OFFSET_SQL, Tables, query
 from .queries_aggregates import GAZETTEER_SQL, report_sql, rounded
@@ -425,20 +427,119 @@ def day_windows_function(spark, folder):
     return rows.select("fact_id", times.day_text("day_start").alias("day"))
 
 
-@query("daily_run")
-def daily_run(spark, folder):
-    """Claims to labels in one plan: features, hits, pairs, labels."""
+DAYS = {"2024-01-20": "2024-01-03", "2024-02-01": "2024-01-15"}  # each day, and from when on its claims get labels
+DAILY = daily.Settings(messages_per_day=3, news_per_day=2, topic_threshold=0.2, claim_threshold=0.35, news_threshold=0.25)
+_FIRST, _SECOND = DAYS
+DAILY_SQL = f"""
+    {FEATURE_WORDS_SQL},
+    c AS (
+      SELECT kw.*, DATE '2024-01-01' + (fact_id % 31)::INT AS day, fact_id % 5 = 0 AS fine,
+        CASE WHEN fact_id % 5 = 0 THEN NULL WHEN day < DATE '{_FIRST}' - 8 AND fact_id % 2 = 0 THEN '{_FIRST}'
+          WHEN day < DATE '{_SECOND}' - 8 THEN '{_SECOND}' END AS searched_on,
+        CASE searched_on WHEN '{_FIRST}' THEN CASE WHEN day >= DATE '{DAYS[_FIRST]}' THEN '{_FIRST}' WHEN day >= DATE '{DAYS[_SECOND]}' THEN '{_SECOND}' END
+          WHEN '{_SECOND}' THEN CASE WHEN day >= DATE '{DAYS[_SECOND]}' THEN '{_SECOND}' END END AS labelled_on
+      FROM kw
+    ),
+    m AS (SELECT doc_id AS id, DATE '2024-01-01' + (doc_id % 37)::INT AS mday FROM documents),
+    k AS (SELECT fact_id, day, len(a) AS n, unnest(a) AS word FROM (
+      SELECT *, list_filter(keywords, lambda x: x NOT IN ('and', 'or')) AS a FROM c WHERE searched_on IS NOT NULL)),
+    hits AS (
+      SELECT * FROM (SELECT fact_id, id AS message_id, mday FROM k JOIN words USING (word) JOIN m ON id = message_id
+        WHERE mday BETWEEN day - 7 AND day + 7 GROUP BY 1, 2, 3 HAVING count(DISTINCT word) >= least(3, any_value(n)))
+      QUALIFY row_number() OVER (PARTITION BY fact_id, mday ORDER BY message_id) <= {DAILY.messages_per_day}
+    ),
+    kn AS (SELECT fact_id, day, unnest(keywords[1:{DAILY.news_keywords}]) AS word FROM c WHERE searched_on IS NOT NULL AND len(keywords) >= 3),
+    found AS (
+      SELECT fact_id, id AS news_id, mday FROM kn JOIN words USING (word) JOIN m ON id = message_id
+      WHERE mday BETWEEN day - 7 AND day + 6 GROUP BY 1, 2, 3 HAVING count(DISTINCT word) >= 3
+    ),
+    news AS (
+      SELECT *, count(*) OVER (PARTITION BY fact_id, mday) AS query_output FROM found
+      QUALIFY row_number() OVER (PARTITION BY fact_id, mday ORDER BY news_id) <= {DAILY.news_per_day}
+    ),
+    {_vectors_sql('cv', 'benchmark', 'item_id')}, {_vectors_sql('mv', 'documents', 'doc_id')},
+    cn AS (SELECT id, sqrt(sum(w * w)) AS n FROM cv GROUP BY 1), mn AS (SELECT id, sqrt(sum(w * w)) AS n FROM mv GROUP BY 1),
+    pairs AS (SELECT fact_id, message_id AS id FROM hits UNION SELECT fact_id, news_id FROM news),
+    scores AS (
+      SELECT fact_id, p.id, coalesce(sum(cv.w * mv.w), 0) / any_value(cn.n * mn.n) AS score FROM pairs p JOIN cn ON cn.id = fact_id
+      JOIN mn ON mn.id = p.id JOIN mv ON mv.id = p.id LEFT JOIN cv ON cv.id = fact_id AND cv.slot = mv.slot GROUP BY 1, 2
+    ),
+    reviews AS (
+      SELECT fact_id, p.id, coalesce(sum(rv.w * mv.w), 0) / any_value(rn.n * mn.n) AS review FROM pairs p JOIN mn rn ON rn.id = fact_id
+      JOIN mn ON mn.id = p.id JOIN mv ON mv.id = p.id LEFT JOIN mv rv ON rv.id = fact_id AND rv.slot = mv.slot GROUP BY 1, 2
+    )"""
+
+
+def daily_tables(spark, folder) -> VersionedTables:
+    """Two days, each started twice, the second once more under another name."""
     t = Tables(spark, folder)
-    claims = t.benchmark.select(F.col("item_id").alias("fact_id"), F.col("text").alias("claim"), F.col("text").alias("review"))
-    runs = t.benchmark.select(F.explode(text.capitalised_runs("text")).alias("span"))
-    gazetteer = runs.select(text.clean_word("span").alias("word")).distinct().withColumn("tag", F.lit("CLAIM"))
-    words = F.create_map(F.lit("NOUN"), keywords.text.longer_than(text.corpus_tokens("claim"), 3))
-    tags = claims.select("fact_id", words.alias("pos_claim"), words.alias("pos_review"))
-    features = daily.features_of_new_claims(claims, claims.limit(0), gazetteer, tags)
-    messages = document_messages(t)
-    found = daily.hits_of_features(features, messages, text.corpus_tokens("text"))
-    claim_vectors = text_vectors(t.benchmark.select(F.col("item_id").alias("fact_id"), "text"), "fact_id")
-    labelled = daily.labelled_hits(
-        found.select("fact_id", "message_id"), claim_vectors, claim_vectors, text_vectors(messages, "message_id")
-    )
-    return rounded(labelled, "score", digits=5)
+    first = F.lit("2024-01-01").cast("date")
+    reviews = t.documents.select(F.col("doc_id").alias("fact_id"), F.col("text").alias("review"))
+    claims = t.benchmark.select(
+        F.col("item_id").alias("fact_id"),
+        F.col("text").alias("claim"),
+        F.date_add(first, (F.col("item_id") % 31).cast("int")).cast("timestamp").alias("date"),
+        F.when(F.col("item_id") % 5 == 0, "Verdadero").otherwise("Falso").alias("calification"),
+    ).join(reviews, "fact_id", "left")
+    day = F.date_add(first, (F.col("doc_id") % 37).cast("int")).cast("timestamp").alias("date")
+    messages = t.documents.select(F.col("doc_id").alias("message_id"), day, "text")
+    news = t.documents.select(F.col("doc_id").alias("news_id"), day, F.col("text").alias("Title"))
+    own = stored(text_vectors(messages, "message_id"), "vectors")
+    vectors = {
+        "claims": stored(text_vectors(t.benchmark.select(F.col("item_id").alias("fact_id"), "text"), "fact_id"), "vectors"),
+        "reviews": own.withColumnRenamed("message_id", "fact_id"),
+        "messages": own,
+        "news": own.withColumnRenamed("message_id", "news_id"),
+    }
+    tables = VersionedTables(spark, scratch_path(spark, "daily"))
+    work = daily.DailyRun(tables, DAILY)
+    arrived = {_FIRST: claims.where(F.col("fact_id") % 2 == 0), _SECOND: claims}
+    for name in (_FIRST, _FIRST, _SECOND, _SECOND, f"{_SECOND} again"):
+        now = name[:10]
+        work.run(name, now, DAYS[now], arrived[now], messages, news, daily.simple_keywords, vectors)
+    return tables
+
+
+@query(
+    "daily_run",
+    f"""
+    WITH {DAILY_SQL}
+    SELECT c.fact_id, searched_on, searched_on AS filtered_on, CASE WHEN message_id IS NOT NULL THEN labelled_on END AS labelled_on, message_id,
+      CASE WHEN labelled_on IS NOT NULL THEN round(score, 5) END AS score,
+      CASE WHEN labelled_on IS NOT NULL THEN CASE WHEN score > 0.2 THEN 'on-topic' WHEN score IS NOT NULL THEN 'off-topic' END END AS topic_relation,
+      CASE WHEN labelled_on IS NOT NULL THEN CASE WHEN score > 0.35 THEN 'on-claim' WHEN score IS NOT NULL THEN 'off-claim' END END AS claim_relation,
+      CASE WHEN labelled_on IS NOT NULL AND score > 0.35 THEN CASE WHEN round(score, 9) > round(review, 9) THEN 'disseminates' ELSE 'not-disseminates' END
+        END AS claim_finer_relation
+    FROM c LEFT JOIN hits USING (fact_id) LEFT JOIN scores ON scores.fact_id = c.fact_id AND scores.id = message_id
+      LEFT JOIN reviews r ON r.fact_id = c.fact_id AND r.id = message_id
+    """,
+)
+def daily_run(spark, folder):
+    """Every claim with its marks, and its messages with their labels."""
+    tables = daily_tables(spark, folder)
+    labels = tables.table("message_labels")
+    pairs = tables.table("message_pairs").select("fact_id", "message_id").join(labels, ["fact_id", "message_id"], "left")
+    rows = tables.table("features").join(pairs, "fact_id", "left")
+    marks = {"searched_on": "messages_searched_at", "filtered_on": "news_filtered_at", "labelled_on": "messages_labelled_at"}
+    dated = rows.select("fact_id", *[times.day_text(m).alias(n) for n, m in marks.items()], *pairs.columns[1:])
+    # a claim without messages is marked too
+    dated = dated.withColumn("labelled_on", F.when(F.col("message_id").isNotNull(), F.col("labelled_on")))
+    return rounded(dated, "score", digits=5)
+
+
+@query(
+    "daily_run_news",
+    f"""
+    WITH {DAILY_SQL}
+    SELECT news.fact_id, news_id, query_output, searched_on,
+      coalesce(len(list_intersect(regexp_extract_all(text, '[\\p{{L}}\\p{{N}}]+(?:[-''.][\\p{{L}}\\p{{N}}]+)*'), keywords)) > 0, false) AS keywords_in_title,
+      CASE WHEN labelled_on IS NOT NULL THEN round(score, 5) END AS score,
+      CASE WHEN labelled_on IS NOT NULL THEN CASE WHEN score > 0.25 THEN 'on-topic' ELSE 'off-topic' END END AS topic_relation
+    FROM news JOIN c USING (fact_id) JOIN documents ON doc_id = news_id LEFT JOIN scores ON scores.fact_id = news.fact_id AND id = news_id
+    """,
+)
+def daily_run_news(spark, folder):
+    tables = daily_tables(spark, folder)
+    marks = tables.table("features").select("fact_id", times.day_text("news_searched_at").alias("searched_on"))
+    rows = tables.table("news_pairs").join(tables.table("news_labels"), ["fact_id", "news_id"], "left").join(marks, "fact_id")
+    return rounded(rows.drop("date"), "score", digits=5)
