@@ -43,8 +43,8 @@ SHARD = 1 << 18
 MERGED = 1 << 20
 #: Different pieces under one anchor that one task merges; more are decided by counts of hashes.
 CROWD = 16_384
-#: Refinements between two prunings.
-STEPS = 8
+#: Bytes between two prunings of the blocks, a multiple of four as WINDOW is.
+PRUNED = 8
 ROWS = 1 << 16
 RANDOM = np.random.Generator(np.random.PCG64(20260101))
 BYTES = RANDOM.integers(1, 1 << 64, 256, dtype=np.uint64)
@@ -147,19 +147,33 @@ def table_of(rows: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), schema)], schema=schema)
 
 
+def sorted_keys(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Keys in order and the places they come from, equal ones as they stood; by one sort of plain numbers.
+
+    Key and place share 63 bits.
+    """
+    bits = np.int64(len(keys).bit_length())
+    packed = np.sort(keys << bits | np.arange(len(keys)))
+    return packed >> bits, packed & ((np.int64(1) << bits) - 1)
+
+
 def suffix_order(codes: np.ndarray, ends: np.ndarray, longest: int) -> np.ndarray:
-    """Suffix array of texts that each end in a 0 of their own, earlier ones smaller; `ends` has the place of that 0."""
+    """Suffix array of texts that each end in a 0 of their own, earlier ones smaller; `ends` has the place of that 0.
+
+    The numbers of all suffixes' places must fit in 21 bits.
+    """
     n = len(codes)
     key, alive = np.zeros(n, np.int64), np.ones(n, bool)
-    near = np.concatenate([codes, np.zeros(7, np.int64)])
-    for i in range(7):
+    near = np.concatenate([codes, np.zeros(4, np.int64)])
+    for i in range(4):
         own = near[i : i + n]
         key = key << 9 | np.where(alive, own, 0)
         alive &= own != 0
-    reach, places = 7, np.arange(n)
+    reach, places = 4, np.arange(n)
     while True:
-        order = np.argsort(key, kind="stable")
-        new = np.diff(key[order]) != 0
+        ordered, order = sorted_keys(key)
+        new = np.diff(ordered) != 0
+        # what is equal to its end goes by that end
         if reach > longest or new.all():
             return order
         rank = np.empty(n, np.int64)
@@ -170,7 +184,11 @@ def suffix_order(codes: np.ndarray, ends: np.ndarray, longest: int) -> np.ndarra
 
 
 class Shard:
-    """Transform of some pieces: the byte before each row of the suffix array, and the row that starts with that byte."""
+    """Transform of some pieces, four bytes at a time.
+
+    `letters`: the four bytes before each row of the suffix array, the farthest
+    one first; `back`: the row that starts with them.
+    """
 
     def __init__(self, texts: list[bytes]):
         sizes = np.fromiter(map(len, texts), np.int64, len(texts))
@@ -181,9 +199,12 @@ class Shard:
         codes[real] = np.frombuffer(b"".join(texts), np.uint8).astype(np.int64) + 1
         order = suffix_order(codes, np.repeat(ends, sizes + 1), int(sizes.max()))
         before = codes[order - 1].astype(np.uint16)
-        self.bytes = (before - 1).astype(np.uint8)
-        self.back = np.empty(len(order), np.int32)
-        self.back[np.argsort(before, kind="stable")] = np.arange(len(order), dtype=np.int32)
+        self.back = np.empty(len(order), np.int64)
+        self.back[np.argsort(before, kind="stable")] = np.arange(len(order))
+        self.letters = (before.astype(np.int64) - 1) & 0xFF
+        for bits in (8, 16):
+            self.letters |= self.letters[self.back] << bits
+            self.back = self.back[self.back]
         row = np.empty(len(order), np.int32)
         row[order] = np.arange(len(order), dtype=np.int32)
         firsts = ends - sizes
@@ -195,27 +216,27 @@ def merge(shards: list[Shard], weights: np.ndarray) -> np.ndarray:
     """Windows found again, as places in the joint list of all shards' windows.
 
     `weights`, per window: 2 where its piece occurs more than once. Those are
-    found already and only stand in for their equals.
+    found already and only stand in for their equals. A refinement takes four
+    bytes: the sort by them keeps the order of rows that have the same four.
     """
-    offsets = np.cumsum([0, *(len(s.bytes) for s in shards)])
-    before = np.concatenate([s.bytes for s in shards])
-    back = np.concatenate([s.back + np.int32(o) for s, o in zip(shards, offsets)])
-    rows = np.concatenate([s.rows + np.int32(o) for s, o in zip(shards, offsets)])
+    offsets = np.cumsum([0, *(len(s.back) for s in shards)])
+    # row and letters in one number, so each refinement looks them up once
+    before = np.concatenate([(s.back + o) << 32 | s.letters for s, o in zip(shards, offsets)])
+    rows = np.concatenate([s.rows + o for s, o in zip(shards, offsets)])
     which = np.argsort(rows).astype(np.int32)
     rows, block = rows[which], np.zeros(len(rows), np.int32)
-    for step in range(1, WINDOW + 1):
-        byte = before[rows]
-        order = np.argsort(byte, kind="stable")
-        byte, block, which = byte[order], block[order], which[order]
-        rows = back[rows[order]]
+    for step in range(4, WINDOW + 1, 4):
+        found = before[rows]
+        letters, order = sorted_keys(found & 0xFFFFFFFF)
+        block, which, rows = block[order], which[order], found[order] >> 32
         new = np.ones(len(rows), bool)
-        new[1:] = (byte[1:] != byte[:-1]) | (block[1:] != block[:-1])
-        if step % STEPS and step < WINDOW:
+        new[1:] = (letters[1:] != letters[:-1]) | (block[1:] != block[:-1])
+        if step % PRUNED and step < WINDOW:
             block = np.cumsum(new, dtype=np.int32)
             continue
         starts = np.flatnonzero(new)
         own = weights[which]
-        open_ = (np.add.reduceat(own, starts) > 1) & (np.minimum.reduceat(own, starts) == 1)
+        open_ = (np.add.reduceat(own, starts, dtype=np.int64) > 1) & (np.minimum.reduceat(own, starts) == 1)
         sizes = np.diff(np.append(starts, len(rows)))
         keep = np.repeat(open_, sizes)
         rows, which = rows[keep], which[keep]

@@ -134,7 +134,7 @@ def corpus(seed=5):
         at = rng.randrange(900)
         texts.append(template[:at] + rng.choice("XYZ") + template[at + 1 :])
     texts += [template, template, template + "!", "ab" * 600, "ab" * 250, "x" * 399, "x" * 399, "x" * 400, None, "", " ", prose(500) + "é" * 450]
-    texts += ["y" * 401, shared + prose(30) + shared]
+    texts += ["y" * 401, shared + prose(30) + shared, "z" * (400 + 255), "w" * (400 + 511)]  # 256 and 512 equal windows
     return texts
 
 
