@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions import text, times
-from ..operators import aggregates, joins, keywords, search
+from ..operators import aggregates, index, joins, keywords, search
 from ..plans import daily
+from ..session import scratch_path
 from ..sources import sinks
 from .catalog import CHECKED_SQL, OFFSET_SQL, Tables, query
 from .queries_functions import PUBLICATIONS_SQL, ROUNDS_SQL, TAGGED_SQL, VARIANTS_SQL, annotated, publications, tagged
@@ -180,28 +181,58 @@ def keyword_search_in_window(spark, folder):
     return search.keyword_search(dated(benchmark_features(t), "fact_id", "claim_date"), words, short="all", days=(7, 7))
 
 
-@query(
-    "J6_phrase_search",
-    rf"""
-    WITH kw AS (SELECT item_id AS fact_id, {TOKENS_SQL.format('text')} AS t FROM benchmark),
-    f AS (SELECT fact_id, [t[1] || ' ' || t[2], t[3], t[4] || ' ' || t[5] || ' ' || t[6]] AS keywords FROM kw),
+# Phrases of two and three words in turn, over the whole claim.
+PHRASES_SQL = rf"""
+    kw AS (SELECT item_id AS fact_id, {TOKENS_SQL.format('text')} AS t FROM benchmark),
+    f AS (SELECT fact_id, list_distinct(list_concat(
+        list_transform(range(1, len(t), 5), lambda i: t[i] || ' ' || t[i + 1]),
+        list_transform(range(1, len(t) - 3, 5), lambda i: t[i + 2] || ' ' || t[i + 3] || ' ' || t[i + 4]))) AS keywords FROM kw),
     m AS (SELECT doc_id AS message_id, ' ' || array_to_string({TOKENS_SQL.format('text')}, ' ') || ' ' AS text FROM documents),
     s AS (SELECT fact_id, message_id, len(list_filter(keywords, lambda k: contains(text, ' ' || k || ' '))) AS matched FROM f, m)
-    SELECT * FROM s WHERE matched >= 2 AND matched <= 3
-    """,
-)
+"""
+
+
+def claim_phrases(t: Tables):
+    tokens = t.benchmark.select(F.col("item_id").alias("fact_id"), text.corpus_tokens("text").alias("t"))
+
+    def every_fifth(first: int, words: int):
+        starts = F.filter(F.transform("t", lambda _, i: i + 1), lambda i: (i % 5 == 1) & (i + first + words - 2 <= F.size("t")))
+        return F.transform(starts, lambda i: F.array_join(F.slice("t", i + first - 1, words), " "))
+
+    return tokens.select("fact_id", F.concat(every_fifth(1, 2), every_fifth(3, 3)).alias("keywords"))
+
+
+@query("J6_phrase_search", f"WITH {PHRASES_SQL} SELECT * FROM s WHERE matched >= 2")
 def phrase_search(spark, folder):
     t = Tables(spark, folder)
-    tokens = t.benchmark.select(F.col("item_id").alias("fact_id"), text.corpus_tokens("text").alias("t"))
-    features = tokens.select(
-        "fact_id",
-        F.array(*[F.array_join(F.slice("t", i, n), " ") for i, n in ((1, 2), (3, 1), (4, 3))]).alias("keywords"),
-    )
     normal = F.array_join(text.corpus_tokens("text"), " ")
-    found = search.claim_search(features, document_messages(t), text.corpus_tokens("text"), normal, need=2)
+    found = search.claim_search(claim_phrases(t), document_messages(t), text.corpus_tokens("text"), normal, need=2)
     return found.withColumn("matched", F.col("matched").cast("bigint"))
 
 
+@query(
+    "J6_phrase_index",
+    f"""
+    WITH {PHRASES_SQL}, d AS (SELECT fact_id, message_id, matched FROM s
+      WHERE (DATE '2024-01-01' + (message_id % 37)::INT) BETWEEN DATE '2024-01-01' + (fact_id % 31)::INT - 7 AND DATE '2024-01-01' + (fact_id % 31)::INT + 7)
+    SELECT 'two' AS search, * FROM s WHERE matched >= 2 UNION ALL SELECT 'three' AS search, * FROM s WHERE matched >= 3
+    UNION ALL SELECT 'window' AS search, * FROM d WHERE matched >= 2
+    """,
+)
+def phrase_index(spark, folder):
+    """An index of two days' messages, each taken in twice, asked three times."""
+    t = Tables(spark, folder)
+    first = F.lit("2024-01-01").cast("date")
+    messages = document_messages(t).withColumn("date", F.date_add(first, (F.col("message_id") % 37).cast("int")))
+    built = index.PhraseIndex(spark, scratch_path(spark, "index"))
+    for run in ("even", "odd", "odd"):
+        built.add(run, messages.where(F.col("message_id") % 2 == int(run == "odd")), text.corpus_tokens("text"))
+    claims = claim_phrases(t).withColumn("claim_date", F.date_add(first, (F.col("fact_id") % 31).cast("int")))
+    found = {"two": built.search(claims, 2), "three": built.search(claims, 3), "window": built.search(claims, 2, days=(7, 7))}
+    out = [rows.withColumn("search", F.lit(name)) for name, rows in found.items()]
+    return out[0].unionByName(out[1]).unionByName(out[2])
+
+
 REGISTRY_SQL = """
     registry AS (SELECT p_partkey AS id, p_partkey AS row_no, p_name || ' ' || p_type AS name,
       'https://www.' || replace(p_name, ' ', '') || '.es/' AS url FROM part WHERE p_size > 10),

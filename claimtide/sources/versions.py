@@ -30,14 +30,16 @@ class VersionedTables:
     level stand together they are folded to one of the next level, so a table of
     n appended parts has at most about `fan` times log(n) of them, and each row
     is rewritten about log(n) times. `fold` says how rows of several parts
-    become one, else they are kept as they are.
+    become one, else they are kept as they are. `partitions` names the columns
+    whose values become folders of a table's parts.
 
     A commit may carry the name of a run. A run that any kept entry names is
     not repeated, so a run that is started again changes nothing.
     """
 
-    def __init__(self, spark: SparkSession, path: str, fan: int = 8):
+    def __init__(self, spark: SparkSession, path: str, fan: int = 8, partitions: dict[str, list[str]] | None = None):
         self.spark, self.path, self.fan = spark, path, fan
+        self.partitions = partitions or {}
 
     def _files(self, path: str):
         where = self.spark._jvm.org.apache.hadoop.fs.Path(path)
@@ -84,7 +86,7 @@ class VersionedTables:
         return any(self._entry(n)["run"] == run for n in reversed(self._numbers()))
 
     def _read(self, parts: list[dict]) -> DataFrame:
-        return self.spark.read.parquet(*[f"{self.path}/{p['part']}" for p in parts])
+        return reduce(DataFrame.unionByName, [self.spark.read.parquet(f"{self.path}/{p['part']}") for p in parts])
 
     def table(self, name: str, version: int | None = None) -> DataFrame | None:
         """The table as of a version, the newest by default; None before its first row set."""
@@ -93,7 +95,7 @@ class VersionedTables:
 
     def _write(self, name: str, rows: DataFrame, level: int) -> dict:
         part = f"data/{name}-{uuid.uuid4().hex}"
-        rows.write.parquet(f"{self.path}/{part}")
+        rows.write.partitionBy(*self.partitions.get(name, [])).parquet(f"{self.path}/{part}")
         return {"part": part, "level": level}
 
     def _folded(self, name: str, parts: list[dict], fold: Fold | None) -> list[dict]:
@@ -148,19 +150,3 @@ class VersionedTables:
                 if f"data/{entry.getPath().getName()}" not in used:
                     files.delete(entry.getPath(), True)
 
-
-def last_rows(keys: list[str], order: list[str]) -> Fold:
-    """Fold that keeps the last row of each key."""
-    from pyspark.sql import functions as F
-
-    def fold(rows: DataFrame) -> DataFrame:
-        rest = [c for c in rows.columns if c not in keys]
-        last = rows.groupBy(*keys).agg(F.max_by(F.struct(*rest), F.struct(*order)).alias("_last"))
-        return last.select(*keys, "_last.*").select(*rows.columns)
-
-    return fold
-
-
-def union(tables: list[DataFrame | None]) -> DataFrame | None:
-    known = [t for t in tables if t is not None]
-    return reduce(lambda a, b: a.unionByName(b), known) if known else None
