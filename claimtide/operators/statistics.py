@@ -114,34 +114,61 @@ def distribution_profile(df: DataFrame, value: str, bins: int = 20) -> tuple[Dat
     return box, histogram
 
 
-def rolling(series: DataFrame, order: str, value: str, keys: list[str], size: int = 12) -> DataFrame:
+#: Steps of a series that one task looks at, besides those it borrows from the steps before.
+PIECE_STEPS = 1 << 20
+
+
+def in_pieces(series: DataFrame, order: str, keys: list[str], halo: int, size: int | None = None) -> tuple[DataFrame, list[str]]:
+    """A per-step series cut in pieces of so many steps, each with the last `halo` steps of the one before.
+
+    Steps are numbered without a sort in one task (`ranking.running_totals`).
+    Adds `_step`, `_piece` and `_borrowed`; windows by the returned columns then
+    see all steps they need, whatever the length of a key's series. Steps with a
+    null `order` are left out, as they have no place in the series.
+    """
+    size = max(size or PIECE_STEPS, halo, 1)
+    numbered = ranking.running_totals(series.where(F.col(order).isNotNull()).withColumn("_n", F.lit(1)), keys, order, "_n")
+    numbered = numbered.withColumn("_step", F.col("_before")).drop("_n", "_before", "_total")
+    own = F.floor(F.col("_step") / size)
+    lent = F.when(F.col("_step") % size >= size - halo, F.array(own, own + 1)).otherwise(F.array(own))
+    return numbered.select("*", F.posexplode(lent).alias("_at", "_piece")).withColumn("_borrowed", F.col("_at") > 0).drop("_at"), [*keys, "_piece"]
+
+
+def _own_steps(pieces: DataFrame) -> DataFrame:
+    return pieces.where(~F.col("_borrowed")).drop("_step", "_piece", "_borrowed")
+
+
+def rolling(series: DataFrame, order: str, value: str, keys: list[str], size: int = 12, piece: int | None = None) -> DataFrame:
     """Mean and std of the last `size` rows, null until that many exist.
 
-    `series` is already one row per time step and key, so a window holds at
-    most the steps of the calendar, never raw messages.
+    `series` is one row per time step and key.
     """
-    w = W.partitionBy(*(keys or [F.lit(0)])).orderBy(order).rowsBetween(1 - size, 0)
+    pieces, by = in_pieces(series, order, keys, size - 1, piece)
+    w = W.partitionBy(*by).orderBy("_step").rowsBetween(1 - size, 0)
     full = F.count(value).over(w) >= size
-    return series.withColumns(
+    out = pieces.withColumns(
         {
             "rolling_mean": F.when(full, F.avg(value).over(w)),
             "rolling_std": F.when(full, F.stddev_samp(value).over(w)),
         }
     )
+    return _own_steps(out)
 
 
-def differenced(series: DataFrame, order: str, value: str, keys: list[str]) -> DataFrame:
+def differenced(series: DataFrame, order: str, value: str, keys: list[str], piece: int | None = None) -> DataFrame:
     """First difference of a per-step series; the first step is dropped."""
-    w = W.partitionBy(*(keys or [F.lit(0)])).orderBy(order)
-    return series.withColumn("diff", F.col(value) - F.lag(value).over(w)).where(F.col("diff").isNotNull())
+    pieces, by = in_pieces(series, order, keys, 1, piece)
+    w = W.partitionBy(*by).orderBy("_step")
+    return _own_steps(pieces.withColumn("diff", F.col(value) - F.lag(value).over(w))).where(F.col("diff").isNotNull())
 
 
-def autocorrelation(series: DataFrame, order: str, value: str, lags: int = 20) -> DataFrame:
+def autocorrelation(series: DataFrame, order: str, value: str, lags: int = 20, piece: int | None = None) -> DataFrame:
     """Autocorrelation at lags 1..n of one per-step series."""
-    w = W.partitionBy(F.lit(0)).orderBy(order)
+    pieces, by = in_pieces(series, order, [], lags, piece)
+    w = W.partitionBy(*by).orderBy("_step")
     mean = series.agg(F.avg(value)).scalar()
-    centred = series.select(order, (F.col(value) - mean).alias("c"))
-    lagged = centred.select("c", *[F.lag("c", k).over(w).alias(f"l{k}") for k in range(1, lags + 1)])
+    centred = pieces.select(*by, "_step", "_borrowed", (F.col(value) - mean).alias("c"))
+    lagged = centred.select("_borrowed", "c", *[F.lag("c", k).over(w).alias(f"l{k}") for k in range(1, lags + 1)]).where(~F.col("_borrowed"))
     sums = lagged.agg(
         F.sum(F.col("c") * F.col("c")).alias("v"),
         *[F.sum(F.col("c") * F.col(f"l{k}")).alias(f"s{k}") for k in range(1, lags + 1)],

@@ -574,7 +574,43 @@ def run_summary(spark, folder):
     return out.withColumns({c: F.date_format(c, "yyyy-MM-dd HH:mm") for c in ("first", "last")})
 
 
-@query("A39_negative_binomial_fit")
+def _solved(rows: str, size: int) -> str:
+    """One step of the fit over `rows` (step, n, y, x0.., eta, mu): coefficients and the diagonal of the inverse, by elimination."""
+    width = 2 * size + 1
+    cell = lambda i, j: f"m{i}_{j}"
+    first = [f"sum(w * x{i} * x{j}) AS {cell(i, j)}" for i in range(size) for j in range(size)]
+    first += [f"{float(i == j)} AS {cell(i, size + j)}" for i in range(size) for j in range(size)]
+    first += [f"sum(w * x{i} * z) AS {cell(i, 2 * size)}" for i in range(size)]
+    sql = f"SELECT step, {', '.join(first)} FROM (SELECT *, n * mu / (1 + mu) AS w, eta + (y - mu) / mu AS z FROM ({rows})) GROUP BY step"
+    for k in range(size):
+        pivot = [f"{cell(k, j)} / {cell(k, k)} AS {cell(k, j)}" for j in range(width)]
+        others = [
+            f"{cell(i, j)} - {cell(i, k)} * {cell(k, j)} / {cell(k, k)} AS {cell(i, j)}" for i in range(size) if i != k for j in range(width)
+        ]
+        sql = f"SELECT step, {', '.join(pivot + others)} FROM ({sql})"
+    out = [f"{cell(i, 2 * size)} AS b{i}, {cell(i, size + i)} AS v{i}" for i in range(size)]
+    return f"SELECT step + 1 AS step, {', '.join(out)} FROM ({sql})"
+
+
+FIT_TERMS = ["impact", "diff_time", "claim_relation"]
+FIT_SQL = f"""
+    WITH RECURSIVE {CHECKED_SQL}, {OFFSET_SQL},
+    d AS (
+      SELECT y, 1.0 AS x0, x1, x2, x3, count(*)::DOUBLE AS n FROM (
+        SELECT (count(*) OVER (PARTITION BY fact_id))::DOUBLE AS y, (hour_offset >= 0)::INT::DOUBLE AS x1, hour_offset::DOUBLE AS x2,
+          (feature = 'click')::INT::DOUBLE AS x3 FROM offsets) GROUP BY ALL),
+    fit AS (
+      {_solved("SELECT 0 AS step, d.*, ln((y + m) / 2) AS eta, (y + m) / 2 AS mu FROM d, (SELECT sum(y * n) / sum(n) AS m FROM d)", 4)}
+      UNION ALL
+      {_solved("SELECT step, d.*, b0 + b1 * x1 + b2 * x2 + b3 * x3 AS eta, exp(b0 + b1 * x1 + b2 * x2 + b3 * x3) AS mu FROM d, fit WHERE step < 30", 4)}
+    )
+    SELECT ['intercept', 'impact', 'diff_time', 'claim_relation'][i + 1] AS term, round(b, 6) AS coefficient, round(sqrt(v), 6) AS std_error,
+      round(b / sqrt(v), 6) AS z
+    FROM (SELECT unnest([b0, b1, b2, b3]) AS b, unnest([v0, v1, v2, v3]) AS v, unnest(range(4)) AS i FROM fit WHERE step = 30)
+"""
+
+
+@query("A39_negative_binomial_fit", FIT_SQL)
 def negative_binomial_fit(spark, folder):
     """Messages per claim on side, offset and kind."""
     df = with_offsets(Tables(spark, folder))
@@ -586,7 +622,7 @@ def negative_binomial_fit(spark, folder):
             "claim_relation": (F.col("feature") == "click").cast("int"),
         }
     )
-    fit = statistics.negative_binomial_fit(df, "counts", ["impact", "diff_time", "claim_relation"])
+    fit = statistics.negative_binomial_fit(df, "counts", FIT_TERMS)
     return rounded(fit, "coefficient", "std_error", "z")
 
 
