@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import text, times
@@ -153,22 +153,20 @@ def label_table(counts: DataFrame, label: str, columns: list[str]) -> DataFrame:
 def cooccurrence(sentences: DataFrame, sentence: str = "sentence", window: int = 2, minimum: int = 10) -> DataFrame:
     """Unordered word pairs within the next `window` words, above a minimum count.
 
-    Neighbours are zipped inside the row; only pair counts are shuffled, and
-    they are summed per task first.
+    Pairs are made and put in order inside the row and unfolded once; only pair
+    counts are shuffled, and they are summed per task first.
     """
     tokens = sentences.select(text.corpus_tokens(sentence).alias("t"))
-    shifted = [
-        F.slice("t", k + 1, F.greatest(F.size("t") - k, F.lit(0))).alias(f"n{k}") for k in range(1, window + 1)
-    ]
-    zipped = tokens.select("t", *shifted).select(
-        # outer, since the plain form adds a filter that would cut the words once more
-        F.explode_outer(F.arrays_zip("t", *[f"n{k}" for k in range(1, window + 1)])).alias("z")
-    )
-    nexts = F.array_compact(F.array(*[F.col(f"z.n{k}") for k in range(1, window + 1)]))
-    pairs = zipped.select(F.col("z.t").alias("a"), F.explode_outer(nexts).alias("b")).where(F.col("b").isNotNull())
-    counts = pairs.groupBy(F.least("a", "b").alias("w1"), F.greatest("a", "b").alias("w2")).agg(
-        F.count("*").alias("counts")
-    )
+
+    def with_next(k: int) -> F.Column:
+        n = F.greatest(F.size("t") - k, F.lit(0))
+        return F.zip_with(
+            F.slice("t", 1, n), F.slice("t", k + 1, n), lambda a, b: F.struct(F.least(a, b).alias("w1"), F.greatest(a, b).alias("w2"))
+        )
+
+    # outer, since the plain form adds a filter that would cut the words once more
+    pairs = tokens.select(F.explode_outer(F.concat(*[with_next(k) for k in range(1, window + 1)])).alias("p")).where(F.col("p").isNotNull())
+    counts = pairs.groupBy("p.w1", "p.w2").agg(F.count("*").alias("counts"))
     return counts.where(F.col("counts") > minimum)
 
 
@@ -251,6 +249,30 @@ def mean_of_totals(counts: DataFrame, key: str = "fact_id", n: str = "count") ->
     return totals.agg(F.avg("t").alias("mean"))
 
 
+class RunSummary:
+    """Claims done, messages found and the dates they cover, counted by the jobs that write them.
+
+    Pass what is written through `of_claims` and `of_hits`; `row` is known once
+    both have been written, and costs no pass of its own.
+    """
+
+    def __init__(self):
+        self.claims, self.hits = Observation(), Observation()
+
+    def of_claims(self, claims: DataFrame) -> DataFrame:
+        return claims.observe(self.claims, F.count(F.lit(1)).alias("claims"))
+
+    def of_hits(self, hits: DataFrame, date: str = "date") -> DataFrame:
+        at = F.unix_micros(F.col(date).cast("timestamp"))
+        return hits.observe(self.hits, F.count(F.lit(1)).alias("messages"), F.min(at).alias("first"), F.max(at).alias("last"))
+
+    def row(self, spark: SparkSession) -> DataFrame:
+        """One row: claims, messages, first, last."""
+        known = self.claims.get | self.hits.get
+        one = spark.createDataFrame([tuple(known[c] for c in ("claims", "messages", "first", "last"))], "claims long, messages long, first long, last long")
+        return one.withColumns({c: F.timestamp_micros(c) for c in ("first", "last")})
+
+
 def run_summary(hits: DataFrame) -> DataFrame:
     """Claims done, messages found and days covered by a search run."""
     claims = hits.select("fact_id").distinct().agg(F.count("*")).scalar()

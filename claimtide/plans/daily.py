@@ -85,10 +85,10 @@ MARKS = ("messages_searched_at", "news_searched_at", "news_filtered_at", "messag
 
 
 class DailyRun:
-    """One day's work over stored tables: features, message_pairs, news_pairs, message_labels, news_labels.
+    """One day's work over stored tables: features, message_pairs, news_pairs, message_labels, news_labels, runs.
 
     `features` has one row per claim: its columns, `keywords` and MARKS. The other
-    tables are appended to. All of a day is published by one version under the
+    tables are appended to; `runs` has what each day found. All of a day is published by one version under the
     day's name: a day that broke off left nothing, and one that is started again
     changes nothing. Since marks and hits come with the same version, no claim is
     searched twice.
@@ -160,8 +160,9 @@ class DailyRun:
         news_tokens = text.corpus_tokens("Title") if news_tokens is None else news_tokens
         features = stored(self.features(claims, describe), "features")
 
-        due = filters.pending_search(features, "messages_searched_at", now, s.days_after, verdicts)
-        message_pairs = stored(self.message_hits(due, messages, message_tokens), "message-pairs")
+        summary = aggregates.RunSummary()
+        due = stored(summary.of_claims(filters.pending_search(features, "messages_searched_at", now, s.days_after, verdicts)), "due")
+        message_pairs = stored(summary.of_hits(self.message_hits(due, messages, message_tokens)), "message-pairs")
         features = self._marked(features, due, "messages_searched_at", now)
         due = filters.pending_search(features, "news_searched_at", now, s.days_after, verdicts)
         found = self.news_hits(due, news, news_tokens)
@@ -190,7 +191,8 @@ class DailyRun:
         news_labels = scoring.classify(scored, "topic_relation", "news", s.news_threshold).withColumnRenamed("message_id", "news_id")
         features = self._marked(features, due, "news_labelled_at", now)
 
-        appended = {"message_pairs": message_pairs, "news_pairs": news_pairs, "message_labels": message_labels, "news_labels": news_labels}
+        runs = summary.row(features.sparkSession).withColumn("day", F.lit(day))
+        appended = {"runs": runs, "message_pairs": message_pairs, "news_pairs": news_pairs, "message_labels": message_labels, "news_labels": news_labels}
         return self.tables.commit(day, replace={"features": features}, append=appended, base=base)
 
     def _of_claims(self, name: str, fresh: DataFrame, due: DataFrame) -> DataFrame:

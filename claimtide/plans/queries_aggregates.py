@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from ..functions import text, times
 from ..operators import aggregates, entities, filters, joins, ranking, statistics
+from ..session import stored
 from .catalog import CHECKED_SQL, OFFSET_SQL, Tables, query
 from .queries_functions import TAGGED_SQL, tagged
 from .queries_joins import BEFORE_AFTER_SQL, with_offsets
@@ -570,7 +571,11 @@ def keywords_per_claim(spark, folder):
     """,
 )
 def run_summary(spark, folder):
-    out = aggregates.run_summary(Tables(spark, folder).dated)
+    """Counted while the hits and their claims are written."""
+    hits, summary = Tables(spark, folder).dated, aggregates.RunSummary()
+    stored(summary.of_hits(hits), "hits")
+    stored(summary.of_claims(hits.select("fact_id").distinct()), "claims")
+    out = summary.row(spark)
     return out.withColumns({c: F.date_format(c, "yyyy-MM-dd HH:mm") for c in ("first", "last")})
 
 

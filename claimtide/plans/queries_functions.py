@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import functions as F
 
-from ..functions import labels, text, times, vectors
+from ..functions import labels, payloads, text, times, vectors
 from ..operators import keywords, search
 from ..sources import sinks
+from . import daily
 from .catalog import CHECKED_SQL, OFFSET_SQL, Tables, query
 from .queries_rows import TOKENS_SQL
 
@@ -221,27 +224,34 @@ def restrictive_text(spark, folder):
     return df.select("doc_id", search.restrictive_text(pairs).alias("query"))
 
 
+# Sorted words over five letters of each claim, all of them.
+CLAIM_WORDS_SQL = rf"SELECT item_id AS fact_id, list_sort(list_distinct(list_filter({TOKENS_SQL.format('text')}, lambda x: length(x) > 5))) AS k FROM benchmark"
+
+
+def claim_words(t: Tables):
+    return daily.simple_keywords(t.benchmark.select(F.col("item_id").alias("fact_id"), F.col("text").alias("claim")))
+
+
 @query(
     "F11_query_budget",
     f"""
-    WITH RECURSIVE k AS (SELECT doc_id, {LONG_WORDS_SQL}[1:8] AS k FROM documents),
-    w AS (SELECT doc_id, unnest(k) AS w, unnest(range(len(k))) AS i FROM k),
-    g AS (SELECT a.doc_id, length(a.w) + length(b.w) + length(c.w) + 4 AS size,
-            row_number() OVER (PARTITION BY a.doc_id ORDER BY a.i, b.i, c.i) AS r
-          FROM w a JOIN w b ON a.doc_id = b.doc_id AND a.i < b.i JOIN w c ON a.doc_id = c.doc_id AND b.i < c.i),
+    WITH RECURSIVE k AS ({CLAIM_WORDS_SQL}),
+    w AS (SELECT fact_id, unnest(k) AS w, unnest(range(len(k))) AS i FROM k),
+    g AS (SELECT a.fact_id, length(a.w) + length(b.w) + length(c.w) + 4 AS size,
+            row_number() OVER (PARTITION BY a.fact_id ORDER BY a.i, b.i, c.i) AS r
+          FROM w a JOIN w b ON a.fact_id = b.fact_id AND a.i < b.i JOIN w c ON a.fact_id = c.fact_id AND b.i < c.i),
     f AS (
-      SELECT doc_id, 1 AS r, size AS used FROM g WHERE r = 1
+      SELECT fact_id, 1 AS r, size AS used FROM g WHERE r = 1
       UNION ALL
-      SELECT g.doc_id, g.r, (f.used + 4 + g.size)::BIGINT FROM f JOIN g ON g.doc_id = f.doc_id AND g.r = f.r + 1
+      SELECT g.fact_id, g.r, (f.used + 4 + g.size)::BIGINT FROM f JOIN g ON g.fact_id = f.fact_id AND g.r = f.r + 1
       WHERE f.used < 1024 - (2 * g.size - 1))
-    SELECT doc_id, max(r)::BIGINT AS kept, max(used)::BIGINT AS length FROM f GROUP BY 1
+    SELECT fact_id, coalesce(max(r), 0)::BIGINT AS kept, coalesce(max(used), 0)::BIGINT AS length FROM k LEFT JOIN f USING (fact_id) GROUP BY 1
     """,
 )
 def query_budget(spark, folder):
-    df = long_words(Tables(spark, folder)).withColumn("k", F.slice("k", 1, 8))
-    df = df.where(F.size("k") >= 3).withColumn("g", search.within_budget(search.keyword_groups("k"), 1024))
+    df = claim_words(Tables(spark, folder)).withColumn("g", search.within_budget(search.keyword_groups("keywords"), 1024))
     return df.select(
-        "doc_id",
+        "fact_id",
         F.size("g").cast("bigint").alias("kept"),
         F.length(search.query_text(F.col("g"))).cast("bigint").alias("length"),
     )
@@ -412,29 +422,25 @@ def impact(spark, folder):
 @query(
     "F19_keyword_triples",
     f"""
-    WITH k AS (SELECT doc_id, {LONG_WORDS_SQL}[1:6] AS k FROM documents),
-    w AS (SELECT doc_id, unnest(k) AS w FROM k)
-    SELECT a.doc_id, a.w || ' ' || b.w || ' ' || c.w AS triple
-    FROM w a JOIN w b ON a.doc_id = b.doc_id AND a.w < b.w JOIN w c ON a.doc_id = c.doc_id AND b.w < c.w
+    WITH k AS ({CLAIM_WORDS_SQL}), w AS (SELECT fact_id, unnest(k) AS w FROM k)
+    SELECT a.fact_id, a.w || ' ' || b.w || ' ' || c.w AS triple
+    FROM w a JOIN w b ON a.fact_id = b.fact_id AND a.w < b.w JOIN w c ON a.fact_id = c.fact_id AND b.w < c.w
     """,
 )
 def keyword_triples(spark, folder):
-    df = long_words(Tables(spark, folder)).withColumn("k", F.slice("k", 1, 6))
-    triples = df.select("doc_id", F.explode(search.combinations_of("k", 3)).alias("g"))
-    return triples.select("doc_id", F.array_join("g", " ").alias("triple"))
+    triples = claim_words(Tables(spark, folder)).select("fact_id", F.explode(search.combinations_of("keywords", 3)).alias("g"))
+    return triples.select("fact_id", F.array_join("g", " ").alias("triple"))
 
 
 @query(
     "F19_keyword_pairs",
     f"""
-    WITH k AS (SELECT doc_id, {LONG_WORDS_SQL}[1:6] AS k FROM documents),
-    w AS (SELECT doc_id AS fact_id, unnest(k) AS w FROM k)
+    WITH k AS ({CLAIM_WORDS_SQL}), w AS (SELECT fact_id, unnest(k) AS w FROM k)
     SELECT a.fact_id, a.w AS a, b.w AS b FROM w a JOIN w b ON a.fact_id = b.fact_id AND a.w < b.w
     """,
 )
 def keyword_pairs(spark, folder):
-    df = long_words(Tables(spark, folder)).select(F.col("doc_id").alias("fact_id"), F.slice("k", 1, 6).alias("keywords"))
-    return keywords.keyword_pairs(df)
+    return keywords.keyword_pairs(claim_words(Tables(spark, folder)))
 
 
 def tagged(t: Tables):
@@ -443,29 +449,29 @@ def tagged(t: Tables):
     The first line is the claim, the rest the review; runs of two capitalised
     words are entities, and endings decide noun, adjective and verb.
     """
-    docs = t.documents
-    claim = F.split("text", "\n")[0]
-    review = F.substr("text", F.length(claim) + 1)
+    # each step works a text or its words out once for all that use them
+    claim = F.substring_index("text", "\n", 1)
+    sides = t.documents.select(F.col("doc_id").alias("fact_id"), "text", claim.alias("claim"))
+    sides = sides.select("fact_id", "claim", F.substr("text", F.length("claim") + 1).alias("review"))
+    sides = sides.select("*", *[text.corpus_tokens(c).alias(f"{c}_words") for c in ("claim", "review")])
+    forms = {"NOUN": ("tion",), "ADJ": ("ble",), "VERB": ("ing", "ed")}
 
     def entities(c):
         runs = F.filter(text.capitalised_runs(c), lambda w: F.contains(w, F.lit(" ")))
         return F.create_map(F.lit("ENT"), runs)
 
-    def tags(c):
-        words = text.corpus_tokens(c)
-        forms = {"NOUN": "tion$", "ADJ": "ble$", "VERB": "(ing|ed)$"}
-
-        def ending(pattern):
-            return F.filter(words, lambda w: w.rlike(pattern))
+    def tags(words):
+        def ending(ends):
+            return F.filter(words, lambda w: reduce(lambda a, b: a | b, [F.endswith(w, F.lit(e)) for e in ends]))
 
-        return F.create_map(*[x for tag, p in forms.items() for x in (F.lit(tag), ending(p))])
+        return F.create_map(*[x for tag, ends in forms.items() for x in (F.lit(tag), ending(ends))])
 
-    return docs.select(
-        F.col("doc_id").alias("fact_id"),
-        entities(claim).alias("ner_claim"),
-        entities(review).alias("ner_review"),
-        tags(claim).alias("pos_claim"),
-        tags(review).alias("pos_review"),
+    return sides.select(
+        "fact_id",
+        entities("claim").alias("ner_claim"),
+        entities("review").alias("ner_review"),
+        tags("claim_words").alias("pos_claim"),
+        tags("review_words").alias("pos_review"),
     )
 
 
@@ -654,3 +660,36 @@ def percentages(spark, folder):
 def payload_fields(spark, folder):
     payload = F.from_json("props", "k bigint, missing string")
     return Tables(spark, folder).events.select("event_id", payload["k"].alias("k"), payload["missing"].alias("missing"))
+
+
+@query(
+    "F27_payload_variants",
+    """
+    WITH p AS (SELECT event_id, CASE event_id % 5 WHEN 0 THEN props WHEN 1 THEN '{"k": {"deep": ' || user_id || '}}' WHEN 2 THEN '{"k": "n' || user_id || '"}'
+      WHEN 3 THEN '[' || user_id || ', 7]' ELSE 'no json' END AS payload FROM events)
+    SELECT event_id, CASE WHEN event_id % 5 = 0 THEN (payload->>'$.k')::BIGINT END AS k, CASE WHEN event_id % 5 = 1 THEN (payload->>'$.k.deep')::BIGINT END AS deep,
+      CASE WHEN event_id % 5 = 2 THEN payload->>'$.k' WHEN event_id % 5 = 0 THEN payload->>'$.k' END AS k_text,
+      CASE WHEN event_id % 5 = 3 THEN (payload->>'$[0]')::BIGINT END AS first, event_id % 5 <> 4 AS known FROM p
+    """,
+)
+def payload_variants(spark, folder):
+    """Payloads that are an object, a nested one, one with text, a list, and no JSON at all, each parsed once."""
+    kind = F.col("event_id") % 5
+    text_of = F.col("user_id").cast("string")
+    payload = (
+        F.when(kind == 0, F.col("props"))
+        .when(kind == 1, F.concat(F.lit('{"k": {"deep": '), text_of, F.lit("}}")))
+        .when(kind == 2, F.concat(F.lit('{"k": "n'), text_of, F.lit('"}')))
+        .when(kind == 3, F.concat(F.lit("["), text_of, F.lit(", 7]")))
+        .otherwise("no json")
+    )
+    rows = Tables(spark, folder).events.select("event_id", payloads.parsed(payload).alias("v"))
+    scalar = payloads.shape("v").rlike("k: (BIGINT|STRING)")
+    return rows.select(
+        "event_id",
+        payloads.field("v", "$.k", "bigint").alias("k"),
+        payloads.field("v", "$.k.deep", "bigint").alias("deep"),
+        F.when(scalar, payloads.field("v", "$.k")).alias("k_text"),
+        payloads.field("v", "$[0]", "bigint").alias("first"),
+        F.col("v").isNotNull().alias("known"),
+    )

@@ -7,8 +7,6 @@ from collections.abc import Callable, Iterator
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
-from pyspark.sql.functions import udtf
 
 
 def vectors_by(
@@ -56,19 +54,15 @@ def per_claim(series: DataFrame, key: str, step: Callable[[pd.DataFrame], pd.Dat
     return series.groupBy(key).applyInPandas(step, schema)
 
 
-@udtf(returnType=T.StructType().add("day_start", T.TimestampType()).add("day_end", T.TimestampType()))
-class DayWindows:
-    """Table function: the one-day windows around a claim's date."""
-
-    def eval(self, date, before: int, after: int):
-        from datetime import timedelta
-
-        if date is None:
-            return
-        midnight = date.replace(hour=0, minute=0, second=0, microsecond=0)
-        for i in range(-before, after + 1):
-            yield midnight + timedelta(days=i), midnight + timedelta(days=i + 1)
-
-
 def register_day_windows(spark, name: str = "day_windows") -> None:
-    spark.udtf.register(name, DayWindows)
+    """Table function in SQL: the one-day windows from so many days before a moment's day to so many after.
+
+    Spark puts its query in place of the call. Null moment: no windows.
+    """
+    spark.sql(f"""
+        CREATE OR REPLACE TEMPORARY FUNCTION {name}(moment TIMESTAMP, before INT, after INT)
+        RETURNS TABLE (day_start TIMESTAMP, day_end TIMESTAMP)
+        RETURN SELECT day, day + INTERVAL '1' DAY FROM (
+          SELECT explode(transform(sequence(0, before + after), i -> date_trunc('DAY', moment) + make_dt_interval(i - before))) AS day
+        ) WHERE day IS NOT NULL
+    """)
