@@ -33,6 +33,9 @@ CACHE = 1 << 16
 #: Most entries of each of the two generations of known pieces.
 CACHED_PIECES = 1 << 18
 CACHED_PIECE = 64
+#: Moves asked for less often are not determinised, but for pieces longer than SEARCHED bytes.
+ASKED = 8
+SEARCHED = 256
 CHUNK = 1 << 20
 BATCH_BYTES = 2 << 20
 NEVER = 1 << 62
@@ -87,8 +90,7 @@ class Transducer:
         self.ranks = ranks
         self.token_bytes = {rank: token for token, rank in ranks.items()}
         self.step: dict[int, int] = {}
-        self.ends: dict[int, int] = {}
-        self.inner: set[int] = set()
+        self.ends, self.inner = {}, set()
         nodes = 1
         for token, rank in ranks.items():
             node = 0
@@ -101,7 +103,35 @@ class Transducer:
                 node = self.step[at]
             self.ends[node] = rank
         self.split: dict[int, tuple[int, int] | None] = {}
-        self.ends = {node: token for node, token in self.ends.items() if self.reached(token)}
+        reached = {node: token for node, token in self.ends.items() if self.reached(token)}
+        # lists and plain numbers, as each move asks for many of them
+        self.inner = [node in self.inner for node in range(nodes)]
+        self.ends = [reached.get(node, -1) for node in range(nodes)]
+        size = max(ranks.values()) + 1
+        self.left, self.right = [-1] * size, [-1] * size
+        for token, halves in self.split.items():
+            if halves:
+                self.left[token], self.right[token] = halves
+        #: Rank of the token that two tokens side by side make.
+        self.across: dict[int, int] = {}
+        for token, rank in ranks.items():
+            for i in range(1, len(token)):
+                a, b = ranks.get(token[:i]), ranks.get(token[i:])
+                if a is not None and b is not None:
+                    self.across[a << 32 | b] = rank
+        #: The same trie by node, and of each token its length and the longest other token that it starts with.
+        self.below: list[dict[int, int]] = [{} for _ in range(nodes)]
+        for at, node in self.step.items():
+            self.below[at >> 8][at & 255] = node
+        self.sizes, self.shorter = [0] * size, [-1] * size
+        for token, rank in ranks.items():
+            self.sizes[rank], node, longest = len(token), 0, -1
+            for byte in token:
+                self.shorter[rank] = longest
+                node = self.below[node][byte]
+                longest = self.ends[node] if self.ends[node] >= 0 else longest
+        self.fits: dict[int, bool] = {}
+        self.met: dict[int, int] = {}
         self.made = 1
         self.states: dict[tuple, int] = {}
         self.paths: dict[int, tuple] = {}
@@ -168,34 +198,43 @@ class Transducer:
         until one is merged away from the border; a merge across it with a lower
         rank would have come first (at equal ranks, the one more to the left).
         """
-        until = NEVER
+        until, across, left_of, right_of = NEVER, self.across, self.left, self.right
         while True:
-            across = self.ranks.get(self.token_bytes[left] + self.token_bytes[right], NEVER)
-            if across < until:
+            if across.get(left << 32 | right, NEVER) < until:
                 return False
-            of_left, of_right = self.halves(left), self.halves(right)
-            if of_left is None and of_right is None:
+            of_left, of_right = right_of[left], left_of[right]
+            if of_left < 0 and of_right < 0:
                 return True
-            if of_right is None or (of_left is not None and left > right):
-                until, left = left, of_left[1]
+            if of_right < 0 or (of_left >= 0 and left > right):
+                until, left = left, of_left
             else:
-                until, right = right + 1, of_right[0]
+                until, right = right + 1, of_right
+
+    def _fits(self, left: int, right: int) -> bool:
+        """`follows`, of pairs asked before."""
+        pair = left << 32 | right
+        fits = self.fits.get(pair)
+        if fits is None:
+            if len(self.fits) >= CACHE * 2:
+                self.fits.clear()
+            fits = self.fits[pair] = self.follows(left, right)
+        return fits
 
     def _move(self, state: int, byte: int) -> tuple[tuple, tuple]:
         """Tokens emitted, and the live paths of the state that follows."""
         live, whole = [], False
-        step, ends, inner = self.step, self.ends, self.inner
-        for path in self.paths[state]:
-            out, last, node = path
-            node = step.get(node << 8 | byte)
+        step, ends, inner, fits = self.step.get, self.ends, self.inner, self._fits
+        known = self.paths.get(state)
+        for out, last, node in self.older[1][state] if known is None else known:
+            node = step(node << 8 | byte)
             if node is None:
                 continue
-            if node in inner:
+            if inner[node]:
                 live.append((out, last, node))
             if whole:  # the bytes so far have one BPE form only
                 continue
-            token = ends.get(node)
-            if token is not None and (last < 0 or self.follows(last, token)):
+            token = ends[node]
+            if token >= 0 and (last < 0 or fits(last, token)):
                 live.append(((*out, token), token, 0))
                 whole = True
         agreed = 0
@@ -207,8 +246,56 @@ class Transducer:
         emitted = live[0][0][:agreed]
         return emitted, tuple((out[agreed:], last, node) for out, last, node in live) if agreed else tuple(live)
 
+    def _searched(self, piece: bytes) -> list[int]:
+        """Token ids of a piece by the paths themselves, one at a time, longer tokens first.
+
+        The bytes before a place have one BPE form, so a place that led nowhere
+        once never does.
+        """
+        n, below, ends, sizes, shorter, fits = len(piece), self.below, self.ends, self.sizes, self.shorter, self.fits
+        tokens: list[int] = []
+        dead: set[int] = set()
+        at, last, token = 0, -1, -2
+        while True:
+            if token == -2:  # the longest token from here
+                node, end = 0, at
+                while end < n:
+                    node = below[node].get(piece[end])
+                    if node is None:
+                        break
+                    end += 1
+                    if ends[node] >= 0:
+                        token = ends[node]
+            while token >= 0:
+                end = at + sizes[token]
+                if end not in dead:
+                    if last < 0:
+                        break
+                    pair = last << 32 | token
+                    fit = fits.get(pair)
+                    if fit is None:
+                        fit = self._fits(last, token)
+                    if fit:
+                        break
+                token = shorter[token]
+            if token >= 0:
+                tokens.append(token)
+                if end == n:
+                    return tokens
+                at, last, token = end, token, -2
+            else:
+                dead.add(at)
+                token = tokens.pop()
+                at -= sizes[token]
+                last = tokens[-1] if tokens else -1
+                token = shorter[token]
+
     def encode(self, piece: bytes) -> list[int]:
-        """Token ids of a piece; a piece that is a token is that token."""
+        """Token ids of a piece; a piece that is a token is that token.
+
+        A move is determinised once pieces have asked for it ASKED times; until
+        then a piece that asks for it is searched, unless it is long.
+        """
         if piece in self.ranks:
             return [self.ranks[piece]]
         if len(self.paths) >= CACHE:
@@ -218,6 +305,13 @@ class Transducer:
         for byte in piece:
             move = moves.get(state << 8 | byte)
             if move is None:
+                at = state << 8 | byte
+                asked = self.met.get(at, 0)
+                if asked < ASKED and at not in self.older[2] and len(piece) <= SEARCHED:
+                    if len(self.met) >= CACHE * 4:
+                        self.met.clear()
+                    self.met[at] = asked + 1
+                    return self._searched(piece)
                 move = self._next(state, byte)
             if move[0]:
                 ids.extend(move[0])
