@@ -139,9 +139,18 @@ def reach(graph: Graph, trial: np.ndarray, k: int) -> float:
     return float(np.quantile(ratios, SHARE, method="higher")) if ratios else 1.0
 
 
+def near_one(vectors: np.ndarray) -> np.ndarray:
+    """Each row times a power of two that brings its largest component to 0.5 or more and below 1.
+
+    Products of very long or very short vectors would leave the range of
+    doubles; a power of two changes no digit, so cosines stay as they are.
+    """
+    return np.ldexp(vectors, -np.frexp(np.abs(vectors).max(axis=1, keepdims=True))[1])
+
+
 def units(batch_column: pa.Array) -> np.ndarray:
     flat = batch_column.flatten().to_numpy(zero_copy_only=False).astype(np.float64)
-    vectors = flat.reshape(len(batch_column), -1)
+    vectors = near_one(flat.reshape(len(batch_column), -1))
     return vectors / np.linalg.norm(vectors, axis=1, keepdims=True)
 
 
@@ -187,7 +196,7 @@ def searched(k: int):
             return schema.empty_table()
         ids, asked = left.column("vec_id").to_numpy(), right.column("query_id").to_numpy()
         vectors, queries = (
-            t.column(name).combine_chunks().flatten().to_numpy(zero_copy_only=False).reshape(t.num_rows, -1)
+            near_one(t.column(name).combine_chunks().flatten().to_numpy(zero_copy_only=False).reshape(t.num_rows, -1))
             for t, name in ((left, "vector"), (right, "query"))
         )
         lengths = np.sqrt((vectors * vectors).sum(axis=1))
@@ -215,6 +224,7 @@ def searched(k: int):
 def nearest(vectors: DataFrame, vec_id: str = "vec_id", vector: str = "embedding", k: int = 5, every: int = 50) -> DataFrame:
     """(query_id, rank, vec_id, score): the k nearest found of each vector whose id is divisible by `every`, by cosine.
 
+    Vectors of any finite length, however short or long, are compared alike.
     Vectors that are null, zero or hold null or non-finite numbers take no part,
     nor do those without an id or with another length than most of the sample.
     Ties go to the smaller id. Rows with one id: the query never finds its own
@@ -230,7 +240,7 @@ def nearest(vectors: DataFrame, vec_id: str = "vec_id", vector: str = "embedding
         return spark.createDataFrame([], schema)
     lengths = [len(r["vector"]) for r in drawn]
     length = max(sorted(set(lengths)), key=lengths.count)
-    sample = np.array([r["vector"] for r in drawn if len(r["vector"]) == length])
+    sample = near_one(np.array([r["vector"] for r in drawn if len(r["vector"]) == length]))
     sample /= np.linalg.norm(sample, axis=1, keepdims=True)
     # vectors that made no centroid, if there are enough
     sample, rest = sample[:SAMPLE], sample[SAMPLE:]
