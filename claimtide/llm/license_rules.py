@@ -111,16 +111,36 @@ def detections(texts: DataFrame) -> DataFrame:
         F.expr("split(plain, rule.pattern)").alias("around"),
     )
 
-    def place(k):
-        before = F.concat(F.array_join(F.slice("around", 1, k), ""), F.array_join(F.slice("found", 1, k - 1), ""))
+    # lengths and blanks of each match and of what stands before it; where a match starts is a running sum of them
+    def step(before, match):
         return F.struct(
-            F.char_length(before).alias("start"),
-            (F.char_length(before) + F.char_length(F.get("found", k - 1))).alias("end"),
-            (F.regexp_count(before, F.lit(" ")) - 1).cast("long").alias("word"),
+            F.char_length(before).alias("gap"),
+            F.char_length(match).alias("length"),
+            F.regexp_count(before, F.lit(" ")).alias("gap_blanks"),
+            F.regexp_count(match, F.lit(" ")).alias("blanks"),
         )
 
-    places = matched.select("doc_id", "copy", "rule", F.explode(F.transform(F.sequence(F.lit(1), F.size("found")), place)).alias("at"))
-    return places.select("doc_id", "copy", "rule.*", "at.*")
+    steps = F.zip_with(F.slice("around", 1, F.size("found")), "found", step)
+    each = matched.select("doc_id", "copy", "rule", F.posexplode(steps).alias("at", "s"))
+    # repeated rows stand at the same places, so their sums count each place that many times
+    by_rule = Window.partitionBy("doc_id", "copy", "rule.id").orderBy("at")
+    rows = F.sum((F.col("at") == 0).cast("long")).over(by_rule)
+    chars = F.sum((F.col("s.gap") + F.col("s.length")).cast("long")).over(by_rule)
+    blanks = F.sum((F.col("s.gap_blanks") + F.col("s.blanks")).cast("long")).over(by_rule)
+    placed = each.select("doc_id", "copy", "rule.*", "s", rows.alias("_rows"), chars.alias("_chars"), blanks.alias("_blanks"))
+    ends, last = F.expr("_chars div _rows"), F.expr("_blanks div _rows")
+    return placed.select(
+        "doc_id",
+        "copy",
+        "id",
+        "priority",
+        "strength",
+        "label",
+        "base",
+        (ends - F.col("s.length")).alias("start"),
+        ends.alias("end"),
+        (last - F.col("s.blanks") - 1).alias("word"),
+    )
 
 
 def license_scan(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
