@@ -114,6 +114,19 @@ def frequent_lines(docs: DataFrame, host: str, text: str, min_documents: int, ma
     return above.where(limit if always is None else limit | (F.col("n") >= always)).select("host", "key")
 
 
+def without_lines(text: Column, at: Column) -> Column:
+    """The text without its lines at these places, from 0: the runs of lines between them, joined, so each line is copied once."""
+
+    def runs(lines: Column, gone: Column) -> Column:
+        def run(k: Column) -> Column:
+            first = F.coalesce(F.get(gone, k - 1) + 1, F.lit(0))
+            return F.slice(lines, first + 1, F.coalesce(F.get(gone, k), F.size(lines)) - first)
+
+        return F.flatten(F.transform(F.sequence(F.lit(0), F.size(gone)), run))
+
+    return F.array_join(let(F.split(text, "\n"), lambda lines: let(F.sort_array(at), lambda gone: runs(lines, gone))), "\n")
+
+
 def quality_rules(
     docs: DataFrame,
     doc_id: str = "doc_id",
@@ -150,12 +163,7 @@ def quality_rules(
     marked = joined(measured, removed, ["doc_id", "host", "copy"], "left")
     lost = F.aggregate("gone", F.lit(0).cast("long"), lambda total, x: total + x["n"])
     own = F.col("row")[text]
-    clean = F.when(F.col("gone").isNull(), own).otherwise(
-        let(
-            F.transform("gone", lambda x: x["at"]),
-            lambda at: F.array_join(F.filter(F.split(own, "\n"), lambda _, i: ~F.array_contains(at, i)), "\n"),
-        )
-    )
+    clean = F.when(F.col("gone").isNull(), own).otherwise(without_lines(own, F.transform("gone", lambda x: x["at"])))
     failed = (F.col("n_words") < min_words) | (100 * F.col("n_repeat_words") > max_repeat * F.col("n_words"))
     return marked.select(
         "row",
