@@ -6,9 +6,9 @@ it. Candidates are the neighbours in an order, which share the longest prefixes
 and so lie deeper where a region is crowded, and the hub of each region, the
 member whose prefixes most documents share over all orders. Candidates are
 confirmed on whole shingle sets: first one pair per document, then those between
-components that are still apart. Regions too large to be covered by neighbours,
-whose members are not of one component by then, are searched exactly: two sets
-that are similar enough share one of their rarest shingles.
+components that are still apart. Small regions have all their pairs compared.
+Larger ones whose members are not of one component by then are searched exactly:
+two sets that are similar enough share one of their rarest shingles.
 """
 
 from __future__ import annotations
@@ -111,8 +111,21 @@ def signatures(docs: DataFrame) -> DataFrame:
     )
 
 
+def within(small: DataFrame) -> DataFrame:
+    """(a, b) of all members of each region; for regions of few members."""
+    members = small.groupBy("tree", "prefix").agg(F.sort_array(F.collect_set("rep")).alias("r"))
+
+    def later(x: F.Column, i: F.Column) -> F.Column:
+        return F.transform(F.slice("r", i + 2, F.size("r")), lambda y: F.struct(x.alias("a"), y.alias("b")))
+
+    return members.select(F.inline(F.flatten(F.transform("r", later))))
+
+
 def neighbours(crowded: DataFrame, width: int) -> DataFrame:
-    """(a, b) of members of a region at most `width` places apart in the sorted order."""
+    """(a, b) of members of a region at most `width` places apart in the sorted order.
+
+    Pairs over the border of two tasks are not made.
+    """
     schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -327,7 +340,9 @@ def near_dedup(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", perc
         .agg(F.count("*").alias("shared"))
     )
     stars = stored(stars, "stars")
-    near = neighbours(crowded, NEIGHBOURS)
+    # small regions have all their pairs; large ones those of neighbours, and the exact search below for what these miss
+    small = F.col("n") <= NEIGHBOURS + 1
+    near = within(crowded.where(small)).union(neighbours(crowded.where(~small), NEIGHBOURS))
     pairs = stars.select(F.least("rep", "hub").alias("a"), F.greatest("rep", "hub").alias("b")).union(near).distinct()
     pairs = stored(plausible(pairs, reps, least), "pairs")
     best = stars.groupBy("rep").agg(F.max(F.struct("shared", (-F.col("hub")).alias("hub"))).alias("best"))

@@ -6,12 +6,14 @@ import re
 from collections import Counter
 
 import numpy as np
+import public_tokenizers
 import pytest
+import tiktoken
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from claimtide.llm import fill_middle, hard_negatives, suffix_dedup
+from claimtide.llm import byte_pairs, fill_middle, hard_negatives, license_rules, near_dedup, posting_lists, quality_rules, suffix_dedup
 
 SCHEMA = "doc_id long, text string, row int, form string, n long, key string, spans string, anchor long"
 LONG = " ".join(f"word{i}" for i in range(60_000))
@@ -213,3 +215,125 @@ def test_suffix_order_and_steps_back(texts):
     codes = np.array([c - 999 if c >= 1000 else 0 for c in joint], np.int64)
     order = suffix_dedup.suffix_order(codes, np.repeat(ends, sizes + 1), int(sizes.max()))
     assert order.tolist() == sorted(range(len(joint)), key=lambda i: joint[i:])
+
+
+RANKS = byte_pairs.read_ranks(public_tokenizers.path("byte_bpe_50k.tiktoken"))
+OWN = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=RANKS, special_tokens={})
+SYLLABLES = ["tion", "the", "an", "er", "ouche", "é", "ing", "s", "xx", " ", "ß", "able", "1", "_", "th"]
+
+
+@pytest.mark.parametrize("asked, cache", [(0, 1 << 16), (0, 50), (2, 200), (8, 1 << 16), (1 << 30, 1 << 16)])
+def test_moves_searches_and_forgetting_agree_with_the_merges(monkeypatch, asked, cache):
+    """Moves determinised at once, after some pieces or never; caches that forget all the time."""
+    monkeypatch.setattr(byte_pairs, "ASKED", asked)
+    monkeypatch.setattr(byte_pairs, "CACHE", cache)
+    encoder = byte_pairs.Encoder(RANKS, public_tokenizers.PATTERN)
+    rng = random.Random(asked + cache)
+    for _ in range(60):
+        text = "".join(rng.choice(SYLLABLES) for _ in range(rng.randrange(120)))
+        assert np.frombuffer(encoder.encode(text), "<u4").tolist() == OWN.encode_ordinary(text)
+    long = "".join(rng.choice(SYLLABLES[:8]) for _ in range(3000))  # one piece
+    assert np.frombuffer(encoder.encode(long), "<u4").tolist() == OWN.encode_ordinary(long)
+
+
+def test_chunks_of_long_texts_are_cut_where_pieces_end():
+    rng = random.Random(9)
+    encoder = byte_pairs.Encoder(RANKS, public_tokenizers.PATTERN)
+    text = "".join(rng.choice([*SYLLABLES, "\n", "  ", "\t", "'s", ". "]) for _ in range(4000))
+    whole = OWN.encode_ordinary(text)
+    for size in (1, 7, 100, 5000):
+        parts = list(byte_pairs.chunks(text, size))
+        assert "".join(parts) == text
+        assert [i for part in parts for i in np.frombuffer(encoder.encode(part), "<u4").tolist()] == whole
+
+
+def test_lines_of_long_texts_go(spark):
+    docs = spark.createDataFrame([(1, "a\nb\n\nc\n"), (2, "x"), (3, "\n".join(str(i) for i in range(20_000)))], "id int, t string")
+    at = F.when(F.col("id") == 1, F.array(F.lit(4), F.lit(1))).when(F.col("id") == 2, F.array(F.lit(0)))
+    at = at.otherwise(F.filter(F.sequence(F.lit(0), F.lit(19_999)), lambda i: i % 2 == 1))
+    left = {r.id: r.left for r in docs.select("id", quality_rules.without_lines(F.col("t"), at).alias("left")).collect()}
+    assert left == {1: "a\n\nc", 2: "", 3: "\n".join(str(i) for i in range(0, 20_000, 2))}
+
+
+def scanned(text):
+    """Base places and words of a text, by comparing words."""
+    lower = (text or "").translate({ord(c): c.lower() for c in "ABCDEFGHIJKLMNOPQRSTUVWXYZ"})
+    w = re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", lower)
+    phrases = {"mit": "under the mit license", "apache-2": "apache license version 2", "cc-by-nc": "cc by nc"}
+    found = [(i, label) for label, p in phrases.items() for i in range(len(w)) if w[i : i + len(p.split())] == p.split()]
+    places = [i for i, _ in found]
+    return len(w), len(found), min(places, default=None), max(places, default=None), ",".join(sorted({x for _, x in found}))
+
+
+def test_license_scan_by_brute_force(spark):
+    rng = random.Random(4)
+    bits = ["under", "the", "MIT", "License", "apache", "version", "2", "cc", "by", "nc", "é", "Expat", "licence", "gpl", "-", "under the MIT License", "CC-BY-NC", "\n", "Apache License, Version 2.0"]
+    texts = ["", None, "x" * 3000, "under the mit license " * 3000] + [" ".join(rng.choice(bits) for _ in range(rng.randrange(1, 80))) for _ in range(150)]
+    rows = [(i, t, 1) for i, t in enumerate(texts)]
+    rows += [(None, texts[-1], 1), (9, texts[-2], 1), (9, texts[-2], 1)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, id int")
+    out = license_rules.license_scan(docs).collect()
+    got = sorted((str(r.doc_id), r.n_words, r.n_base, str(r.first_word), str(r.last_word), r.base_labels) for r in out)
+    assert got == sorted((str(i), *(str(x) if at in (2, 3) else x for at, x in enumerate(scanned(t)))) for i, t, _ in rows)
+    for r in out:
+        assert set(filter(None, r.base_labels.split(","))) <= set(r.labels.split(",")) and 0 <= r.score <= 1
+        assert (r.score > 0) == (r.labels != "")
+
+
+def test_nearest_of_very_short_and_very_long_vectors(spark):
+    rng = np.random.default_rng(2)
+    scales = [1e-300, 1e-200, 1.0, 1e150, 1e200, 1e300]
+    vectors = {i: rng.normal(size=6) * scales[i % 6] for i in range(120)}
+    vectors[200], vectors[201] = np.array([1.0, 1.0, 0, 0, 0, 0]), np.array([1e200, 2e200, 0, 0, 0, 0])
+    rows = [(i, [float(x) for x in v]) for i, v in vectors.items()]
+    got = posting_lists.nearest(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), every=10).collect()
+    unit = {i: (v / abs(v).max()) / np.linalg.norm(v / abs(v).max()) for i, v in vectors.items()}
+    queries = [i for i in vectors if i % 10 == 0]
+    found = 0
+    for q in queries:
+        exact = sorted((i for i in vectors if i != q), key=lambda i: (-(unit[i] @ unit[q]), i))[:5]
+        mine = sorted((r for r in got if r.query_id == q), key=lambda r: r.rank)
+        assert [r.rank for r in mine] == [1, 2, 3, 4, 5]
+        assert all(abs(r.score - unit[q] @ unit[r.vec_id]) < 1e-12 for r in mine)
+        found += len({r.vec_id for r in mine} & set(exact))
+    assert found >= 0.9 * 5 * len(queries)
+
+
+def test_small_regions_have_all_their_pairs_over_many_partitions(spark):
+    sizes = {region: 2 + region % 4 for region in range(400)}
+    rows = [(region % 20, region, 7, region * 10 + i) for region, n in sizes.items() for i in range(n)]
+    crowded = spark.createDataFrame(rows, "tree int, prefix long, deep long, rep long").repartition(97)
+    want = {(r * 10 + i, r * 10 + j) for r, n in sizes.items() for i in range(n) for j in range(i + 1, n)}
+    got = [tuple(r) for r in near_dedup.within(crowded).collect()]
+    assert set(got) == want and len(got) == len(want)
+    assert near_dedup.within(crowded.limit(0)).count() == 0
+
+
+def test_near_copies_in_small_groups_by_brute_force(spark):
+    """Groups of three to five documents whose links lie around the threshold."""
+    rng = random.Random(12)
+    rows, sets = [], {}
+    for group in range(60):
+        base = [f"g{group}w{i}" for i in range(200)]
+        for _ in range(rng.randrange(3, 6)):
+            words = list(base)
+            at = rng.randrange(150)
+            words[at : at + rng.randrange(1, 40)] = [f"x{rng.random()}"]
+            rows.append((len(rows), " ".join(words)))
+            sets[len(rows) - 1] = {tuple(words[i : i + 5]) for i in range(len(words) - 4)}
+    parent = {i: i for i in sets}
+
+    def root(i):
+        while parent[i] != i:
+            i = parent[i]
+        return i
+
+    for i in sets:
+        for j in range(i):
+            k = len(sets[i] & sets[j])
+            if 100 * k >= 85 * (len(sets[i]) + len(sets[j]) - k):
+                a, b = sorted((root(i), root(j)))
+                parent[b] = a
+    out = near_dedup.near_dedup(spark.createDataFrame(rows, "doc_id long, text string").repartition(23)).collect()
+    assert {r.doc_id: r.component_id for r in out} == {i: root(i) for i in sets}
+    assert len({root(i) for i in sets}) < len(sets)
