@@ -294,6 +294,23 @@ def op12_hard_negatives(spark, folder):
     return hard_negatives(vectors, label=label)
 
 
-@query("op13_suffix_dedup")
+@query(
+    "op13_suffix_dedup",
+    """
+    WITH d AS (SELECT doc_id, row_number() OVER () AS r, encode(coalesce(text, '')) AS b FROM documents),
+    w AS (SELECT r, i, md5_number(b[i:i + 399]) AS s FROM (SELECT r, b, unnest(range(1, octet_length(b) - 398)) AS i FROM d)),
+    again AS (SELECT r, i FROM (SELECT r, i, count(*) OVER (PARTITION BY s) AS n FROM w) WHERE n > 1),
+    edges AS (SELECT r, i, i - lag(i) OVER (PARTITION BY r ORDER BY i) AS step FROM again),
+    spans AS (
+      SELECT r, g, min(i) AS first, max(i) + 399 AS stop
+      FROM (SELECT r, i, sum(CASE WHEN step <= 400 THEN 0 ELSE 1 END) OVER (PARTITION BY r ORDER BY i) AS g FROM edges) GROUP BY r, g
+    ),
+    lists AS (SELECT r, list(first ORDER BY first) AS f, list(stop ORDER BY first) AS e, sum(stop - first + 1)::BIGINT AS gone, count(*) AS n FROM spans GROUP BY r)
+    SELECT doc_id, octet_length(b) AS n_bytes, coalesce(gone, 0)::BIGINT AS n_removed, coalesce(n, 0) AS n_spans,
+      sha256(unhex(CASE WHEN f IS NULL THEN hex(b) ELSE array_to_string(list_transform(range(1, len(f) + 2),
+        lambda k: hex(b[coalesce(e[k - 1], 0) + 1:coalesce(f[k] - 1, octet_length(b))])), '') END)) AS kept_sha256
+    FROM d LEFT JOIN lists USING (r)
+    """,
+)
 def op13_suffix_dedup(spark, folder):
     return suffix_dedup(table(spark, folder, "documents")).drop("spans")
