@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from .. import plugins
 from ..functions import labels as lb
 from ..functions import text, times
-from ..operators import aggregates, entities, keywords, scoring, search, threads
+from ..operators import aggregates, entities, scoring, search, threads
 from ..session import scratch_path, stored
 from ..sources.versions import VersionedTables
 from . import daily
