@@ -31,7 +31,7 @@ from .common import packed
 #: Most states of each of a transducer's two generations; forgetting costs time and changes nothing.
 CACHE = 1 << 16
 #: Most entries of each of the two generations of known pieces.
-CACHED_PIECES = 1 << 18
+CACHED_PIECES = 1 << 17
 CACHED_PIECE = 64
 #: Moves asked for less often are not determinised, but for pieces longer than SEARCHED bytes.
 ASKED = 8
@@ -87,43 +87,32 @@ class Transducer:
     """BPE of one piece of bytes, state by state."""
 
     def __init__(self, ranks: dict[bytes, int]):
+        size = max(ranks.values()) + 1
         self.ranks = ranks
-        self.token_bytes = {rank: token for token, rank in ranks.items()}
-        self.step: dict[int, int] = {}
-        self.ends, self.inner = {}, set()
-        nodes = 1
+        self.token_bytes = [b""] * size
+        for token, rank in ranks.items():
+            self.token_bytes[rank] = token
+        #: The trie: per node, the nodes below it by byte, none in a common empty one; and the token that ends there, or -1.
+        nothing: dict[int, int] = {}
+        self.below: list[dict[int, int]] = [nothing]
+        self.ends = [-1]
+        #: Of each token the two whose merge makes it (-1 of a byte), its length, and the longest other token it starts with.
+        self.left, self.right, self.sizes, self.shorter = [-1] * size, [-1] * size, [0] * size, [-1] * size
         for token, rank in ranks.items():
             node = 0
             for byte in token:
-                self.inner.add(node)
-                at = node << 8 | byte
-                if at not in self.step:
-                    self.step[at] = nodes
-                    nodes += 1
-                node = self.step[at]
-            self.ends[node] = rank
-        self.split: dict[int, tuple[int, int] | None] = {}
-        reached = {node: token for node, token in self.ends.items() if self.reached(token)}
-        # lists and plain numbers, as each move asks for many of them
-        self.inner = [node in self.inner for node in range(nodes)]
-        self.ends = [reached.get(node, -1) for node in range(nodes)]
-        size = max(ranks.values()) + 1
-        self.left, self.right = [-1] * size, [-1] * size
-        for token, halves in self.split.items():
-            if halves:
-                self.left[token], self.right[token] = halves
-        #: Rank of the token that two tokens side by side make.
-        self.across: dict[int, int] = {}
-        for token, rank in ranks.items():
-            for i in range(1, len(token)):
-                a, b = ranks.get(token[:i]), ranks.get(token[i:])
-                if a is not None and b is not None:
-                    self.across[a << 32 | b] = rank
-        #: The same trie by node, and of each token its length and the longest other token that it starts with.
-        self.below: list[dict[int, int]] = [{} for _ in range(nodes)]
-        for at, node in self.step.items():
-            self.below[at >> 8][at & 255] = node
-        self.sizes, self.shorter = [0] * size, [-1] * size
+                if self.below[node] is nothing:
+                    self.below[node] = {}
+                if byte not in self.below[node]:
+                    self.below[node][byte] = len(self.ends)
+                    self.ends.append(-1)
+                    self.below.append(nothing)
+                node = self.below[node][byte]
+            halves = self.merged(token, 2)
+            if len(halves) == 2:
+                self.left[rank], self.right[rank] = ranks[halves[0]], ranks[halves[1]]
+            # a token that no merges reach is none
+            self.ends[node] = rank if len(halves) < 3 else -1
         for token, rank in ranks.items():
             self.sizes[rank], node, longest = len(token), 0, -1
             for byte in token:
@@ -180,16 +169,6 @@ class Transducer:
                 ranks[i - 1] = self.ranks.get(parts[i - 1] + parts[i], NEVER)
         return parts
 
-    def halves(self, token: int) -> tuple[int, int] | None:
-        """The two tokens whose merge makes the token; None of a byte, and of a token that no merges reach."""
-        if token not in self.split:
-            parts = self.merged(self.token_bytes[token], 2)
-            self.split[token] = (self.ranks[parts[0]], self.ranks[parts[1]]) if len(parts) == 2 else None
-        return self.split[token]
-
-    def reached(self, token: int) -> bool:
-        return len(self.token_bytes[token]) == 1 or self.halves(token) is not None
-
     def follows(self, left: int, right: int) -> bool:
         """Whether the two tokens side by side stay as they are.
 
@@ -198,9 +177,9 @@ class Transducer:
         until one is merged away from the border; a merge across it with a lower
         rank would have come first (at equal ranks, the one more to the left).
         """
-        until, across, left_of, right_of = NEVER, self.across, self.left, self.right
+        until, ranks, token_bytes, left_of, right_of = NEVER, self.ranks, self.token_bytes, self.left, self.right
         while True:
-            if across.get(left << 32 | right, NEVER) < until:
+            if ranks.get(token_bytes[left] + token_bytes[right], NEVER) < until:
                 return False
             of_left, of_right = right_of[left], left_of[right]
             if of_left < 0 and of_right < 0:
@@ -215,7 +194,7 @@ class Transducer:
         pair = left << 32 | right
         fits = self.fits.get(pair)
         if fits is None:
-            if len(self.fits) >= CACHE * 2:
+            if len(self.fits) >= CACHE:
                 self.fits.clear()
             fits = self.fits[pair] = self.follows(left, right)
         return fits
@@ -223,13 +202,13 @@ class Transducer:
     def _move(self, state: int, byte: int) -> tuple[tuple, tuple]:
         """Tokens emitted, and the live paths of the state that follows."""
         live, whole = [], False
-        step, ends, inner, fits = self.step.get, self.ends, self.inner, self._fits
+        below, ends, fits = self.below, self.ends, self._fits
         known = self.paths.get(state)
         for out, last, node in self.older[1][state] if known is None else known:
-            node = step(node << 8 | byte)
+            node = below[node].get(byte)
             if node is None:
                 continue
-            if inner[node]:
+            if below[node]:
                 live.append((out, last, node))
             if whole:  # the bytes so far have one BPE form only
                 continue
@@ -308,7 +287,7 @@ class Transducer:
                 at = state << 8 | byte
                 asked = self.met.get(at, 0)
                 if asked < ASKED and at not in self.older[2] and len(piece) <= SEARCHED:
-                    if len(self.met) >= CACHE * 4:
+                    if len(self.met) >= CACHE:
                         self.met.clear()
                     self.met[at] = asked + 1
                     return self._searched(piece)
