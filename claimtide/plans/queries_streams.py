@@ -13,9 +13,10 @@ DELAY = "1 hour"
 
 
 def arrivals(spark, folder, table: str = "events"):
-    """A table's files as a stream."""
+    """A table's files as a stream, be it one file or a folder of them."""
     schema = getattr(Tables(spark, folder), table).schema
-    return streams.file_stream(spark, folder, schema, glob=f"{table}.parquet")
+    # a pattern, since a stream takes a plain path for a folder and would refuse a file
+    return streams.file_stream(spark, f"{folder}/{table}.parque[t]", schema)
 
 
 def events(spark, folder):

@@ -1,8 +1,12 @@
 """Streams over several landed batches: late rows, repeated keys, same end as batch."""
 
+import os
+
 import pytest
 from pyspark.sql import functions as F
 
+from claimtide.plans import load_all
+from claimtide.plans.catalog import QUERIES
 from claimtide.session import scratch_path
 from claimtide.streaming import streams
 
@@ -34,6 +38,20 @@ def test_late_rows_are_dropped_past_the_watermark(spark, path):
     assert got == [("2024-01-01", 1), ("2024-01-03", 1)]
 
 
+@pytest.mark.parametrize("files", [1, 3])
+def test_table_of_one_file_or_many_arrives_whole(spark, path, files):
+    """A table may be one file or a folder of part files."""
+    rows = [(i, [1.0, float(i)], i % 2) for i in range(6)]
+    spark.createDataFrame(rows, "vec_id long, embedding array<float>, label int").repartition(files).write.parquet(f"{path}/made")
+    spark.createDataFrame([(0, "a")], "id int, k string").write.parquet(f"{path}/other.parquet")
+    here = path.removeprefix("file:")
+    parts = [f for f in os.listdir(f"{here}/made") if f.endswith(".parquet")]
+    os.rename(f"{here}/made" if files > 1 else f"{here}/made/{parts[0]}", f"{here}/embeddings.parquet")
+    load_all()
+    got = QUERIES["X7_label_arrivals"](spark, path)
+    assert sorted(r["message_id"] for r in got.collect()) == [0, 1, 2, 3, 4, 5]
+
+
 def test_upsert_over_batches_equals_one_batch(spark, path):
     log = streams.UpsertLog(scratch_path(spark, "log"), "k", ["ts", "id"], ["v"], links="v")
     for batch in (
