@@ -80,13 +80,17 @@ def match_media(registry: DataFrame, publications: DataFrame) -> DataFrame:
     `registry`: (id, name, url, row_no); a spelling used twice belongs to the
     later row. `publications`: (name, ref); of several matching spellings the
     last rule wins. Both choices are maxima, so they combine before a shuffle.
+
+    A name is spelt out and looked up once, however many publications bear it.
+    The joins are merges by hint: a name is many spellings, which the size
+    Spark expects from the files leaves out, and none of them must be broadcast.
     """
     keys = registry.select("id", "row_no", F.explode(text.registry_keys("name", "url")).alias("key"))
     owner = keys.groupBy("key").agg(F.max_by("id", "row_no").alias("id"))
-    variants = publications.select(
-        "ref", "name", F.posexplode(text.publication_variants("name")).alias("rule", "key")
-    )
-    hits = variants.join(owner, "key")
+    names = publications.select("name").distinct()
+    variants = names.select("name", F.posexplode(text.publication_variants("name")).alias("rule", "key"))
+    found = variants.join(owner.hint("merge"), "key").groupBy("name").agg(F.max_by("id", "rule").alias("id"), F.max("rule").alias("rule"))
+    hits = publications.select("ref", "name").join(found.hint("merge"), "name")
     return hits.groupBy("ref").agg(
         F.max_by("name", "rule").alias("name"), F.max_by("id", "rule").alias("id"), F.max("rule").alias("rule")
     )

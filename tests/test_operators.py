@@ -323,6 +323,24 @@ def test_media_match_last_rule_wins(spark):
     assert rows(joins.match_media(registry, names), "ref", "id") == [("R1", 2), ("R3", 3)]
 
 
+def test_media_are_matched_without_broadcast(spark):
+    """Sizes of either side, as Spark expects them from small files, say nothing of how many spellings there are."""
+    registry = spark.createDataFrame(
+        [(1, "El Sol", "https://www.elsol.es/", 1), (2, "Madrid", "https://madrid.es/", 2)], "id int, name string, url string, row_no int"
+    )
+    names = spark.createDataFrame(
+        [("El Sol/Ed", "R1"), ("El Sol/Ed", "R2"), ("El Sol/Ed", "R2"), ("Otro", "R3"), (None, "R4"), ("Otro", None), ("Madrid - x", None)],
+        "name string, ref string",
+    )
+    found = joins.match_media(registry, names)
+    got = {tuple(r) for r in found.select("ref", "name", "id").collect()}
+    assert found.count() == 3 and got == {("R1", "El Sol/Ed", 1), ("R2", "El Sol/Ed", 1), (None, "Madrid - x", 2)}
+    without = sinks.names_without_match(names, found)
+    assert without.count() == 3 and {r["name"] for r in without.collect()} == {"Otro", None, "Madrid - x"}
+    for df in (found, without):
+        assert "Broadcast" not in df._jdf.queryExecution().executedPlan().toString()
+
+
 def test_refilter_is_case_sensitive(spark):
     news = spark.createDataFrame([(1, "Lava en La Palma"), (1, "LAVA"), (2, "Lava")], "fact_id int, Title string")
     features = spark.createDataFrame([(1, ["Lava", "sol"])], "fact_id int, keywords array<string>")
