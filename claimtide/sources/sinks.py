@@ -96,12 +96,16 @@ def write_tables(tables: dict[str, DataFrame], path: str) -> dict[str, str]:
     return paths
 
 
+def names_without_match(publications: DataFrame, matches: DataFrame) -> DataFrame:
+    """Distinct names of publications that no match refers to; a merge by hint, as neither side is bounded."""
+    return publications.join(matches.hint("merge"), "ref", "left_anti").select("name").distinct()
+
+
 def write_match_result(publications: DataFrame, matches: DataFrame, path: str) -> tuple[str, str]:
     """Matched (ref, id) as CSV and the names without a match as text."""
     matched, unmatched = f"{path}/matched", f"{path}/unmatched"
     matches.select("ref", "id").write.mode("overwrite").csv(matched)
-    names = publications.join(matches, "ref", "left_anti").select("name").distinct()
-    names.write.mode("overwrite").text(unmatched)
+    names_without_match(publications, matches).write.mode("overwrite").text(unmatched)
     return matched, unmatched
 
 
