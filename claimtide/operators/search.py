@@ -223,6 +223,36 @@ def phrase_search(hits: DataFrame, features: DataFrame, messages: DataFrame, tex
     )
 
 
+def runs_of(words, length: int) -> Column:
+    """All runs of `length` consecutive words, joined by one blank."""
+    words = F.col(words) if isinstance(words, str) else words
+    if length == 1:
+        return words
+    starts = F.slice(words, 1, F.greatest(F.size(words) - (length - 1), F.lit(0)))
+    return F.transform(starts, lambda w, i: F.concat_ws(" ", w, *[F.get(words, i + k) for k in range(1, length)]))
+
+
+def phrase_table(messages: DataFrame, text: Column, asked: DataFrame) -> DataFrame:
+    """(message_id, date, word, copies): asked phrases that stand in a message, each once.
+
+    `asked`: (word), phrases of words joined by one blank; `text` has one blank
+    between words, so a phrase stands where it is a run of words. message_id is
+    a struct of the id and a hash of the text, since rows of one id may differ;
+    `copies` is the number of equal rows.
+    """
+    if "date" not in messages.columns:
+        messages = messages.withColumn("date", F.lit(None).cast("timestamp"))
+    # one number per length of a phrase
+    lengths = sorted(r[0] for r in asked.select(F.size(F.split("word", " "))).distinct().collect())
+    cut = messages.select("message_id", "date", text.alias("_text")).where(F.col("message_id").isNotNull())
+    cut = cut.select("message_id", "date", F.xxhash64("_text").alias("hash"), F.split("_text", " ").alias("_words"))
+    runs = F.array_distinct(F.concat(F.array().cast("array<string>"), *[runs_of("_words", n) for n in lengths]))
+    key = F.struct("message_id", "hash").alias("message_id")
+    # outer, since the plain form adds a filter that would cut the words once more
+    unfolded = cut.select(key, "date", F.explode_outer(runs).alias("word")).where(F.col("word").isNotNull())
+    return unfolded.join(asked, "word", "left_semi").groupBy("message_id", "date", "word").agg(F.count("*").alias("copies"))
+
+
 def claim_search(
     features: DataFrame,
     messages: DataFrame,
@@ -234,32 +264,24 @@ def claim_search(
 ) -> DataFrame:
     """Search with keywords of one or more words.
 
-    A message with `need` of n phrases has one of the n - need + 1 rarest, and
-    so the rarest word of it; a phrase is as rare as its rarest word. Only
-    those words are probed, and the messages found are checked for whole
-    phrases. Claims with fewer phrases find nothing, or need all with
-    short='all'. `features`: (fact_id, keywords[, claim_date]), one row a claim.
+    Asked phrases are looked for in each message as runs of its words, so a text
+    is cut once and only what stands in it goes on; phrases then are searched
+    like words, by the rarest of each claim. Claims with fewer phrases find
+    nothing, or need all with short='all'. `features`: (fact_id, keywords
+    [, claim_date]); `text` is made of `tokens` joined by one blank. Equal rows
+    of a claim or a message come out as often as they went in.
     """
     dates = ["claim_date"] if days else []
     n = F.size("keywords")
     wanted = F.when(n >= need, F.lit(need)).otherwise(n if short == "all" else F.lit(0))
     claims = features.withColumn("keywords", F.array_distinct("keywords"))
-    claims = claims.select("fact_id", *dates, "keywords", wanted.alias("need")).where(F.col("need") > 0)
-    claims = stored(claims, "claims")
-    phrases = claims.select("fact_id", "need", n.alias("n"), F.posexplode("keywords").alias("phrase", "k"))
-    parts = phrases.withColumn("word", F.explode(F.array_distinct(F.split("k", " ")))).drop("k")
-    words = token_table(messages, tokens).join(parts.select("word").distinct(), "word", "left_semi")
-    words = stored(words, "words")
-    counted = parts.join(words.groupBy("word").agg(F.count("*").alias("f")), "word", "left")
-    rarest = counted.groupBy("fact_id", "need", "n", "phrase").agg(
-        F.min(F.struct(F.coalesce("f", F.lit(0)).alias("f"), "word")).alias("r")
-    )
-    # a claim's window holds its own few phrases
-    order = F.row_number().over(W.partitionBy("fact_id").orderBy("r.f", "phrase"))
-    probed = rarest.withColumn("_at", order).where(F.col("_at") <= F.col("n") - F.col("need") + 1)
-    units = probed.groupBy("fact_id").agg(F.collect_set("r.word").alias("keywords"))
-    units = units.withColumns({"unit": F.lit(0), "need": F.lit(1)})
-    if days:
-        units = units.join(claims.select("fact_id", *dates), "fact_id")
-    hits = match_units(units, words, days)
-    return phrase_search(hits, claims, messages, text, need)
+    claims = claims.select("fact_id", *dates, "keywords", wanted.alias("need")).where((F.col("need") > 0) & F.col("fact_id").isNotNull())
+    claims = claims.groupBy("fact_id", *dates, "keywords", "need").agg(F.count("*").alias("copies"))
+    claims = stored(claims.withColumn("unit", F.monotonically_increasing_id()), "claims")
+    asked = claims.select(F.explode("keywords").alias("word")).where(F.col("word").isNotNull()).distinct()
+    found = stored(phrase_table(messages, text, stored(asked, "phrases")), "found")
+    hits = match_units(claims.drop("copies"), found.drop("copies"), days)
+    rows = found.groupBy("message_id", "word").agg(F.sum("copies").alias("n")).groupBy("message_id").agg(F.max("n").alias("n"))
+    hits = hits.join(claims.select("fact_id", "unit", "copies"), ["fact_id", "unit"]).join(rows, "message_id")
+    each = F.explode(F.array_repeat(F.col("message_id.message_id"), (F.col("copies") * F.col("n")).cast("int"))).alias("message_id")
+    return hits.select("fact_id", each, F.col("matched").cast("int").alias("matched"))

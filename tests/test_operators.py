@@ -5,13 +5,16 @@ import math
 import random
 
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
+from claimtide import plugins
 from claimtide.operators import (
     aggregates,
     entities,
     filters,
+    index,
     joins,
     keyed,
     keywords,
@@ -24,6 +27,7 @@ from claimtide.operators import (
     statistics,
     threads,
 )
+from claimtide.session import scratch_path, stored
 from claimtide.sources import sinks
 
 
@@ -323,6 +327,73 @@ def test_media_match_last_rule_wins(spark):
     assert rows(joins.match_media(registry, names), "ref", "id") == [("R1", 2), ("R3", 3)]
 
 
+def held_rows(monkeypatch):
+    """Rows of each table named 'hits' that a search stores."""
+    seen = []
+
+    def counted(df, label="table"):
+        kept = stored(df, label)
+        if label == "hits":
+            seen.append(kept.count())
+        return kept
+
+    for module in (search, index):
+        monkeypatch.setattr(module, "stored", counted)
+    return seen
+
+
+def phrase_case(spark):
+    """Claims whose words stand in all messages, and whose phrases stand in one."""
+    claims = spark.createDataFrame([(i, ["a b", "c d e", "a b"]) for i in range(6)], "fact_id int, keywords array<string>")
+    texts = ["b a e d c"] * 9 + ["a b x c d e"]
+    return claims, spark.createDataFrame([(i, t, "2024-01-01") for i, t in enumerate(texts)], "message_id int, text string, date string")
+
+
+def test_phrase_search_meets_only_messages_with_phrases(spark, monkeypatch):
+    claims, messages = phrase_case(spark)
+    seen = held_rows(monkeypatch)
+    found = search.claim_search(claims, messages, F.split("text", " "), F.col("text"), need=2)
+    assert rows(found, "fact_id", "message_id", "matched") == [(i, 9, 2) for i in range(6)]
+    # a claim's one probe at most, in the one message with a phrase
+    assert seen and max(seen) <= 6
+
+
+def test_phrase_search_keeps_equal_rows_and_rows_of_one_id(spark):
+    claims = spark.createDataFrame([(1, ["a b"]), (1, ["a b"])], "fact_id int, keywords array<string>")
+    messages = spark.createDataFrame([(7, "a b"), (7, "a b"), (7, "b a"), (7, "x a b"), (None, "a b"), (8, None)], "message_id int, text string")
+    found = search.claim_search(claims, messages, F.split("text", " "), F.col("text"), need=1)
+    assert rows(found, "fact_id", "message_id", "matched") == [(1, 7, 1)] * 6
+
+
+def test_phrase_index_meets_only_messages_with_phrases(spark, monkeypatch):
+    claims, messages = phrase_case(spark)
+    built = index.PhraseIndex(spark, scratch_path(spark, "index"))
+    built.add("one", messages, F.split("text", " "))
+    seen = held_rows(monkeypatch)
+    found = built.search(claims, 2)
+    assert rows(found, "fact_id", "message_id", "matched") == [(i, 9, 2) for i in range(6)]
+    assert seen and max(seen) <= 6
+
+
+def test_tags_leave_in_pieces():
+    """A worker never holds the tags of all texts of a batch."""
+    texts = pd.Series(["x " * 15_000] * 4)
+    parts = list(plugins._tagged(pd.Series(range(4)), texts, lambda t: [("T", w) for w in t.split()], ["id", "tag", "word"]))
+    assert sum(len(p) for p in parts) == 60_000 and max(len(p) for p in parts) <= plugins.TAGS_AT_ONCE
+
+
+def test_pairs_of_restrictive_text_are_made_once(spark):
+    from claimtide.plans import load_all
+    from claimtide.plans.catalog import QUERIES
+
+    load_all()
+    folder = scratch_path(spark, "texts")
+    spark.createDataFrame([(1, "abcdefgh1 abcdefgh2 abcdefgh3 abcdefgh4 abcdefgh5")], "doc_id long, text string").write.parquet(f"{folder}/documents.parquet")
+    df = QUERIES["F10_restrictive_text"](spark, folder)
+    assert rows(df, "query") == [("(abcdefgh1 AND abcdefgh2) OR (abcdefgh3 AND abcdefgh4) AND (abcdefgh1 AND abcdefgh2)",)]
+    assert df._jdf.queryExecution().optimizedPlan().toString().count("slice(") == 1
+
+
 def test_media_are_matched_without_broadcast(spark):
     """Sizes of either side, as Spark expects them from small files, say nothing of how many spellings there are."""
     registry = spark.createDataFrame(
