@@ -221,7 +221,8 @@ def query_text(spark, folder):
 def restrictive_text(spark, folder):
     df = long_words(Tables(spark, folder))
     pairs = F.filter(F.transform("k", lambda _, i: F.slice("k", 2 * i + 1, F.lit(2))), lambda p: F.size(p) == 2)
-    return df.select("doc_id", search.restrictive_text(pairs).alias("query"))
+    # a column of its own, else every pair would be looked up in pairs made anew
+    return df.select("doc_id", pairs.alias("pairs")).select("doc_id", search.restrictive_text(F.col("pairs")).alias("query"))
 
 
 # Sorted words over five letters of each claim, all of them.
