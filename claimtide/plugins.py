@@ -3,11 +3,15 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from itertools import islice
 
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+#: Rows a tagger's worker gives out at once.
+TAGS_AT_ONCE = 20_000
+
 
 def vectors_by(
     texts: DataFrame, id_: str, text: str, load: Callable[[], Callable[[pd.Series], pd.Series]]
@@ -28,19 +32,26 @@ def vectors_by(
     return keyed.join(vectors, ["_h", text]).select(id_, "vector")
 
 
+def _tagged(ids: pd.Series, texts: pd.Series, tagger: Callable, columns: list[str]) -> Iterator[pd.DataFrame]:
+    found = ((key, tag, word) for key, value in zip(ids, texts) for tag, word in tagger(value))
+    while rows := list(islice(found, TAGS_AT_ONCE)):
+        yield pd.DataFrame(rows, columns=columns)
+
+
 def tags_by(
     texts: DataFrame, id_: str, text: str, load: Callable[[], Callable[[str], list[tuple[str, str]]]]
 ) -> DataFrame:
-    """(id, tag, word) from a tagger loaded once per task, batch by batch."""
+    """(id, tag, word) from a tagger loaded once per task, batch by batch.
+
+    What is found goes out every TAGS_AT_ONCE rows, so a worker holds one batch
+    of texts and the tags of few of them, however many a batch has.
+    """
     kind = texts.schema[id_].dataType.simpleString()
 
     def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         tagger = load()
         for part in parts:
-            found = [
-                (key, tag, word) for key, value in zip(part[id_], part[text]) for tag, word in tagger(value)
-            ]
-            yield pd.DataFrame(found, columns=[id_, "tag", "word"])
+            yield from _tagged(part[id_], part[text], tagger, [id_, "tag", "word"])
 
     return texts.select(id_, text).mapInPandas(run, f"{id_} {kind}, tag string, word string")
 
