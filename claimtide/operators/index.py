@@ -9,11 +9,10 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import Window as W
 
 from ..session import stored
 from ..sources.versions import VersionedTables
-from .skew import hot_keys, salted_join
+from .search import match_units
 
 BUCKETS = 64
 
@@ -68,9 +67,8 @@ class PhraseIndex:
         with short='all'. With `days` = (before, after), only messages of so many
         whole days around the claim's.
 
-        A message with `need` of n phrases has one of the n - need + 1 rarest, and
-        so the rarest word of that phrase: only those words are probed. What they
-        find is checked by the places of all asked words in the message.
+        A phrase grows word by word: the places of its first words, then those
+        of the next word one place on. What is whole then is searched like a word.
         """
         if self.tables.table("postings") is None:
             empty = features.select("fact_id").limit(0)
@@ -81,36 +79,31 @@ class PhraseIndex:
         n = F.size("k")
         wanted = F.when(n >= need, F.lit(need)).otherwise(n if short == "all" else F.lit(0))
         claims = claims.withColumn("need", wanted).where("need > 0")
-        asked = claims.select("fact_id", *dates, "need", n.alias("n"), F.posexplode("k").alias("phrase", "k"))
-        asked = stored(asked.select("*", F.posexplode(F.split("k", " ")).alias("i", "word")).drop("k"), "phrases")
-        postings = stored(self.postings_of(asked), "postings")
-
-        counts = self.tables.table("frequencies").join(asked.select("word").distinct(), "word", "left_semi")
-        frequency = counts.groupBy("word").agg(F.sum("n").alias("f"))
-        rated = asked.join(frequency, "word", "left")
-        rarest = rated.groupBy("fact_id", *dates, "need", "n", "phrase").agg(F.min(F.struct(F.coalesce("f", F.lit(0)).alias("f"), "word")).alias("r"))
-        # a claim's window holds its own phrases
-        rank = F.row_number().over(W.partitionBy("fact_id").orderBy("r.f", "phrase"))
-        probed = rarest.withColumn("_rank", rank).where(F.col("_rank") <= F.col("n") - F.col("need") + 1).where("r.f > 0")
-        probes = probed.select("fact_id", *dates, F.col("r.word").alias("word")).distinct()
-        if days:
-            reach = F.sequence(F.date_add(F.to_date("claim_date"), -days[0]), F.date_add(F.to_date("claim_date"), days[1]))
-            probes = probes.select("fact_id", "word", F.explode(reach).alias("day"))
-            keys, busy = ["word", "day"], counts.groupBy("word", "day").agg(F.sum("n").alias("n"))
-        else:
-            keys, busy = ["word"], frequency.withColumnRenamed("f", "n")
-        hits = salted_join(postings.select("word", "day", "message_id"), probes, keys, ["message_id"], hot_keys(busy, keys))
-        hits = stored(hits.select("fact_id", "message_id").distinct(), "hits")
-
-        # words meet their messages by message; a phrase stands where all its words, each put back by its place in the phrase, agree
-        words = postings.join(hits.select("message_id").distinct(), "message_id", "left_semi").select("message_id", "word", "places")
-        lengths = asked.groupBy("fact_id", "need", "phrase").agg(F.count("*").alias("size"), F.collect_list(F.struct("i", "word")).alias("parts"))
-        parts = hits.join(lengths, "fact_id").select("fact_id", "need", "message_id", "phrase", "size", F.explode("parts").alias("part"))
-        met = parts.select("*", "part.*").drop("part").join(words, ["message_id", "word"])
-        begun = F.transform("places", lambda p: p - F.col("i"))
-        starts = met.groupBy("fact_id", "need", "message_id", "phrase", "size").agg(F.collect_list(begun).alias("starts"))
-        # lists as long as a phrase, of places in one message
-        common = F.aggregate(F.slice("starts", 2, F.greatest(F.col("size") - 1, F.lit(0)).cast("int")), F.get("starts", F.lit(0)), F.array_intersect)
-        whole = starts.where(F.size("starts") == F.col("size")).where(F.size(common) > 0)
-        found = whole.groupBy("fact_id", "need", "message_id").agg(F.count("*").alias("matched"))
-        return found.where("matched >= need").select("fact_id", "message_id", "matched")
+        # equal claims are one
+        claims = stored(claims.withColumnRenamed("k", "keywords").distinct().withColumn("unit", F.monotonically_increasing_id()), "claims")
+        asked = claims.select(F.explode("keywords").alias("phrase")).distinct().select("phrase", F.split("phrase", " ").alias("words"))
+        found = stored(self._places_of(stored(asked, "phrases")), "found")
+        hits = match_units(claims, found, days)
+        return hits.groupBy("fact_id", "message_id").agg(F.max("matched").alias("matched"))
+
+    def _places_of(self, asked: DataFrame) -> DataFrame:
+        """(word, message_id, date): messages in which all words of an asked phrase (phrase, words) follow each other."""
+        longest = asked.agg(F.max(F.size("words"))).first()[0] or 1
+        postings = self.postings_of(asked.select(F.explode("words").alias("word")))
+        placed = stored(postings.select("message_id", "day", "word", F.explode(F.array_distinct("places")).alias("place")), "places")
+        whole = asked.select("phrase", F.size("words").alias("size"))
+        # beginnings of asked phrases, so a run of words goes on only as long as one of them does
+        begun = asked.select(F.explode(F.transform("words", lambda _, i: F.array_join(F.slice("words", 1, i + 1), " "))).alias("run")).distinct()
+        begun = stored(begun, "begun")
+        # a message's places of one day; a message of several rows may have more than one word there
+        runs = placed.withColumnRenamed("word", "run").join(begun, "run", "left_semi").distinct()
+        out = None
+        for size in range(1, longest + 1):
+            if size > 1:
+                after = placed.select("message_id", "word", (F.col("place") - (size - 1)).alias("place")).distinct()
+                longer = runs.join(after, ["message_id", "place"]).select("message_id", "day", "place", F.concat_ws(" ", "run", "word").alias("run"))
+                runs = stored(longer.join(begun, "run", "left_semi"), "runs")
+            done = runs.join(whole.where(F.col("size") == size).select(F.col("phrase").alias("run")), "run", "left_semi")
+            done = done.select(F.col("run").alias("word"), "message_id", F.col("day").alias("date")).distinct()
+            out = done if out is None else out.unionByName(done)
+        return out
