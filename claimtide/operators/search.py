@@ -125,6 +125,24 @@ def token_table(messages: DataFrame, tokens: Column, message_id: str = "message_
     return cut.select(message_id, "date", F.explode_outer("words").alias("word")).where(F.col("word").isNotNull())
 
 
+def days_around(claim_date: str, days: tuple[int, int]) -> Column:
+    """The whole days a claim's window reaches."""
+    before, after = days
+    day = F.to_date(claim_date)
+    return F.sequence(F.date_add(day, -before), F.date_add(day, after))
+
+
+def within_reach(messages: DataFrame, claims: DataFrame, days: tuple[int, int]) -> DataFrame:
+    """Messages of days that some claim (claim_date) reaches; others need not be cut into words.
+
+    Different days are as few as the calendar has, so they may be broadcast.
+    """
+    # outer, since the plain form adds a filter that would make the days once more
+    reached = claims.select(F.explode_outer(days_around("claim_date", days)).alias("_day")).where(F.col("_day").isNotNull())
+    dated = messages.withColumn("_day", F.to_date("date"))
+    return dated.join(F.broadcast(reached.distinct()), "_day", "left_semi").drop("_day")
+
+
 def match_units(units: DataFrame, words: DataFrame, days: tuple[int, int] | None = None) -> DataFrame:
     """Messages holding at least `need` distinct keywords of a unit.
 
@@ -153,10 +171,7 @@ def match_units(units: DataFrame, words: DataFrame, days: tuple[int, int] | None
     probes = probes.join(units.select(*carried), ["fact_id", "unit"])
     if days:
         # word and day together: a busy word only meets claims whose window it is in
-        before, after = days
-        claim_day = F.to_date("claim_date")
-        reach = F.sequence(F.date_add(claim_day, -before), F.date_add(claim_day, after))
-        probes = probes.withColumn("_day", F.explode(reach))
+        probes = probes.withColumn("_day", F.explode(days_around("claim_date", days)))
         dated = known.withColumn("_day", F.to_date("date"))
         busy = dated.groupBy("word", "_day").agg(F.count("*").alias("n"))
         hits = salted_join(dated, probes, ["word", "_day"], ["message_id"], hot_keys(busy, ["word", "_day"]))

@@ -110,9 +110,10 @@ class DailyRun:
     def message_hits(self, due: DataFrame, messages: DataFrame, tokens: Column) -> DataFrame:
         """(fact_id, message_id, date) of messages with three keywords of a claim, so many a day; few keywords: all of them."""
         s = self.settings
-        words = search.token_table(messages, tokens)
+        days = (s.days_before, s.days_after)
         asked = due.select("fact_id", "keywords", F.col("date").alias("claim_date"))
-        hits = search.keyword_search(asked, words, short="all", days=(s.days_before, s.days_after))
+        words = search.token_table(search.within_reach(messages, asked, days), tokens)
+        hits = search.keyword_search(asked, words, short="all", days=days)
         dated = hits.select("fact_id", "message_id").join(messages.select("message_id", "date"), "message_id")
         capped = keyed.cap_per_key(dated.withColumn("_day", F.to_date("date")), ["fact_id", "_day"], ["message_id"], s.messages_per_day)
         return capped.select("fact_id", "message_id", "date")
@@ -124,9 +125,10 @@ class DailyRun:
         is left out, as windows start at the claim's own time.
         """
         s = self.settings
-        words = search.token_table(news.withColumnRenamed("news_id", "message_id"), tokens)
+        days = (s.days_before, s.days_after - 1)
         asked = due.select("fact_id", "keywords", F.col("date").alias("claim_date"))
-        hits = search.keyword_search(asked, words, limit=s.news_keywords, drop_query_words=False, days=(s.days_before, s.days_after - 1))
+        words = search.token_table(search.within_reach(news, asked, days).withColumnRenamed("news_id", "message_id"), tokens)
+        hits = search.keyword_search(asked, words, limit=s.news_keywords, drop_query_words=False, days=days)
         found = hits.select("fact_id", F.col("message_id").alias("news_id")).join(news.select("news_id", "date"), "news_id")
         found = stored(found.withColumn("_day", F.to_date("date")), "found-news")
         totals = found.groupBy("fact_id", "_day").agg(F.count("*").alias("query_output"))

@@ -474,7 +474,9 @@ def daily_tables(spark, folder) -> VersionedTables:
     """Two days, each started twice, the second once more under another name."""
     t = Tables(spark, folder)
     first = F.lit("2024-01-01").cast("date")
+    # texts of claims only, so that the others are not shuffled
     reviews = t.documents.select(F.col("doc_id").alias("fact_id"), F.col("text").alias("review"))
+    reviews = reviews.join(t.benchmark.select(F.col("item_id").alias("fact_id")), "fact_id", "left_semi")
     claims = t.benchmark.select(
         F.col("item_id").alias("fact_id"),
         F.col("text").alias("claim"),

@@ -441,6 +441,15 @@ def test_caps_are_cut_before_the_shuffle(spark):
     assert "WindowGroupLimit" in plan
 
 
+def test_within_reach_leaves_far_days_out(spark):
+    claims = spark.createDataFrame([("2024-01-10 23:00:00",), ("2024-02-10 01:00:00",), (None,)], "claim_date string").withColumn("claim_date", F.col("claim_date").cast("timestamp"))
+    days = ["2024-01-08", "2024-01-09", "2024-01-11", "2024-01-12", "2024-02-09", "2024-02-11", None]
+    messages = spark.createDataFrame([(i, d) for i, d in enumerate(days)], "message_id int, date string").withColumn("date", F.col("date").cast("timestamp"))
+    kept = search.within_reach(messages.unionByName(messages), claims, (1, 1))
+    assert kept.columns == ["message_id", "date"]
+    assert sorted(r.message_id for r in kept.collect()) == [1, 1, 2, 2, 4, 4, 5, 5]
+
+
 def test_cooccurrence_by_hand(spark):
     sentences = ["a b c a", "b a", "", "x", "a, b!"]
     counts = {}
