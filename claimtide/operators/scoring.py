@@ -18,20 +18,24 @@ def hashed_vectors(
     """(id, vector) by hashed word counts weighted by inverse document frequency.
 
     Default producer of vectors; others plug in as a table of the same shape.
-    A word's slot comes from `hashed` over a column named `word`.
+    A word's slot comes from `hashed` over a column named `word`. Texts are cut
+    into words once: the counts of each text are stored, and both frequencies
+    and vectors come from them.
     """
     slot = F.pmod(F.xxhash64("word") if hashed is None else hashed, F.lit(size)).cast("int")
     # outer, since the plain form adds a filter that would cut the words once more
     words = texts.select(id_, F.explode_outer(tokens).alias("word")).where(F.col("word").isNotNull())
     counts = words.groupBy(id_, slot.alias("slot")).agg(F.count("*").alias("tf"))
-    total = texts.agg(F.count("*")).scalar()
-    frequency = counts.groupBy("slot").agg(F.count("*").alias("df"))  # at most `size` rows
-    weighted = counts.join(F.broadcast(frequency), "slot")
-    weight = F.col("tf") * F.log((total + 1) / (F.col("df") + 1))
     # one text's slots, at most `size` of them
-    rows = weighted.groupBy(id_).agg(F.map_from_entries(F.collect_list(F.struct("slot", weight))).alias("m"))
-    filled = F.transform(F.sequence(F.lit(0), F.lit(size - 1)), lambda i: F.coalesce(F.col("m")[i], F.lit(0.0)))
-    return rows.select(id_, filled.alias("vector"))
+    rows = stored(counts.groupBy(id_).agg(F.map_from_entries(F.collect_list(F.struct("slot", "tf"))).alias("tf")), "counts")
+    total = texts.agg(F.count("*")).scalar()
+    frequency = rows.select(F.explode(F.map_keys("tf")).alias("slot")).groupBy("slot").agg(F.count("*").alias("df"))
+    weight = F.log((total + 1) / (F.col("df") + 1))
+    # one row of at most `size` slots
+    weights = frequency.agg(F.map_from_entries(F.collect_list(F.struct("slot", weight))).alias("idf"))
+    slots = F.sequence(F.lit(0), F.lit(size - 1))
+    filled = F.transform(slots, lambda i: F.coalesce(F.col("tf")[i] * F.col("idf")[i], F.lit(0.0)))
+    return rows.crossJoin(F.broadcast(weights)).select(id_, filled.alias("vector"))
 
 
 def score_pairs(

@@ -570,6 +570,25 @@ def test_vectors_of_equal_text_are_equal(spark):
     assert vectors[1] == vectors[2] != vectors[3] and len(vectors[1]) == 16
 
 
+def test_vectors_by_hand(spark):
+    """Rows of one id count as one text, null ids too; texts are cut once, so vectors need no second look at them."""
+    texts = [(1, "sol y agua"), (1, "sol"), (None, "y"), (None, "sal"), (3, None), (4, ""), (5, "agua agua")]
+    df = spark.createDataFrame(texts, "id int, t string")
+    slot = F.length("word")
+    counts = {}
+    for i, t in texts:
+        for w in (t.split(" ") if t is not None else []):
+            counts.setdefault(i, {}).setdefault(len(w) % 4, []).append(w)
+    found = scoring.hashed_vectors(df, "id", F.split("t", " "), 4, slot)
+    got = {r["id"]: r["vector"] for r in found.collect()}
+    assert set(got) == set(counts) == {1, None, 4, 5}
+    for i, own in counts.items():
+        df_of = {s: sum(s in c for c in counts.values()) for s in own}
+        assert got[i] == pytest.approx([len(own[s]) * math.log((len(texts) + 1) / (df_of[s] + 1)) if s in own else 0.0 for s in range(4)])
+    assert "split(" not in found._jdf.queryExecution().optimizedPlan().toString()
+    assert scoring.hashed_vectors(df.limit(0), "id", F.split("t", " "), 4).count() == 0
+
+
 def test_model_without_both_classes_has_no_threshold(spark):
     data = [("one", 0.1, 1, 1.0), ("one", 0.4, 1, 1.0), ("two", 0.1, 0, 0.0), ("two", 0.9, 1, 1.0)]
     df = spark.createDataFrame(data, "model string, score double, target int, ordinal double")
