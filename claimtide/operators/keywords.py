@@ -63,5 +63,6 @@ def select_keywords_first_words(features: DataFrame, maximum: int = 5, name: str
 
 def keyword_pairs(features: DataFrame, keywords: str = "keywords") -> DataFrame:
     """(fact_id, a, b) for each two keywords, a before b."""
-    first = features.select("fact_id", F.col(keywords).alias("k"), F.explode(keywords).alias("a"))
-    return first.select("fact_id", "a", F.explode("k").alias("b")).where(F.col("a") < F.col("b"))
+    # outer, since the plain form adds filters that would choose the keywords once more
+    first = features.select("fact_id", F.col(keywords).alias("k"), F.explode_outer(keywords).alias("a"))
+    return first.select("fact_id", "a", F.explode_outer("k").alias("b")).where(F.col("a") < F.col("b"))

@@ -465,6 +465,15 @@ def test_cooccurrence_by_hand(spark):
     )
 
 
+def test_keyword_pairs_choose_keywords_once(spark):
+    features = spark.range(3).select(F.col("id").alias("fact_id"), F.expr("array_remove(split('b a ' || id, ' '), '2')").alias("keywords"))
+    pairs = keywords.keyword_pairs(features)
+    assert rows(pairs, "fact_id", "a", "b") == [(0, "0", "a"), (0, "0", "b"), (0, "a", "b"), (1, "1", "a"), (1, "1", "b"), (1, "a", "b"), (2, "a", "b")]
+    assert pairs._jdf.queryExecution().executedPlan().toString().count("array_remove") == 1
+    none = spark.createDataFrame([(1, None), (2, []), (3, ["a", None])], "fact_id int, keywords array<string>")
+    assert keywords.keyword_pairs(none).count() == 0
+
+
 def test_rare_pairs_strict_keeps_all(spark):
     pairs = spark.createDataFrame([(1, "Sol", "agua")], "fact_id int, a string, b string")
     counts = spark.createDataFrame([("agua", "sol", 31)], "w1 string, w2 string, counts bigint")
