@@ -119,14 +119,18 @@ def before_first_dot(c) -> Column:
     return F.split(_column(c), r"\.")[0]
 
 
+def bare_words(c) -> Column:
+    """Lower-case text without ASCII punctuation, its white space turned to blanks."""
+    return F.translate(F.lower(_column(c)), WHITESPACE + PUNCTUATION, " " * len(WHITESPACE))
+
+
 def corpus_tokens(c) -> Column:
     """Lower-case words with ASCII punctuation removed.
 
     One pass turns white space to blanks and deletes punctuation, so the split
     needs no pattern.
     """
-    bare = F.translate(F.lower(_column(c)), WHITESPACE + PUNCTUATION, " " * len(WHITESPACE))
-    return F.array_remove(F.split(bare, " "), "")
+    return F.array_remove(F.split(bare_words(c), " "), "")
 
 
 def title_tokens(c) -> Column:

@@ -2,12 +2,21 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import text, times
 from . import ranking
 
+#: Words whose pairs a task counts together, bytes of lines cut into words at once, and rows of a batch of counts.
+PAIRED_WORDS = 1 << 22
+PAIRED_BYTES = 1 << 25
+PAIRED_ROWS = 1 << 16
 METRICS = ["retweet_count", "reply_count", "like_count", "quote_count", "impression_count"]
 
 
@@ -153,21 +162,65 @@ def label_table(counts: DataFrame, label: str, columns: list[str]) -> DataFrame:
 def cooccurrence(sentences: DataFrame, sentence: str = "sentence", window: int = 2, minimum: int = 10) -> DataFrame:
     """Unordered word pairs within the next `window` words, above a minimum count.
 
-    Pairs are made and put in order inside the row and unfolded once; only pair
-    counts are shuffled, and they are summed per task first.
+    Tasks count the pairs of some PAIRED_WORDS words at a time as numbers, so a
+    pair is spelt out once for all its places there; only these counts are
+    shuffled, and Spark sums them.
     """
-    tokens = sentences.select(text.corpus_tokens(sentence).alias("t"))
-
-    def with_next(k: int) -> F.Column:
-        n = F.greatest(F.size("t") - k, F.lit(0))
-        return F.zip_with(
-            F.slice("t", 1, n), F.slice("t", k + 1, n), lambda a, b: F.struct(F.least(a, b).alias("w1"), F.greatest(a, b).alias("w2"))
-        )
-
-    # outer, since the plain form adds a filter that would cut the words once more
-    pairs = tokens.select(F.explode_outer(F.concat(*[with_next(k) for k in range(1, window + 1)])).alias("p")).where(F.col("p").isNotNull())
-    counts = pairs.groupBy("p.w1", "p.w2").agg(F.count("*").alias("counts"))
-    return counts.where(F.col("counts") > minimum)
+    bare = sentences.select(text.bare_words(sentence).alias("bare")).where(F.col("bare").isNotNull())
+    schema = pa.schema([("pair", pa.string()), ("n", pa.int64())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[tuple[pa.Array, np.ndarray]] = []
+        size = 0
+        for batch in batches:
+            for words, line in _words_of_lines(batch.column(0)):
+                held.append((words, line + (held[-1][1][-1] + 1 if held else 0)))
+                size += len(words)
+                if size >= PAIRED_WORDS:
+                    yield from _pair_counts(held, window, schema)
+                    held, size = [], 0
+        if held:
+            yield from _pair_counts(held, window, schema)
+
+    # words hold no blank, so two of them joined by one are a single key; tasks have
+    # summed what they can, so pairs are dealt before Spark sums
+    counted = bare.mapInArrow(run, "pair string, n long").repartition("pair")
+    counts = counted.groupBy("pair").agg(F.sum("n").alias("counts"))
+    both = F.split("pair", " ")
+    return counts.where(F.col("counts") > minimum).select(both[0].alias("w1"), both[1].alias("w2"), "counts")
+
+
+def _words_of_lines(lines: pa.Array) -> Iterator[tuple[pa.Array, np.ndarray]]:
+    """Words of lines of bare text, and the number of the line each is in, some PAIRED_BYTES at a time."""
+    sizes = pc.binary_length(lines).to_numpy(zero_copy_only=False).astype(np.int64)
+    part = np.cumsum(sizes) // PAIRED_BYTES
+    cuts = [0, *(np.flatnonzero(np.diff(part)) + 1).tolist(), len(lines)]
+    for low, high in zip(cuts, cuts[1:]):
+        split = pc.split_pattern(lines.slice(low, high - low), " ")
+        words, line = pc.list_flatten(split), pc.list_parent_indices(split).to_numpy()
+        real = pc.binary_length(words).to_numpy() > 0
+        if real.any():
+            yield words.filter(pa.array(real)), line[real]
+
+
+def _pair_counts(held: list[tuple[pa.Array, np.ndarray]], window: int, schema: pa.Schema) -> Iterator[pa.RecordBatch]:
+    """Pairs of words of one line at most `window` places apart, the smaller word first, with their counts."""
+    coded = pa.concat_arrays([words for words, _ in held]).dictionary_encode()
+    line = np.concatenate([numbers for _, numbers in held])
+    # the order of bytes, as Spark's least and greatest go by
+    order = pc.array_sort_indices(coded.dictionary.cast(pa.binary()))
+    rank = np.empty(len(order), np.int64)
+    rank[order.to_numpy()] = np.arange(len(order))
+    words, code = coded.dictionary.take(order), rank[coded.indices.to_numpy()]
+    keys = []
+    for k in range(1, window + 1):
+        a, b = code[:-k], code[k:]
+        keys.append((np.minimum(a, b) * len(words) + np.maximum(a, b))[line[:-k] == line[k:]])
+    pairs, counts = np.unique(np.concatenate(keys), return_counts=True)
+    for i in range(0, len(pairs), PAIRED_ROWS):
+        first, second = (words.take(pa.array(x)) for x in np.divmod(pairs[i : i + PAIRED_ROWS], len(words)))
+        joint = pc.binary_join_element_wise(first, second, " ")
+        yield pa.RecordBatch.from_arrays([joint, pa.array(counts[i : i + PAIRED_ROWS])], schema=schema)
 
 
 def rare_pairs(pairs: DataFrame, counts: DataFrame, threshold: int = 30, strict: bool = False) -> DataFrame:

@@ -454,7 +454,8 @@ COOC_SQL = rf"""
 
 
 def sentences(t: Tables):
-    return t.documents.select(F.explode(F.split("text", "\n")).alias("sentence"))
+    # outer, since the plain form adds a filter that would cut the text once more
+    return t.documents.select(F.explode_outer(F.split("text", "\n")).alias("sentence")).where(F.col("sentence").isNotNull())
 
 
 @query("A22_cooccurrence", f"WITH {COOC_SQL} SELECT w1, w2, counts FROM cooc")

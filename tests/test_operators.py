@@ -465,6 +465,34 @@ def test_cooccurrence_by_hand(spark):
     )
 
 
+def test_cooccurrence_in_pieces(spark, monkeypatch):
+    """Words beyond ASCII, empty and null lines, and counts summed over pieces of a task."""
+    monkeypatch.setattr(aggregates, "PAIRED_WORDS", 5)
+    monkeypatch.setattr(aggregates, "PAIRED_BYTES", 16)
+    monkeypatch.setattr(aggregates, "PAIRED_ROWS", 2)
+    words = ["é", "z", "Ωμέγα", "a", "\uffee", "\U0001f600"]
+    rng = random.Random(3)
+    lines = [" ".join(rng.choices(words, k=rng.randrange(9))) for _ in range(60)] + [None, "", " ", "- !"]
+    counts = {}
+    for s in lines:
+        t = (s or "").lower().translate({ord(c): None for c in "-!"}).split()
+        for i in range(len(t)):
+            for other in t[i + 1 : i + 4]:
+                pair = tuple(sorted((t[i], other), key=str.encode))
+                counts[pair] = counts.get(pair, 0) + 1
+    df = spark.createDataFrame([(s,) for s in lines], "sentence string").repartition(3)
+    got = {(r.w1, r.w2): r.counts for r in aggregates.cooccurrence(df, window=3, minimum=4).collect()}
+    assert got == {p: n for p, n in counts.items() if n > 4}
+    assert aggregates.cooccurrence(df.limit(0)).count() == 0
+
+
+def test_cooccurrence_counts_before_spark(spark):
+    """A pair is one row for all its places in a task, not one row each."""
+    df = spark.createDataFrame([("so it goes",)] * 50, "sentence string").coalesce(1)
+    plan = aggregates.cooccurrence(df)._jdf.queryExecution().executedPlan().toString()
+    assert "MapInArrow" in plan and "Generate" not in plan
+
+
 def test_keyword_pairs_choose_keywords_once(spark):
     features = spark.range(3).select(F.col("id").alias("fact_id"), F.expr("array_remove(split('b a ' || id, ' '), '2')").alias("keywords"))
     pairs = keywords.keyword_pairs(features)
