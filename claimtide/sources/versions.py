@@ -31,15 +31,17 @@ class VersionedTables:
     n appended parts has at most about `fan` times log(n) of them, and each row
     is rewritten about log(n) times. `fold` says how rows of several parts
     become one, else they are kept as they are. `partitions` names the columns
-    whose values become folders of a table's parts.
+    whose values become folders of a table's folded parts; fresh parts are kept
+    as written, so they don't fall into a file per task and value. `options`
+    are the writer's for a table.
 
     A commit may carry the name of a run. A run that any kept entry names is
     not repeated, so a run that is started again changes nothing.
     """
 
-    def __init__(self, spark: SparkSession, path: str, fan: int = 8, partitions: dict[str, list[str]] | None = None):
+    def __init__(self, spark: SparkSession, path: str, fan: int = 8, partitions: dict[str, list[str]] | None = None, options: dict[str, dict[str, str]] | None = None):
         self.spark, self.path, self.fan = spark, path, fan
-        self.partitions = partitions or {}
+        self.partitions, self.options = partitions or {}, options or {}
 
     def _files(self, path: str):
         where = self.spark._jvm.org.apache.hadoop.fs.Path(path)
@@ -95,7 +97,8 @@ class VersionedTables:
 
     def _write(self, name: str, rows: DataFrame, level: int) -> dict:
         part = f"data/{name}-{uuid.uuid4().hex}"
-        rows.write.partitionBy(*self.partitions.get(name, [])).parquet(f"{self.path}/{part}")
+        writer = rows.write.options(**self.options.get(name, {}))
+        writer.partitionBy(*(self.partitions.get(name, []) if level else [])).parquet(f"{self.path}/{part}")
         return {"part": part, "level": level}
 
     def _folded(self, name: str, parts: list[dict], fold: Fold | None) -> list[dict]:

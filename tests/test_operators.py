@@ -27,7 +27,7 @@ from claimtide.operators import (
     statistics,
     threads,
 )
-from claimtide.session import scratch_path, stored
+from claimtide.session import scratch_path, shuffles_released, stored
 from claimtide.sources import sinks
 
 
@@ -375,6 +375,62 @@ def test_phrase_index_meets_only_messages_with_phrases(spark, monkeypatch):
     assert seen and max(seen) <= 6
 
 
+def test_phrase_index_writes_postings_where_messages_are_cut(spark, monkeypatch):
+    """Neither the postings of an `add` nor, for a search, all places of the words asked for go through a shuffle."""
+    claims, messages = phrase_case(spark)
+    built = index.PhraseIndex(spark, scratch_path(spark, "index"))
+    plans, commit = [], built.tables.commit
+
+    def planned(run, append, folds):
+        plans.append(append["postings"]._jdf.queryExecution().executedPlan().toString())
+        return commit(run, append=append, folds=folds)
+
+    monkeypatch.setattr(built.tables, "commit", planned)
+    built.add("one", messages, F.split("text", " "))
+    # the ids of several rows are looked up by a broadcast of none
+    assert len(plans) == 1 and "Exchange hashpartitioning" not in plans[0] and "Exchange rangepartitioning" not in plans[0]
+    seen = []
+
+    def counted(df, label="table"):
+        kept = stored(df, label)
+        if label == "places":
+            seen.append(kept.count())
+        return kept
+
+    monkeypatch.setattr(index, "stored", counted)
+    assert rows(built.search(claims, 2), "fact_id", "message_id", "matched") == [(i, 9, 2) for i in range(6)]
+    # "a b", "c d" and "d e" in the one message with them, not the fifty places of their words
+    assert seen == [3]
+
+
+def test_phrase_index_of_messages_of_several_rows(spark):
+    """Rows of an id are one message: places may hold more than one word, and equal rows count once."""
+    messages = spark.createDataFrame(
+        [(1, "2024-01-01", "a x"), (1, "2024-01-02", "y b c d"), (1, "2024-01-02", "y b c d"), (2, "2024-01-01", "a b"), (3, None, "b"), (None, "2024-01-01", "a b")],
+        "message_id int, date string, text string",
+    )
+    claims = [(1, ["a b"]), (2, ["a b c d"]), (3, ["b"]), (4, ["x c", "b a"]), (5, ["b a", "d a"])]
+    claims = spark.createDataFrame([(i, k, "2024-01-01") for i, k in claims], "fact_id int, keywords array<string>, claim_date string")
+    built = index.PhraseIndex(spark, scratch_path(spark, "index"))
+    built.add("one", messages, F.split("text", " "))
+    counts = {(r["word"], str(r["day"])): r["n"] for r in built.tables.table("frequencies").collect()}
+    assert counts["a", "2024-01-01"] == 3 and counts["y", "2024-01-02"] == 1 and counts["b", "None"] == 1
+    asked = {(r["fact_id"], r["message_id"]) for r in built.search(claims, 1).collect()}
+    assert asked == {(1, 1), (1, 2), (2, 1), (3, 1), (3, 2), (3, 3), (4, 1)}
+    # a phrase has the day of its first word
+    near = {(r["fact_id"], r["message_id"]) for r in built.search(claims, 1, days=(0, 0)).collect()}
+    assert near == {(1, 1), (1, 2), (2, 1), (3, 2), (4, 1)}
+
+
+def test_stored_tables_give_back_their_shuffles(spark):
+    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(name)
+    with pytest.raises(ValueError), shuffles_released(spark):
+        assert spark.conf.get(name) == "true"
+        raise ValueError
+    assert spark.conf.get(name) == before
+
+
 def test_tags_leave_in_pieces():
     """A worker never holds the tags of all texts of a batch."""
     texts = pd.Series(["x " * 15_000] * 4)
